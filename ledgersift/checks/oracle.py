@@ -199,24 +199,24 @@ def _profile() -> str:
 
 
 def _fit() -> str:
-    """Four rounds of 41 points, each a tenth of the width before, starting from [-20, 20]."""
+    """Six rounds of 41 points, each a tenth of the width before, starting from [-20, 20]."""
     parts = [TXN.strip()]
     for c in S.BOXCOX_COLUMNS:
         parts.append(f"""v_{c} AS (SELECT w, count(*) AS n FROM (
     SELECT ln(CAST({c} AS double) + 1) - (SELECT avg(ln(CAST({c} AS double) + 1)) FROM txn) AS w
     FROM txn) GROUP BY w)""")
         centre = "0.0"
-        for r, step in enumerate([1.0, 0.1, 0.01, 0.001, 0.0001]):
+        for r, step in enumerate([1.0, 0.1, 0.01, 0.001, 0.0001, 0.00001]):
             half = 20
             parts.append(f"""r{r}_{c} AS (
     SELECT arg_max(lam, llf) AS lam FROM (
       SELECT lam, -ln(sum(n * t * t) / sum(n) - pow(sum(n * t) / sum(n), 2)) AS llf
       FROM (SELECT n, lam, CASE WHEN lam = 0 THEN w ELSE (exp(lam * w) - 1) / lam END AS t
             FROM v_{c} CROSS JOIN (
-              SELECT round({centre} + i * {step}, 6) AS lam
+              SELECT round({centre} + i * {step}, 7) AS lam
               FROM (SELECT unnest(range(-{half}, {half + 1})) AS i))) GROUP BY lam))""")
             centre = f"(SELECT lam FROM r{r}_{c})"
-        last = f"r4_{c}"
+        last = f"r5_{c}"
         parts.append(f"""f_{c} AS (SELECT '{c}' AS "column", CAST(round(lam, 3) AS double) AS lambda FROM {last})""")
     return "WITH " + ",\n".join(parts) + "\n" + _union(
         [f"SELECT * FROM f_{c}" for c in S.BOXCOX_COLUMNS])

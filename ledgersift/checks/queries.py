@@ -271,18 +271,14 @@ def histogram_auto(spark, d):
 
 @query
 def kde_curve(spark, d):
-    curve = distribution.kde(txn_view(spark, d), "income", cut=0.0)
+    curve = distribution.kde(txn_view(spark, d), ["income"], cut=0.0).drop("column")
     return _round(_round(curve, 4, "x"), 14, "density")
 
 
 @query
 def kde_by_class(spark, d):
-    rows = _flagged(spark, d)
-    out = None
-    for c in ["length", "weight", "income"]:
-        curve = distribution.kde(rows, c, by="fraud").withColumn("column", F.lit(c))
-        out = curve if out is None else out.unionByName(curve)
-    return _round(_round(out, 4, "x"), 12, "density")
+    curves_ = distribution.kde(_flagged(spark, d), ["length", "weight", "income"], by="fraud")
+    return _round(_round(curves_, 4, "x"), 12, "density")
 
 
 @query
@@ -441,8 +437,8 @@ def outlier_scatter(spark, d):
 # --- models ------------------------------------------------------------------------------------
 
 def _features(spark, d):
-    processed = sampling.downsample_majority(cleaning.drop_nulls(txn_view(spark, d)))
-    return build_features(processed, LAMBDAS)
+    kept = sampling.downsample_majority(cleaning.drop_nulls(txn_view(spark, d)))
+    return build_features(write_stage(kept, work_folder(spark, "processed")), LAMBDAS)
 
 
 def _train_test(spark, d, columns=S.TRAINER_FEATURES):

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
-from ledgersift.operators.sizing import long_values, small_rows, weighted_values
+from ledgersift.operators.sizing import COUNT_ROWS, long_values, small_rows, weighted_values
 
 FIRST_POINTS = 17   # from -2 to 2
 NEXT_POINTS = 9
@@ -44,8 +45,19 @@ class _Likelihood:
                 raise BoxCoxError(f"{c}: values + 1 must be positive")
             if s["lo"] == s["hi"]:
                 raise BoxCoxError(f"{c}: all values are equal, no lambda exists")
-        repeated = [c for c in columns if self.stats[c]["n_distinct"] * 4 < self.stats[c]["n"]]
-        self.values = weighted_values(values, ["column"], F.col("column").isin(repeated))
+        counted = [c for c in columns if self.stats[c]["n"] <= COUNT_ROWS
+                   or self.stats[c]["n_distinct"] * 4 < self.stats[c]["n"]]
+        self.values = weighted_values(values, ["column"], F.col("column").isin(counted))
+        self.stored = sum(self.stats[c]["n"] for c in columns) <= COUNT_ROWS
+        if self.stored:  # larger columns are read again from their files in each round
+            self.values.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self) -> _Likelihood:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.stored:
+            self.values.unpersist()
 
     def at(self, grid: dict[str, Sequence[float]]) -> dict[str, list[float]]:
         points = [(c, i, float(lam), self.stats[c]["mean_log"])
@@ -77,7 +89,8 @@ def _even(lo: float, hi: float, n: int) -> list[float]:
 
 def boxcox_profile(df: DataFrame, columns: list[str], lambdas: Sequence[float]) -> DataFrame:
     """(column, lambda, llf): the log-likelihood at each given lambda."""
-    found = _Likelihood(df, columns).at({c: list(lambdas) for c in columns})
+    with _Likelihood(df, columns) as likelihood:
+        found = likelihood.at({c: list(lambdas) for c in columns})
     rows = [(c, float(lam), v) for c in columns for lam, v in zip(lambdas, found[c])]
     return df.sparkSession.createDataFrame(rows, "column string, lambda double, llf double")
 
@@ -88,7 +101,11 @@ def boxcox_lambdas(df: DataFrame, columns: list[str], rounds: int = ROUNDS) -> d
     A grid on [-2, 2] is narrowed around its best point, all columns in the same job; a best point
     at an end moves the grid outwards instead. A parabola through the last three points finishes.
     """
-    likelihood = _Likelihood(df, columns)
+    with _Likelihood(df, columns) as likelihood:
+        return _search(likelihood, columns, rounds)
+
+
+def _search(likelihood: _Likelihood, columns: list[str], rounds: int) -> dict[str, float]:
     grid = {c: _even(-2.0, 2.0, FIRST_POINTS) for c in columns}
     best: dict[str, float] = {}
     left = {c: rounds for c in columns}

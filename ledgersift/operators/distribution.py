@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ledgersift.operators.quantiles import exact_quantiles
 from ledgersift.operators.sizing import (
-    TASK_ROWS, long_values, rows_from_columns, small_rows, small_table, weighted_values)
+    TASK_ROWS, long_values, rows_from_columns, small_rows, small_table, weighted_values, worth_counting)
+
+# Beyond this many bandwidths a value adds less than exp(-72), or 1e-31 of its own peak.
+REACH = 12.0
 
 
 def value_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -86,48 +89,47 @@ def histogram_auto(df: DataFrame, columns: list[str], task_rows: int = TASK_ROWS
     return _with_edges(_binned(df, columns, plan).join(F.broadcast(plan), "column"))
 
 
-def kde(df: DataFrame, column: str, by: str | None = None, grid: int = 200,
+def kde(df: DataFrame, columns: list[str], by: str | None = None, grid: int = 200,
         cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density ([by], point, x, density) on an even grid, Scott's bandwidth.
+    """Gaussian kernel density (column, [by], point, x, density), Scott's bandwidth.
 
-    Each class has its own bandwidth, grid and unit area. Every value contributes to every grid
-    point it can reach in double precision; nothing is binned or sampled. Contributions are summed
-    per grid point before the shuffle, so the shuffle carries `grid` rows per class and task.
+    Each column and class has its own bandwidth, even grid and unit area. Every value contributes to
+    every grid point within `REACH` bandwidths; nothing is binned or sampled. Contributions are
+    summed per grid point before the shuffle, so a task sends at most `grid` rows per curve.
     """
-    values = df.select((F.col(by) if by else F.lit("all")).alias("_class"),
-                       F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    stats = small_table(values.groupBy("_class").agg(
+    values = long_values(df.withColumn("_class", F.col(by) if by else F.lit("all")), columns,
+                         ["_class"])
+    stats = small_table(values.groupBy("column", "_class").agg(
         F.count("x").alias("n_all"), F.stddev_samp("x").alias("std"), F.min("x").alias("x_min"),
         F.max("x").alias("x_max"), F.approx_count_distinct("x").alias("n_distinct")),
         f"classes of {by}")
     bandwidth = F.col("std") * F.pow(F.col("n_all").cast("double"), F.lit(-0.2))
-    plan = stats.withColumn("bw", bandwidth).filter("bw > 0").select(
-        "_class", "n_all", "bw", (F.col("n_distinct") * 4 < F.col("n_all")).alias("repeated"),
+    curve = stats.withColumn("bw", bandwidth).filter("bw > 0").select(
+        "column", F.col("_class").alias("_of"), "n_all", "bw",
+        worth_counting(F.col("n_all"), F.col("n_distinct")).alias("repeated"),
         (F.col("x_min") - F.lit(cut) * F.col("bw")).alias("lo"),
         ((F.col("x_max") - F.col("x_min") + 2 * F.lit(cut) * F.col("bw"))
          / F.lit(grid - 1)).alias("step"))
-    per_class = plan.withColumnRenamed("_class", "_of")
-    rows = values.join(F.broadcast(per_class), F.col("_class").eqNullSafe(F.col("_of"))).drop("_of")
-    keys = ["_class", "lo", "step", "bw", "n_all"]
-    weighted = weighted_values(rows, keys, F.col("repeated"))
-    # exp(-z^2/2) is exactly zero in double precision beyond 39 bandwidths
-    reach = 39.0 * F.col("bw")
+    curve = small_table(curve.withColumn("curve", F.monotonically_increasing_id()), "curves")
+    mine = F.broadcast(curve.withColumnRenamed("column", "_name"))
+    rows = values.join(mine, (F.col("column") == F.col("_name"))
+                       & F.col("_class").eqNullSafe(F.col("_of")))
+    weighted = weighted_values(rows, ["curve", "lo", "step", "bw"], F.col("repeated"))
+    reach = REACH * F.col("bw")
     first = F.greatest(F.ceil((F.col("x") - reach - F.col("lo")) / F.col("step")), F.lit(0))
     last = F.least(F.floor((F.col("x") + reach - F.col("lo")) / F.col("step")), F.lit(grid - 1))
     spread = weighted.filter(first <= last).select(
-        *keys, "x", "n", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("point"))
+        "curve", "lo", "step", "bw", "x", "n",
+        F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("point"))
     z = (F.col("lo") + F.col("point") * F.col("step") - F.col("x")) / F.col("bw")
-    sums = spread.groupBy("_class", "point").agg(
+    sums = spread.groupBy("curve", "point").agg(
         F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("total"))
-    slots = plan.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    slots = curve.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     density = F.coalesce("total", F.lit(0.0)) / (
         F.col("n_all") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    sums = sums.withColumnsRenamed({"_class": "_of", "point": "_at"})
-    out = slots.join(
-        F.broadcast(sums),  # at most classes x grid rows
-        F.col("_class").eqNullSafe(F.col("_of")) & (F.col("point") == F.col("_at")), "left")
+    out = slots.join(F.broadcast(sums), ["curve", "point"], "left")  # at most curves x grid rows
     return out.select(
-        *([F.col("_class").alias(by)] if by else []), "point",
+        "column", *([F.col("_of").alias(by)] if by else []), "point",
         (F.col("lo") + F.col("point") * F.col("step")).alias("x"), density.alias("density"))
 
 

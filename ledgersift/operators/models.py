@@ -50,7 +50,12 @@ def estimator(name: str, **params) -> Estimator:
 
 
 def fit(name: str, train: DataFrame, **params) -> Model:
-    return estimator(name, **params).fit(train)
+    """Fit one classifier; the training rows are stored meanwhile, as every iteration reads them."""
+    rows = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator(name, **params).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:
@@ -76,7 +81,7 @@ def compare_models(train: DataFrame, test: DataFrame, names: list[str] | None =
     test = test.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(name: str):
-        model = fit(name, train)
+        model = estimator(name).fit(train)
         pred = model.transform(test).select("label", "rawPrediction", "prediction")
         m = class_metrics(pred).first()
         return model, (ALGORITHMS[name][0], evaluate_auc(pred), m["precision"], m["recall"],

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,12 +111,37 @@ def class_stats(df: DataFrame, by: str, columns: list[str], median: str = "exact
 
 
 def correlation(df: DataFrame, columns: list[str], invalid: str = "error") -> DataFrame:
-    """Pearson matrix as (col_a, col_b, r); r is NaN where a column is constant."""
+    """Pearson matrix as (col_a, col_b, r); r is NaN where a column is constant.
+
+    One aggregate finds the means, a second sums the products of the centred columns; both are plain
+    sums in generated code. A null is an error, or with `invalid="skip"` drops its row.
+    """
     plain = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid=invalid)
-    matrix = Correlation.corr(vectors.transform(plain).select("features"), "features").head()[0]
-    rows = [(a, b, float(matrix[i, j]))
-            for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    if invalid == "skip":
+        plain = plain.dropna()
+    first = plain.agg(F.count(F.lit(1)).alias("n"), *[
+        f(c).alias(f"{name}_{i}") for i, c in enumerate(columns)
+        for name, f in (("count", F.count), ("mean", F.mean))]).first()
+    short = [c for i, c in enumerate(columns) if first[f"count_{i}"] < first["n"]]
+    if short:
+        raise ValueError(f"null values in {short}")
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    if first["n"]:
+        centred = [F.col(c) - F.lit(first[f"mean_{i}"]) for i, c in enumerate(columns)]
+        products = plain.select(*[x.alias(f"d_{i}") for i, x in enumerate(centred)]).agg(
+            *[F.sum(F.col(f"d_{i}") * F.col(f"d_{j}")).alias(f"s_{i}_{j}") for i, j in pairs]
+        ).first()
+        total = {p: products[f"s_{p[0]}_{p[1]}"] for p in pairs}
+    else:
+        total = {p: 0.0 for p in pairs}
+
+    def r(i: int, j: int) -> float:
+        scale = math.sqrt(total[i, i]) * math.sqrt(total[j, j])
+        if scale == 0:
+            return math.nan
+        return 1.0 if i == j else total[min(i, j), max(i, j)] / scale
+
+    rows = [(a, b, r(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 

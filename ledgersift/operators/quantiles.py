@@ -1,14 +1,16 @@
 """Exact and approximate quantiles.
 
 `percentile` and `median` keep every distinct value of a group in one task. That is right up to
-`TASK_ROWS` rows per group. Above it, the wanted ranks are narrowed by sketches: each round brackets
-a rank between two values, counts the rows below and inside the bracket, and keeps the bracket only
-if the counts prove that the rank lies inside. When a bracket is small enough, its values are counted
-and the rank is read off. The answer is exact; the sketches only choose where to look.
+`TASK_ROWS` rows per group. Above it, the wanted ranks are searched for: a sketch proposes two values
+around each rank, a pass counts the rows below, at, between and above them, and the counts tell for
+certain in which of these places the rank lies. A value that is repeated any number of times is
+settled as soon as it is proposed. When few rows are left, their values are counted and the rank is
+read off. The answer is exact; sketches only choose where to look.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +20,8 @@ from pyspark.sql import types as T
 from ledgersift.operators.sizing import TASK_ROWS, long_values, small_rows
 
 SKETCH_K = 4096      # sketch size; a rank is then known to about 0.1 % of the rows
+GRID = 1024          # fractions read from a sketch
+MARGIN = 4.0 / SKETCH_K
 SKETCH_SLICES = 64   # sketches are merged in two steps, so no task merges one per input split
 
 
@@ -67,99 +71,132 @@ def _one_pass(df: DataFrame, columns: list[str], probs: Sequence[float],
 
 def _narrowed(df: DataFrame, columns: list[str], probs: Sequence[float], by: str | None,
               sizes: list, task_rows: int) -> DataFrame:
-    spark = df.sparkSession
-    group_type = df.schema[by].dataType if by else T.IntegerType()
-    key = F.col(by) if by else F.lit(0)
-    values = long_values(df.withColumn("_group", key), columns, ["_group"])
-
-    targets = []
+    wanted = []
     for row in sizes:
         for c in columns:
             for p in probs:
                 if row[c]:
                     position = float(p) * (row[c] - 1)
-                    targets.append({
-                        "id": len(targets), "group": row[by] if by else 0, "column": c,
-                        "prob": float(p), "position": position, "rank": int(position),
-                        "n": row[c], "lo": float("-inf"), "hi": float("inf"), "below": 0,
-                        "inside": row[c]})
-
-    def inside(brackets: list[dict]) -> DataFrame:
-        """Values joined to the brackets of their group and column (one row per target)."""
-        schema = T.StructType([
-            T.StructField("_g", group_type), T.StructField("_c", T.StringType()),
-            T.StructField("id", T.IntegerType()), T.StructField("lo", T.DoubleType()),
-            T.StructField("hi", T.DoubleType()), T.StructField("p_lo", T.DoubleType()),
-            T.StructField("p_hi", T.DoubleType())])
-        table = spark.createDataFrame(
-            [(t["group"], t["column"], t["id"], t["lo"], t["hi"], t.get("p_lo", 0.0),
-              t.get("p_hi", 1.0)) for t in brackets], schema)
-        return values.join(
+                    low = int(position)
+                    wanted.append((row[by] if by else 0, c, float(p), position - low, low,
+                                   min(low + 1, row[c] - 1), row[c]))
+    ranks = {(g, c, r): _Rank(g, c, r, n) for g, c, _, _, low, high, n in wanted
+             for r in (low, high)}
+    group_type = df.schema[by].dataType if by else T.IntegerType()
+    values = long_values(df.withColumn("_group", F.col(by) if by else F.lit(0)), columns,
+                         ["_group"])
+    _Search(values, group_type, list(ranks.values()), task_rows).run()
+
+    rows = []
+    for g, c, p, share, low, high, _ in wanted:
+        v0, v1 = ranks[g, c, low].value, ranks[g, c, high].value
+        rows.append((*([g] if by else []), c, p, v0 * (1 - share) + v1 * share))
+    return df.sparkSession.createDataFrame(rows, T.StructType(
+        ([T.StructField(by, group_type)] if by else []) + [
+            T.StructField("column", T.StringType()), T.StructField("prob", T.DoubleType()),
+            T.StructField("value", T.DoubleType())]))
+
+
+class _Rank:
+    """The value at one rank of a group's column, known to lie strictly between lo and hi."""
+
+    def __init__(self, group, column: str, rank: int, rows: int):
+        self.group, self.column, self.rank = group, column, rank
+        self.lo = self.hi = self.value = None
+        self.below, self.inside = 0, rows
+
+    def bracket(self) -> tuple:
+        return self.group, self.column, self.lo, self.hi
+
+    def place(self, a: float, b: float, counts: tuple[int, int, int, int]) -> None:
+        """Take in the number of bracket values below a, at a, between, and at b."""
+        under, at_a, between, at_b = counts
+        start = self.below
+        ends = [start + under, start + under + at_a, start + under + at_a + between,
+                start + under + at_a + between + at_b]
+        if self.rank < ends[0]:
+            self.hi, self.inside = a, under
+        elif self.rank < ends[1]:
+            self.value = a
+        elif self.rank < ends[2]:
+            self.lo, self.hi, self.below, self.inside = a, b, ends[1], between
+        elif self.rank < ends[3]:
+            self.value = b
+        else:
+            self.lo, self.below = b, ends[3]
+            self.inside = start + self.inside - ends[3]
+
+
+class _Search:
+    """Shrinks the brackets of several ranks at once, a few passes that shuffle next to nothing."""
+
+    def __init__(self, values: DataFrame, group_type: T.DataType, ranks: list[_Rank],
+                 task_rows: int):
+        self.values, self.group_type = values, group_type
+        self.ranks, self.task_rows = ranks, task_rows
+
+    def run(self) -> None:
+        while wide := [r for r in self.ranks if r.value is None and r.inside > self.task_rows]:
+            sketched = self._sketches(list(dict.fromkeys(r.bracket() for r in wide)))
+            tries = {}
+            for r in wide:
+                at, values = (r.rank - r.below) / r.inside, sketched[r.bracket()]
+                tries[r] = (*r.bracket(), values[max(0, math.floor((at - MARGIN) * GRID))],
+                            values[min(GRID, math.ceil((at + MARGIN) * GRID))])
+            counts = self._counts(list(dict.fromkeys(tries.values())))
+            for r, tried in tries.items():
+                r.place(tried[4], tried[5], counts[tried])
+        self._read_off([r for r in self.ranks if r.value is None])
+
+    def _inside(self, brackets: list[tuple]) -> DataFrame:
+        """(id, a, b, x) for the values inside each bracket; id is the place in `brackets`."""
+        table = self.values.sparkSession.createDataFrame(
+            [(i, *b, *[None] * (6 - len(b))) for i, b in enumerate(brackets)],
+            T.StructType([
+                T.StructField("id", T.IntegerType()), T.StructField("_g", self.group_type),
+                T.StructField("_c", T.StringType()), T.StructField("lo", T.DoubleType()),
+                T.StructField("hi", T.DoubleType()), T.StructField("a", T.DoubleType()),
+                T.StructField("b", T.DoubleType())]))
+        x = F.col("x")
+        return self.values.join(
             F.broadcast(table),
             F.col("_group").eqNullSafe(F.col("_g")) & (F.col("column") == F.col("_c"))
-            & (F.col("x") <= F.col("hi")))
-
-    margin = 4.0 / SKETCH_K
-    while True:
-        wide = [t for t in targets if t["inside"] > task_rows and t["lo"] < t["hi"]]
-        if not wide:
-            break
-        for t in wide:
-            at = (t["rank"] - t["below"]) / t["inside"]
-            t["p_lo"], t["p_hi"] = max(0.0, at - margin), min(1.0, at + margin)
-        guess = _sketch_brackets(inside(wide).filter(F.col("x") >= F.col("lo")))
-        tries = [{**t, "lo": max(t["lo"], guess[t["id"]][0]), "hi": min(t["hi"], guess[t["id"]][1])}
-                 for t in wide]
-        counts = {r["id"]: r for r in inside(tries).groupBy("id").agg(
-            F.sum((F.col("x") < F.col("lo")).cast("bigint")).alias("below"),
-            F.sum((F.col("x") >= F.col("lo")).cast("bigint")).alias("inside")).collect()}
-        progress = False
-        for t, new in zip(wide, tries):
-            got = counts.get(t["id"])
-            last = min(t["rank"] + 1, t["n"] - 1)
-            proven = got and got["below"] <= t["rank"] and got["below"] + got["inside"] > last
-            if proven and (new["lo"], new["hi"]) != (t["lo"], t["hi"]):
-                t.update(lo=new["lo"], hi=new["hi"], below=got["below"], inside=got["inside"])
-                progress = True
-        if not progress:
-            if margin > 0.5:
-                raise RuntimeError("quantile brackets did not narrow")
-            margin *= 4
-
-    counted = (inside(targets).filter(F.col("x") >= F.col("lo"))
-               .groupBy("id", "x").agg(F.count(F.lit(1)).alias("n")))
-    running = Window.partitionBy("id").orderBy("x").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    plan = spark.createDataFrame(
-        [(t["id"], t["group"], t["column"], t["prob"], t["position"] - t["rank"],
-          t["rank"] - t["below"], min(t["rank"] + 1, t["n"] - 1) - t["below"])
-         for t in targets],
-        T.StructType([
-            T.StructField("id", T.IntegerType()), T.StructField(by or "_group", group_type),
-            T.StructField("column", T.StringType()), T.StructField("prob", T.DoubleType()),
-            T.StructField("share", T.DoubleType()), T.StructField("at", T.LongType()),
-            T.StructField("next", T.LongType())]))
-    upto = counted.withColumn("upto", F.sum("n").over(running)).join(F.broadcast(plan), "id")
-
-    def holds(rank: str) -> Column:
-        return (F.col("upto") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
-
-    keys = [by] if by else []
-    picked = upto.groupBy("id", *keys, "column", "prob", "share").agg(
-        F.max(F.when(holds("at"), F.col("x"))).alias("v0"),
-        F.max(F.when(holds("next"), F.col("x"))).alias("v1"))
-    value = F.col("v0") * (1 - F.col("share")) + F.col("v1") * F.col("share")
-    return picked.select(*keys, "column", "prob", value.alias("value"))
-
-
-def _sketch_brackets(rows: DataFrame) -> dict[int, tuple[float, float]]:
-    """Per target id, the sketched values at its fractions p_lo and p_hi."""
-    merged = (
-        rows.groupBy("id", "p_lo", "p_hi", F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES))
-                     .alias("slice"))
-        .agg(F.kll_sketch_agg_double("x", SKETCH_K).alias("sketch"))
-        .groupBy("id", "p_lo", "p_hi")
-        .agg(F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch")))
-    ends = merged.select(
-        "id", F.kll_sketch_get_quantile_double("sketch", F.array("p_lo", "p_hi")).alias("ends"))
-    return {r["id"]: (r["ends"][0], r["ends"][1]) for r in ends.collect()}
+            & (F.col("lo").isNull() | (x > F.col("lo")))
+            & (F.col("hi").isNull() | (x < F.col("hi")))).select("id", "a", "b", "x")
+
+    def _sketches(self, brackets: list[tuple]) -> dict[tuple, list[float]]:
+        merged = (
+            self._inside(brackets)
+            .groupBy("id", F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES)).alias("slice"))
+            .agg(F.kll_sketch_agg_double("x", SKETCH_K).alias("sketch"))
+            .groupBy("id").agg(F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch")))
+        at = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+        found = merged.select("id", F.kll_sketch_get_quantile_double("sketch", at).alias("v"))
+        return {brackets[r["id"]]: r["v"] for r in found.collect()}
+
+    def _counts(self, brackets: list[tuple]) -> dict[tuple, tuple[int, int, int, int]]:
+        x, a, b = F.col("x"), F.col("a"), F.col("b")
+
+        def number(test: Column, name: str) -> Column:
+            return F.sum(test.cast("bigint")).alias(name)
+
+        found = self._inside(brackets).groupBy("id").agg(
+            number(x < a, "under"), number(x == a, "at_a"), number((x > a) & (x < b), "between"),
+            number((x == b) & (a < b), "at_b"))
+        return {brackets[r["id"]]: tuple(r)[1:] for r in found.collect()}
+
+    def _read_off(self, ranks: list[_Rank]) -> None:
+        """Count the values of the remaining small brackets and pick those at the ranks."""
+        if not ranks:
+            return
+        ids = {b: i for i, b in enumerate(dict.fromkeys(r.bracket() for r in ranks))}
+        running = (Window.partitionBy("id").orderBy("x")
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        upto = (self._inside(list(ids)).groupBy("id", "x").agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("upto", F.sum("n").over(running)))
+        plan = self.values.sparkSession.createDataFrame(
+            [(ids[r.bracket()], k, r.rank - r.below) for k, r in enumerate(ranks)],
+            "id int, k int, at bigint")
+        hit = (F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto"))
+        for row in upto.join(F.broadcast(plan), "id").filter(hit).select("k", "x").collect():
+            ranks[row["k"]].value = row["x"]

@@ -12,21 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.functions.hashing import hash_fraction
+from ledgersift.functions.hashing import hash_below
 from ledgersift.schema import KEY_COLUMNS, MAJORITY, MINORITY
 
 SEED = 1024       # fixed value
 FRACTION = 0.015  # fixed value: share of the majority that is kept
 
 
-def draw(key: Sequence[str] = KEY_COLUMNS, seed: int = SEED) -> Column:
-    return hash_fraction([F.col(c) for c in key], seed)
+def drawn(fraction: float, key: Sequence[str] = KEY_COLUMNS, seed: int = SEED) -> Column:
+    return hash_below([F.col(c) for c in key], seed, fraction)
 
 
 def sample(df: DataFrame, fraction: float, key: Sequence[str] = KEY_COLUMNS,
            seed: int = SEED) -> DataFrame:
     """Sample without replacement."""
-    return df.filter(draw(key, seed) < fraction)
+    return df.filter(drawn(fraction, key, seed))
 
 
 def downsample_majority(df: DataFrame, fraction: float = FRACTION,
@@ -34,7 +34,7 @@ def downsample_majority(df: DataFrame, fraction: float = FRACTION,
                         majority: str = MAJORITY) -> DataFrame:
     """All minority rows under one label and a sample of the majority, from one scan."""
     label = F.col("label")
-    kept = df.filter((label != majority) | ((label == majority) & (draw(key, seed) < fraction)))
+    kept = df.filter((label != majority) | ((label == majority) & drawn(fraction, key, seed)))
     return kept.withColumn("label", F.when(label == majority, majority).otherwise(MINORITY))
 
 
@@ -43,7 +43,7 @@ def split_column(df: DataFrame, target: str = "label", ratios: Sequence[float] =
     """Label rows `train` or `test` within each class; rows with another target are left out."""
     share = ratios[0] / sum(ratios)
     rows = df.filter(F.col(target).isin(0, 1))
-    return rows.withColumn("split", F.when(draw([target, *key], seed) < share, "train")
+    return rows.withColumn("split", F.when(drawn(share, [target, *key], seed), "train")
                            .otherwise("test"))
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # The most rows one task is asked to sort or hold, and the most rows that are broadcast.
 TASK_ROWS = 1_000_000
+# Up to this many rows a shuffle of one column is cheap.
+COUNT_ROWS = 20_000_000
 # The most rows of aggregate results brought to the driver (classes, columns, partitions).
 SMALL_ROWS = 100_000
 
@@ -53,13 +55,20 @@ def long_values(df: DataFrame, columns: list[str], keep: list[str] | None = None
             .select(*keep, "e.column", "e.x").filter(F.col("x").isNotNull()))
 
 
-def weighted_values(values: DataFrame, keys: list[str], repeated: Column) -> DataFrame:
-    """(keys..., x, n): count equal values first where `repeated` says they are frequent.
+def worth_counting(rows: Column, distinct: Column) -> Column:
+    """Whether to count equal values first: they repeat, or there are few enough not to mind."""
+    return (distinct * 4 < rows) | (rows <= COUNT_ROWS)
 
-    Counting shrinks columns of repeated values to almost nothing, but for a column of nearly
-    unique values it would only add a shuffle of the whole column; those rows pass as they are.
+
+def weighted_values(values: DataFrame, keys: list[str], counted_first: Column) -> DataFrame:
+    """(keys..., x, n), with equal values counted first where `counted_first` holds.
+
+    Counting shrinks columns of repeated values to almost nothing, and it spreads a small table over
+    the cores. For a large column of nearly unique values it would only add a shuffle of the whole
+    column; those rows pass as they are.
     """
-    counted = (values.filter(repeated).groupBy(*keys, "x")
+    counted = (values.filter(counted_first).groupBy(*keys, "x")
                .agg(F.count(F.lit(1)).alias("n")))
-    single = values.filter(~repeated).select(*keys, "x", F.lit(1).cast("bigint").alias("n"))
+    single = values.filter(~counted_first).select(
+        *keys, "x", F.lit(1).cast("bigint").alias("n"))
     return counted.unionByName(single)

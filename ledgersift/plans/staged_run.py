@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersift.functions.features import positive_score
+from ledgersift.functions.features import boxcox_apply, positive_score
+from ledgersift.operators.boxcox import boxcox_lambdas
 from ledgersift.operators.cleaning import drop_nulls, encode_label
 from ledgersift.operators.curves import confusion, pr_points, roc_points
 from ledgersift.operators.distribution import (
@@ -16,8 +17,6 @@ from ledgersift.operators.models import (
 from ledgersift.operators.profile import class_counts, correlation
 from ledgersift.operators.sampling import FRACTION, downsample_majority, stratified_split
 from ledgersift.plans.features import build_features
-from ledgersift.functions.features import boxcox_apply
-from ledgersift.operators.boxcox import boxcox_lambdas
 from ledgersift.schema import BOXCOX_COLUMNS, NUMERIC, TRAINER_FEATURES
 from ledgersift.sources import read_txn, write_report, write_stage
 
@@ -45,8 +44,7 @@ def report_before(processed: DataFrame, folder: str) -> None:
     shaped = boxcox_apply(processed, lambdas)
     both = BOXCOX_COLUMNS + [f"{c}_boxcox" for c in BOXCOX_COLUMNS]
     write_stage(histogram_auto(shaped, both), f"{folder}/report/histograms")
-    for c in both:
-        write_report(kde(shaped, c, cut=0.0), f"{folder}/report/density_{c}")
+    write_report(kde(shaped, both, cut=0.0), f"{folder}/report/densities")
     write_stage(pair_density(processed, NUMERIC, "label"), f"{folder}/report/pairs")
     write_stage(scatter_pairs(processed, ["length", "income", "weight"], ["count", "neighbors"],
                               "label"), f"{folder}/report/scatter")
