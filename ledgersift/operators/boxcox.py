@@ -5,22 +5,40 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ledgersift.operators.sizing import COUNT_ROWS, long_values, small_rows, weighted_values
 
 FIRST_POINTS = 17   # from -2 to 2
-NEXT_POINTS = 9
+NEXT_POINTS = 5
 ROUNDS = 4
-WIDEST = 16.0
+WIDEST = 1000.0
 
 
 class BoxCoxError(ValueError):
     """The transform is not defined for a column."""
 
 
+def _summary(values: DataFrame, *more: Column) -> dict:
+    """Per column: rows, range of y = x + 1 and mean of ln y."""
+    y = F.col("x") + 1.0
+    rows = values.groupBy("column").agg(
+        F.sum("n").alias("n"), F.min(y).alias("lo"), F.max(y).alias("hi"),
+        (F.sum(F.col("n") * F.ln(y)) / F.sum("n")).alias("mean_log"), *more)
+    return {r["column"]: r for r in small_rows(rows, "columns")}
+
+
+def _require_spread(column: str, stats) -> None:
+    if stats is None or stats["n"] < 2:
+        raise BoxCoxError(f"{column}: too few values")
+    if stats["lo"] <= 0:
+        raise BoxCoxError(f"{column}: values + 1 must be positive")
+    if stats["lo"] == stats["hi"]:
+        raise BoxCoxError(f"{column}: all values are equal, no lambda exists")
+
+
 class _Likelihood:
     """Likelihoods of y = x + 1 at chosen lambdas, one distributed aggregate per request.
 
@@ -31,26 +49,19 @@ class _Likelihood:
     def __init__(self, df: DataFrame, columns: list[str]):
         self.spark = df.sparkSession
         values = long_values(df, columns)
-        y = F.col("x") + 1.0
-        rows = small_rows(values.groupBy("column").agg(
-            F.count("x").alias("n"), F.min(y).alias("lo"), F.max(y).alias("hi"),
-            F.mean(F.ln(y)).alias("mean_log"), F.approx_count_distinct("x").alias("n_distinct")),
-            "columns")
-        self.stats = {r["column"]: r for r in rows}
-        for c in columns:
-            s = self.stats.get(c)
-            if s is None or s["n"] < 2:
-                raise BoxCoxError(f"{c}: too few values")
-            if s["lo"] <= 0:
-                raise BoxCoxError(f"{c}: values + 1 must be positive")
-            if s["lo"] == s["hi"]:
-                raise BoxCoxError(f"{c}: all values are equal, no lambda exists")
-        counted = [c for c in columns if self.stats[c]["n"] <= COUNT_ROWS
-                   or self.stats[c]["n_distinct"] * 4 < self.stats[c]["n"]]
-        self.values = weighted_values(values, ["column"], F.col("column").isin(counted))
-        self.stored = sum(self.stats[c]["n"] for c in columns) <= COUNT_ROWS
-        if self.stored:  # larger columns are read again from their files in each round
+        self.stored = df.count() * len(columns) <= COUNT_ROWS
+        if self.stored:
+            self.values = weighted_values(values, ["column"], F.lit(True))
             self.values.persist(StorageLevel.MEMORY_AND_DISK)
+            self.stats = _summary(self.values)
+        else:
+            # columns of repeated values are counted; the others are read again in each round
+            self.stats = _summary(values.withColumn("n", F.lit(1).cast("bigint")),
+                                  F.approx_count_distinct("x").alias("n_distinct"))
+            repeated = [c for c, s in self.stats.items() if s["n_distinct"] * 4 < s["n"]]
+            self.values = weighted_values(values, ["column"], F.col("column").isin(repeated))
+        for c in columns:
+            _require_spread(c, self.stats.get(c))
 
     def __enter__(self) -> _Likelihood:
         return self
@@ -82,8 +93,8 @@ class _Likelihood:
         return found
 
 
-def _even(lo: float, hi: float, n: int) -> list[float]:
-    points = [lo + (hi - lo) * i / (n - 1) for i in range(n)]
+def _even(centre: float, half: float, n: int) -> list[float]:
+    points = [centre + half * (2 * i / (n - 1) - 1) for i in range(n)]
     return [0.0 if abs(p) < 1e-12 else p for p in points]
 
 
@@ -98,17 +109,17 @@ def boxcox_profile(df: DataFrame, columns: list[str], lambdas: Sequence[float])
 def boxcox_lambdas(df: DataFrame, columns: list[str], rounds: int = ROUNDS) -> dict[str, float]:
     """The most likely lambda of each column.
 
-    A grid on [-2, 2] is narrowed around its best point, all columns in the same job; a best point
-    at an end moves the grid outwards instead. A parabola through the last three points finishes.
+    A grid on [-2, 2] is followed by finer ones around the top of the parabola through its best
+    three points, all columns in the same job. A best point at an end moves and widens the grid.
     """
     with _Likelihood(df, columns) as likelihood:
         return _search(likelihood, columns, rounds)
 
 
 def _search(likelihood: _Likelihood, columns: list[str], rounds: int) -> dict[str, float]:
-    grid = {c: _even(-2.0, 2.0, FIRST_POINTS) for c in columns}
-    best: dict[str, float] = {}
+    grid = {c: _even(0.0, 2.0, FIRST_POINTS) for c in columns}
     left = {c: rounds for c in columns}
+    best: dict[str, float] = {}
     while grid:
         found = likelihood.at(grid)
         following = {}
@@ -116,18 +127,21 @@ def _search(likelihood: _Likelihood, columns: list[str], rounds: int) -> dict[st
             llf = found[c]
             i = max(range(len(lams)), key=lambda k: llf[k])
             step = lams[1] - lams[0]
-            if i in (0, len(lams) - 1):
+            at_end = i in (0, len(lams) - 1)
+            if at_end and c not in best:
                 if abs(lams[i]) > WIDEST:
                     raise BoxCoxError(f"{c}: the likelihood has no maximum within +-{WIDEST}")
-                half = (lams[-1] - lams[0]) / 2
-                following[c] = _even(lams[i] - half, lams[i] + half, len(lams))
+                following[c] = _even(lams[i], lams[-1] - lams[0], len(lams))
+                left[c] += 1
                 continue
-            bend = llf[i - 1] - 2 * llf[i] + llf[i + 1]
-            shift = (llf[i - 1] - llf[i + 1]) / (2 * bend) * step if bend < 0 else 0.0
-            best[c] = lams[i] + (shift if abs(shift) <= step else 0.0)
+            shift = 0.0
+            if not at_end:
+                bend = llf[i - 1] - 2 * llf[i] + llf[i + 1]
+                shift = (llf[i - 1] - llf[i + 1]) / (2 * bend) * step if bend < 0 else 0.0
+            best[c] = lams[i] + max(-step, min(step, shift))
             left[c] -= 1
             if left[c] > 0:
-                following[c] = _even(lams[i] - step, lams[i] + step, NEXT_POINTS)
+                following[c] = _even(best[c], step if at_end else step / 4, NEXT_POINTS)
         grid = following
     return best
 

@@ -105,9 +105,9 @@ def class_stats(df: DataFrame, by: str, columns: list[str], median: str = "exact
     stats = df.groupBy(by).agg(*basic)
     middle = exact_quantiles(df, columns, [0.5], by, task_rows).groupBy(by).agg(*[
         F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"median_{c}")
-        for c in columns])
+        for c in columns]).withColumnRenamed(by, "_by")
     # one row per class on both sides
-    return (stats.join(middle, stats[by].eqNullSafe(middle[by])).drop(middle[by]))
+    return stats.join(middle, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
 
 
 def correlation(df: DataFrame, columns: list[str], invalid: str = "error") -> DataFrame:
