@@ -16,20 +16,24 @@ def add_num_addresses(df: DataFrame, key: str = "address", out: str = "num_addre
     (partial counts before the shuffle) and the counts joined back. How depends on their number:
 
     - up to `task_rows` addresses: the counts are broadcast and the table is not shuffled;
-    - more: addresses with more than `task_rows` rows, of which there are at most rows / task_rows,
-      are broadcast, so their rows stay where they are; the rest is joined by address, with no
-      address holding more than `task_rows` rows.
+    - more: busy addresses (above `task_rows` rows and above rows / task_rows, so at most
+      `task_rows` of them) are broadcast and their rows stay where they are; all others are joined
+      by address, where no address is large enough to hold up a task.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(out))
-    size = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum(out).alias("rows")).first()
+    size = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum(out).alias("rows"),
+                      F.max(out).alias("top")).first()
     if size["keys"] <= task_rows:
         joined = df.join(F.broadcast(counts), key, "left")
         return joined.select(*df.columns, F.coalesce(out, F.lit(0)).alias(out))
+    keyed = df.filter(F.col(key).isNotNull())
+    without = df.filter(F.col(key).isNull()).withColumn(out, F.lit(0).cast("bigint"))
     busy_rows = max(task_rows, size["rows"] // task_rows)
+    if size["top"] <= busy_rows:
+        return keyed.join(counts, key).select(*df.columns, out).unionByName(without)
     busy = counts.filter(F.col(out) > busy_rows)
     quiet = counts.filter(F.col(out) <= busy_rows)
-    no_key = df.filter(F.col(key).isNull()).withColumn(out, F.lit(0).cast("bigint"))
-    busy_part = df.join(F.broadcast(busy), key).select(*df.columns, out)
-    quiet_part = (df.join(F.broadcast(busy.select(key)), key, "left_anti")
+    busy_part = keyed.join(F.broadcast(busy), key).select(*df.columns, out)
+    quiet_part = (keyed.join(F.broadcast(busy.select(key)), key, "left_anti")
                   .join(quiet, key).select(*df.columns, out))
-    return busy_part.unionByName(quiet_part).unionByName(no_key)
+    return busy_part.unionByName(quiet_part).unionByName(without)

@@ -51,7 +51,7 @@ class _Likelihood:
         values = long_values(df, columns)
         self.stored = df.count() * len(columns) <= COUNT_ROWS
         if self.stored:
-            self.values = weighted_values(values, ["column"], F.lit(True))
+            self.values = weighted_values(values, ["column"], "column", columns, [])
             self.values.persist(StorageLevel.MEMORY_AND_DISK)
             self.stats = _summary(self.values)
         else:
@@ -59,7 +59,8 @@ class _Likelihood:
             self.stats = _summary(values.withColumn("n", F.lit(1).cast("bigint")),
                                   F.approx_count_distinct("x").alias("n_distinct"))
             repeated = [c for c, s in self.stats.items() if s["n_distinct"] * 4 < s["n"]]
-            self.values = weighted_values(values, ["column"], F.col("column").isin(repeated))
+            unique = [c for c in columns if c not in repeated]
+            self.values = weighted_values(values, ["column"], "column", repeated, unique)
         for c in columns:
             _require_spread(c, self.stats.get(c))
 

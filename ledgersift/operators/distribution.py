@@ -105,8 +105,7 @@ def kde(df: DataFrame, columns: list[str], by: str | None = None, grid: int = 20
         f"classes of {by}")
     bandwidth = F.col("std") * F.pow(F.col("n_all").cast("double"), F.lit(-0.2))
     curve = stats.withColumn("bw", bandwidth).filter("bw > 0").select(
-        "column", F.col("_class").alias("_of"), "n_all", "bw",
-        worth_counting(F.col("n_all"), F.col("n_distinct")).alias("repeated"),
+        "column", F.col("_class").alias("_of"), "n_all", "n_distinct", "bw",
         (F.col("x_min") - F.lit(cut) * F.col("bw")).alias("lo"),
         ((F.col("x_max") - F.col("x_min") + 2 * F.lit(cut) * F.col("bw"))
          / F.lit(grid - 1)).alias("step"))
@@ -114,7 +113,10 @@ def kde(df: DataFrame, columns: list[str], by: str | None = None, grid: int = 20
     mine = F.broadcast(curve.withColumnRenamed("column", "_name"))
     rows = values.join(mine, (F.col("column") == F.col("_name"))
                        & F.col("_class").eqNullSafe(F.col("_of")))
-    weighted = weighted_values(rows, ["curve", "lo", "step", "bw"], F.col("repeated"))
+    counted, single = [], []
+    for c in curve.collect():
+        (counted if worth_counting(c["n_all"], c["n_distinct"]) else single).append(c["curve"])
+    weighted = weighted_values(rows, ["curve", "lo", "step", "bw"], "curve", counted, single)
     reach = REACH * F.col("bw")
     first = F.greatest(F.ceil((F.col("x") - reach - F.col("lo")) / F.col("step")), F.lit(0))
     last = F.least(F.floor((F.col("x") + reach - F.col("lo")) / F.col("step")), F.lit(grid - 1))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgersift.operators.quantiles import approx_median, exact_quantiles
+from ledgersift.operators.quantiles import (
+    approx_median, exact_median, exact_quantiles, group_sizes, largest)
 from ledgersift.operators.sizing import TASK_ROWS, rows_from_columns
 
 
@@ -102,8 +103,11 @@ def class_stats(df: DataFrame, by: str, columns: list[str], median: str = "exact
     if median == "approx":
         return df.groupBy(by).agg(
             *basic, *[approx_median(c, accuracy).alias(f"median_{c}") for c in columns])
+    sizes = group_sizes(df, columns, by)
+    if largest(sizes, columns) <= task_rows:
+        return df.groupBy(by).agg(*basic, *[exact_median(c).alias(f"median_{c}") for c in columns])
     stats = df.groupBy(by).agg(*basic)
-    middle = exact_quantiles(df, columns, [0.5], by, task_rows).groupBy(by).agg(*[
+    middle = exact_quantiles(df, columns, [0.5], by, task_rows, sizes).groupBy(by).agg(*[
         F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"median_{c}")
         for c in columns]).withColumnRenamed(by, "_by")
     # one row per class on both sides

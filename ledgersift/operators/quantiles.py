@@ -44,7 +44,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
     """
     if sizes is None:
         sizes = group_sizes(df, columns, by)
-    if max((r[c] for r in sizes for c in columns), default=0) <= task_rows:
+    if largest(sizes, columns) <= task_rows:
         return _one_pass(df, columns, probs, by)
     return _narrowed(df, columns, probs, by, sizes, task_rows)
 
@@ -55,6 +55,10 @@ def group_sizes(df: DataFrame, columns: list[str], by: str | None = None) -> lis
                       f"groups of {by}")
 
 
+def largest(sizes: list, columns: list[str]) -> int:
+    return max((r[c] for r in sizes for c in columns), default=0)
+
+
 def _one_pass(df: DataFrame, columns: list[str], probs: Sequence[float],
               by: str | None) -> DataFrame:
     keys = [by] if by else []

@@ -55,20 +55,24 @@ def long_values(df: DataFrame, columns: list[str], keep: list[str] | None = None
             .select(*keep, "e.column", "e.x").filter(F.col("x").isNotNull()))
 
 
-def worth_counting(rows: Column, distinct: Column) -> Column:
+def worth_counting(rows: int, distinct: int) -> bool:
     """Whether to count equal values first: they repeat, or there are few enough not to mind."""
-    return (distinct * 4 < rows) | (rows <= COUNT_ROWS)
+    return distinct * 4 < rows or rows <= COUNT_ROWS
 
 
-def weighted_values(values: DataFrame, keys: list[str], counted_first: Column) -> DataFrame:
-    """(keys..., x, n), with equal values counted first where `counted_first` holds.
+def weighted_values(values: DataFrame, keys: list[str], name: str, counted: list,
+                    single: list) -> DataFrame:
+    """(keys..., x, n): equal values are counted first where column `name` is one of `counted`.
 
     Counting shrinks columns of repeated values to almost nothing, and it spreads a small table over
     the cores. For a large column of nearly unique values it would only add a shuffle of the whole
-    column; those rows pass as they are.
+    column; rows named in `single` pass as they are, with n = 1.
     """
-    counted = (values.filter(counted_first).groupBy(*keys, "x")
-               .agg(F.count(F.lit(1)).alias("n")))
-    single = values.filter(~counted_first).select(
-        *keys, "x", F.lit(1).cast("bigint").alias("n"))
-    return counted.unionByName(single)
+    parts = []
+    if counted or not single:
+        parts.append(values.filter(F.col(name).isin(counted)).groupBy(*keys, "x")
+                     .agg(F.count(F.lit(1)).alias("n")))
+    if single:
+        parts.append(values.filter(F.col(name).isin(single))
+                     .select(*keys, "x", F.lit(1).cast("bigint").alias("n")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

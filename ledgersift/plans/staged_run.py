@@ -17,7 +17,7 @@ from ledgersift.operators.models import (
 from ledgersift.operators.profile import class_counts, correlation
 from ledgersift.operators.sampling import FRACTION, downsample_majority, stratified_split
 from ledgersift.plans.features import build_features
-from ledgersift.schema import BOXCOX_COLUMNS, NUMERIC, TRAINER_FEATURES
+from ledgersift.schema import BOXCOX_COLUMNS, KEY_COLUMNS, NUMERIC, TRAINER_FEATURES
 from ledgersift.sources import read_txn, write_report, write_stage
 
 
@@ -29,8 +29,14 @@ class RunResult:
 
 
 def process(txn: DataFrame, folder: str, fraction: float = FRACTION) -> DataFrame:
-    """Drop rows with nulls and down-sample the majority."""
-    return write_stage(downsample_majority(drop_nulls(txn), fraction), f"{folder}/processed")
+    """Drop rows with nulls and down-sample the majority.
+
+    With a `row_id` column every row is drawn on its own, so a row that is repeated very often does
+    not enter or leave the sample as a whole.
+    """
+    key = ["row_id"] if "row_id" in txn.columns else KEY_COLUMNS
+    kept = downsample_majority(drop_nulls(txn), fraction, key).drop("row_id")
+    return write_stage(kept, f"{folder}/processed")
 
 
 def engineer(processed: DataFrame, folder: str) -> DataFrame:
@@ -75,7 +81,7 @@ def report_after(spark: SparkSession, folder: str) -> None:
 def staged_run(spark: SparkSession, source: str, folder: str, fraction: float = FRACTION,
                names: list[str] | None = None) -> RunResult:
     """All five stages over the transactions stored at `source`, with results below `folder`."""
-    processed = process(read_txn(spark, source), folder, fraction)
+    processed = process(read_txn(spark, source, row_id=True), folder, fraction)
     features = engineer(processed, folder)
     report_before(processed, folder)
     board, best = train(features, folder, names)

@@ -69,10 +69,15 @@ def test_hot_address_counts_the_same_on_every_route(spark):
     expected = {}
     for a, _ in data:
         expected[a] = expected.get(a, 0) + (a is not None)
-    for task_rows in (1_000_000, 100, 20):
+    for task_rows in (1_000_000, 150, 100, 20):
         out = activity.add_num_addresses(rows, task_rows=task_rows)
         assert out.count() == len(data)
         assert {r["address"]: r["num_addresses"] for r in out.collect()} == expected
+    quiet = rows.filter("address <> 'hot' OR address IS NULL")
+    expected.pop("hot")
+    out = activity.add_num_addresses(quiet, task_rows=20).collect()
+    assert len(out) == len(data) - 400
+    assert {r["address"]: r["num_addresses"] for r in out} == expected
 
 
 def test_row_numbers_follow_the_order(spark):
