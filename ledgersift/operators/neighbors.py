@@ -84,7 +84,8 @@ def _visits(own: DataFrame, members: DataFrame, features: list[str],
     """(row_no, block, features...): blocks that may hold a nearer neighbour than those found."""
     boxes = sorted(small_rows(members.groupBy("block").agg(
         *[F.min(f).alias(f"lo_{f}") for f in features],
-        *[F.max(f).alias(f"hi_{f}") for f in features]), "blocks"), key=lambda r: r["block"])
+        *[F.max(f).alias(f"hi_{f}") for f in features]), "blocks", MAX_BLOCKS + 1),
+        key=lambda r: r["block"])
     d = len(features)
     table = np.array([list(r) for r in boxes], dtype=float)
     shared = own.sparkSession.sparkContext.broadcast(

@@ -32,7 +32,7 @@ def read_txn(spark: SparkSession, path: str, row_id: bool = False) -> DataFrame:
     if not row_id:
         return conform(raw)
     raw = raw.withColumn(
-        "row_id", F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index")))
+        "row_id", F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index")))
     return conform(raw, T.StructType(TXN.fields + [T.StructField("row_id", T.StringType())]))
 
 
