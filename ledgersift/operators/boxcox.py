@@ -48,28 +48,42 @@ class _Likelihood:
 
     def __init__(self, df: DataFrame, columns: list[str]):
         self.spark = df.sparkSession
+        self.kept: list[DataFrame] = []
         values = long_values(df, columns)
-        self.stored = df.count() * len(columns) <= COUNT_ROWS
-        if self.stored:
-            self.values = weighted_values(values, ["column"], "column", columns, [])
-            self.values.persist(StorageLevel.MEMORY_AND_DISK)
+        if df.count() * len(columns) <= COUNT_ROWS:
+            self.values = self._stored(weighted_values(values, ["column"], "column", columns, []))
             self.stats = _summary(self.values)
         else:
-            # columns of repeated values are counted; the others are read again in each round
             self.stats = _summary(values.withColumn("n", F.lit(1).cast("bigint")),
                                   F.approx_count_distinct("x").alias("n_distinct"))
-            repeated = [c for c, s in self.stats.items() if s["n_distinct"] * 4 < s["n"]]
-            unique = [c for c in columns if c not in repeated]
-            self.values = weighted_values(values, ["column"], "column", repeated, unique)
+            self.values = self._counted_where_repeated(values, columns)
         for c in columns:
             _require_spread(c, self.stats.get(c))
 
+    def _stored(self, counted: DataFrame) -> DataFrame:
+        self.kept.append(counted.persist(StorageLevel.MEMORY_AND_DISK))
+        return counted
+
+    def _counted_where_repeated(self, values: DataFrame, columns: list[str]) -> DataFrame:
+        """Count repeated values once; read columns of nearly unique values again in each round."""
+        distinct = {c: s["n_distinct"] for c, s in self.stats.items()}
+        repeated = [c for c in columns if c in distinct and distinct[c] * 4 < self.stats[c]["n"]]
+        unique = [c for c in columns if c not in repeated]
+        if not repeated:
+            return weighted_values(values, ["column"], "column", [], unique)
+        counted = weighted_values(values, ["column"], "column", repeated, [])
+        if sum(distinct[c] for c in repeated) <= COUNT_ROWS:
+            counted = self._stored(counted)
+        if not unique:
+            return counted
+        return counted.unionByName(weighted_values(values, ["column"], "column", [], unique))
+
     def __enter__(self) -> _Likelihood:
         return self
 
     def __exit__(self, *_) -> None:
-        if self.stored:
-            self.values.unpersist()
+        for rows in self.kept:
+            rows.unpersist()
 
     def at(self, grid: dict[str, Sequence[float]]) -> dict[str, list[float]]:
         points = [(c, i, float(lam), self.stats[c]["mean_log"])

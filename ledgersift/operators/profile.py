@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgersift.operators.quantiles import (
-    approx_median, exact_median, exact_quantiles, group_sizes, largest)
-from ledgersift.operators.sizing import TASK_ROWS, rows_from_columns
+from ledgersift.operators.quantiles import approx_median, exact_quantiles
+from ledgersift.operators.sizing import (
+    TASK_ROWS, local_table, rows_from_columns, small_rows)
 
 
 def count_rows(df: DataFrame, step: str = "rows") -> DataFrame:
@@ -95,23 +95,22 @@ def class_stats(df: DataFrame, by: str, columns: list[str], median: str = "exact
                 accuracy: int = 10_000, task_rows: int = TASK_ROWS) -> DataFrame:
     """Per class: mean, median and sample standard deviation of each column.
 
-    `median="approx"` is one aggregate whatever the size. `median="exact"` first counts the rows per
-    class: classes small enough use the built-in in one aggregate, larger ones narrow the rank down.
+    `median="approx"` is one aggregate. `median="exact"` takes mean, deviation and class sizes from a
+    first aggregate and the medians from `exact_quantiles`.
     """
     basic = [f(c).alias(f"{name}_{c}") for c in columns
              for name, f in (("mean", F.mean), ("std", F.stddev_samp))]
     if median == "approx":
         return df.groupBy(by).agg(
             *basic, *[approx_median(c, accuracy).alias(f"median_{c}") for c in columns])
-    sizes = group_sizes(df, columns, by)
-    if largest(sizes, columns) <= task_rows:
-        return df.groupBy(by).agg(*basic, *[exact_median(c).alias(f"median_{c}") for c in columns])
-    stats = df.groupBy(by).agg(*basic)
-    middle = exact_quantiles(df, columns, [0.5], by, task_rows, sizes).groupBy(by).agg(*[
+    first = df.groupBy(by).agg(*basic, *[F.count(c).alias(c) for c in columns])
+    classes = small_rows(first, f"classes of {by}")
+    middle = exact_quantiles(df, columns, [0.5], by, task_rows, classes).groupBy(by).agg(*[
         F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"median_{c}")
         for c in columns]).withColumnRenamed(by, "_by")
     # one row per class on both sides
-    return stats.join(middle, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+    return (local_table(first, classes).drop(*columns)
+            .join(F.broadcast(middle), F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by"))
 
 
 def correlation(df: DataFrame, columns: list[str], invalid: str = "error") -> DataFrame:

@@ -10,7 +10,6 @@ read off. The answer is exact; sketches only choose where to look.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +19,7 @@ from pyspark.sql import types as T
 from ledgersift.operators.sizing import TASK_ROWS, long_values, small_rows
 
 SKETCH_K = 4096      # sketch size; a rank is then known to about 0.1 % of the rows
-GRID = 1024          # fractions read from a sketch
-MARGIN = 4.0 / SKETCH_K
+MARGIN = 0.001
 SKETCH_SLICES = 64   # sketches are merged in two steps, so no task merges one per input split
 
 
@@ -40,11 +38,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
                     sizes: list | None = None) -> DataFrame:
     """([by], column, prob, value) with linear interpolation between neighbouring ranks.
 
-    `sizes` may pass in the rows of `group_sizes` when the caller has them already.
+    `sizes` may hand in rows like those of `group_sizes` when the caller has them already.
     """
     if sizes is None:
         sizes = group_sizes(df, columns, by)
-    if largest(sizes, columns) <= task_rows:
+    if max((r[c] for r in sizes for c in columns), default=0) <= task_rows:
         return _one_pass(df, columns, probs, by)
     return _narrowed(df, columns, probs, by, sizes, task_rows)
 
@@ -55,10 +53,6 @@ def group_sizes(df: DataFrame, columns: list[str], by: str | None = None) -> lis
                       f"groups of {by}")
 
 
-def largest(sizes: list, columns: list[str]) -> int:
-    return max((r[c] for r in sizes for c in columns), default=0)
-
-
 def _one_pass(df: DataFrame, columns: list[str], probs: Sequence[float],
               by: str | None) -> DataFrame:
     keys = [by] if by else []
@@ -141,12 +135,13 @@ class _Search:
 
     def run(self) -> None:
         while wide := [r for r in self.ranks if r.value is None and r.inside > self.task_rows]:
-            sketched = self._sketches(list(dict.fromkeys(r.bracket() for r in wide)))
-            tries = {}
-            for r in wide:
-                at, values = (r.rank - r.below) / r.inside, sketched[r.bracket()]
-                tries[r] = (*r.bracket(), values[max(0, math.floor((at - MARGIN) * GRID))],
-                            values[min(GRID, math.ceil((at + MARGIN) * GRID))])
+            at = {r: ((r.rank - r.below) / r.inside) for r in wide}
+            around = {r: (max(0.0, round(at[r] - MARGIN, 4)), min(1.0, round(at[r] + MARGIN, 4)))
+                      for r in wide}
+            fractions = sorted({f for pair in around.values() for f in pair})
+            sketched = self._sketches(list(dict.fromkeys(r.bracket() for r in wide)), fractions)
+            tries = {r: (*r.bracket(), *(sketched[r.bracket()][f] for f in around[r]))
+                     for r in wide}
             counts = self._counts(list(dict.fromkeys(tries.values())))
             for r, tried in tries.items():
                 r.place(tried[4], tried[5], counts[tried])
@@ -168,15 +163,16 @@ class _Search:
             & (F.col("lo").isNull() | (x > F.col("lo")))
             & (F.col("hi").isNull() | (x < F.col("hi")))).select("id", "a", "b", "x")
 
-    def _sketches(self, brackets: list[tuple]) -> dict[tuple, list[float]]:
+    def _sketches(self, brackets: list[tuple],
+                  fractions: list[float]) -> dict[tuple, dict[float, float]]:
         merged = (
             self._inside(brackets)
             .groupBy("id", F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES)).alias("slice"))
             .agg(F.kll_sketch_agg_double("x", SKETCH_K).alias("sketch"))
             .groupBy("id").agg(F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch")))
-        at = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+        at = F.array(*[F.lit(f) for f in fractions])
         found = merged.select("id", F.kll_sketch_get_quantile_double("sketch", at).alias("v"))
-        return {brackets[r["id"]]: r["v"] for r in found.collect()}
+        return {brackets[r["id"]]: dict(zip(fractions, r["v"])) for r in found.collect()}
 
     def _counts(self, brackets: list[tuple]) -> dict[tuple, tuple[int, int, int, int]]:
         x, a, b = F.col("x"), F.col("a"), F.col("b")

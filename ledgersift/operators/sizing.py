@@ -69,10 +69,12 @@ def weighted_values(values: DataFrame, keys: list[str], name: str, counted: list
     column; rows named in `single` pass as they are, with n = 1.
     """
     parts = []
-    if counted or not single:
+    if counted:
         parts.append(values.filter(F.col(name).isin(counted)).groupBy(*keys, "x")
                      .agg(F.count(F.lit(1)).alias("n")))
     if single:
         parts.append(values.filter(F.col(name).isin(single))
                      .select(*keys, "x", F.lit(1).cast("bigint").alias("n")))
+    if not parts:
+        return values.limit(0).select(*keys, "x", F.lit(1).cast("bigint").alias("n"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
