@@ -6,8 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersift.functions.features import boxcox_apply, positive_score
-from ledgersift.operators.boxcox import boxcox_lambdas
+from ledgersift.functions.features import positive_score
 from ledgersift.operators.cleaning import drop_nulls, encode_label
 from ledgersift.operators.curves import confusion, pr_points, roc_points
 from ledgersift.operators.distribution import (
@@ -43,18 +42,16 @@ def engineer(processed: DataFrame, folder: str) -> DataFrame:
     return write_stage(build_features(processed), f"{folder}/features")
 
 
-def report_before(processed: DataFrame, folder: str) -> None:
-    """The data behind the pre-model charts."""
-    write_report(class_counts(processed, "label"), f"{folder}/report/class_counts")
-    lambdas = boxcox_lambdas(processed, BOXCOX_COLUMNS)
-    shaped = boxcox_apply(processed, lambdas)
+def report_before(features: DataFrame, folder: str) -> None:
+    """The data behind the pre-model charts, raw and Box-Cox columns alike."""
     both = BOXCOX_COLUMNS + [f"{c}_boxcox" for c in BOXCOX_COLUMNS]
-    write_stage(histogram_auto(shaped, both), f"{folder}/report/histograms")
-    write_report(kde(shaped, both, cut=0.0), f"{folder}/report/densities")
-    write_stage(pair_density(processed, NUMERIC, "label"), f"{folder}/report/pairs")
-    write_stage(scatter_pairs(processed, ["length", "income", "weight"], ["count", "neighbors"],
+    write_report(class_counts(features, "label"), f"{folder}/report/class_counts")
+    write_stage(histogram_auto(features, both), f"{folder}/report/histograms")
+    write_report(kde(features, both, cut=0.0), f"{folder}/report/densities")
+    write_stage(pair_density(features, NUMERIC, "label"), f"{folder}/report/pairs")
+    write_stage(scatter_pairs(features, ["length", "income", "weight"], ["count", "neighbors"],
                               "label"), f"{folder}/report/scatter")
-    write_report(correlation(processed, NUMERIC), f"{folder}/report/correlation")
+    write_report(correlation(features, NUMERIC), f"{folder}/report/correlation")
 
 
 def train(features: DataFrame, folder: str, names: list[str] | None = None,
@@ -83,7 +80,7 @@ def staged_run(spark: SparkSession, source: str, folder: str, fraction: float =
     """All five stages over the transactions stored at `source`, with results below `folder`."""
     processed = process(read_txn(spark, source, row_id=True), folder, fraction)
     features = engineer(processed, folder)
-    report_before(processed, folder)
+    report_before(features, folder)
     board, best = train(features, folder, names)
     report_after(spark, folder)
     return RunResult(best, board, folder)
