@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgersift.operators.quantiles import approx_median, exact_quantiles
 from ledgersift.operators.sizing import (
-    TASK_ROWS, local_table, rows_from_columns, small_rows)
+    TASK_ROWS, local_table, rows_from_columns, small_rows, small_table)
 
 
 def count_rows(df: DataFrame, step: str = "rows") -> DataFrame:
@@ -62,13 +62,16 @@ def describe(df: DataFrame, columns: list[str] | None = None, quartiles: bool =
         "min_text": pick(F.min, "string", lambda c: not is_number(c)),
         "max_text": pick(F.max, "string", lambda c: not is_number(c)),
     }
-    wide = df.agg(*[parts[p][c].alias(f"{p}_{i}") for p in parts for i, c in enumerate(columns)])
+    wide = small_table(df.agg(*[
+        parts[p][c].alias(f"{p}_{i}") for p in parts for i, c in enumerate(columns)]), "rows")
     table = rows_from_columns(wide, columns, {
         p: {c: F.col(f"{p}_{i}") for i, c in enumerate(columns)} for p in parts})
     if not quartiles or not numeric:
         return table
+    found = wide.first()
+    sizes = [{c: found[f"n_{i}"] for i, c in enumerate(columns)}]
     names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
-    quarters = exact_quantiles(df, numeric, list(names), task_rows=task_rows)
+    quarters = exact_quantiles(df, numeric, list(names), task_rows=task_rows, sizes=sizes)
     wide_q = quarters.groupBy("column").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in names.items()])
     return table.join(F.broadcast(wide_q), "column", "left")
