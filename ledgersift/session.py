@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,12 +24,10 @@ def get_session(app: str = "ledgersift", cores: str = "*", shuffle_partitions: i
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; a temporary one only in local mode with none set."""
+    """The shared folder for checkpoints: `spark.checkpoint.dir`, or a folder in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="ledgersift-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder

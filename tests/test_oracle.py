@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
 from check import compare, duck
+from ledgersift.checks.oracle import ORACLE
+from ledgersift.checks.queries import QUERIES
 
-WITH_SQL = list(oracle_sql())
+WITH_SQL = list(ORACLE)
 MODEL_ONLY = {"median_approx", "fit_logistic", "fit_decision_tree", "fit_random_forest",
               "fit_naive_bayes", "fit_gbt", "fit_linear_svc", "vector_element",
               "model_leaderboard", "feature_importance", "rank_importance", "test_predictions",
@@ -18,8 +20,8 @@ def con(folder):
 
 
 def test_every_query_is_checked_by_sql_or_named_here():
-    assert set(queries()) - set(WITH_SQL) == MODEL_ONLY
-    assert set(WITH_SQL) <= set(queries())
+    assert set(QUERIES) - set(WITH_SQL) == MODEL_ONLY
+    assert set(WITH_SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("key", WITH_SQL)
