@@ -7,6 +7,28 @@ from ledgersift.llm.pfair_mix import BLOCK_ROWS, CYCLE
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op1_suffix_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, md5(array_slice(b, i, i + 399)) AS h
+      FROM d, unnest(range(1, octet_length(b) - 398)) AS t(i)),
+twice AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+starts AS (SELECT r, i FROM w SEMI JOIN twice USING (h)),
+marked AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END
+           AS fresh FROM starts),
+numbered AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM marked),
+cuts AS (SELECT r, min(i) AS a, max(i) + 400 AS z FROM numbered GROUP BY r, k),
+pieces AS (
+  SELECT d.r, lag(z, 1, 1) OVER (PARTITION BY d.r ORDER BY a) AS p, a AS q, b FROM cuts JOIN d USING (r)
+  UNION ALL
+  SELECT d.r, coalesce((SELECT max(z) FROM cuts WHERE cuts.r = d.r), 1), octet_length(b) + 1, b FROM d),
+kept AS (SELECT r, sha256(unhex(string_agg(hex(array_slice(b, p, q - 1)), '' ORDER BY p))) AS s
+         FROM pieces GROUP BY r),
+sums AS (SELECT r, count(*) AS n, sum(z - a) AS cut FROM cuts GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS bigint) AS n_bytes, CAST(coalesce(cut, 0) AS bigint) AS n_removed,
+       CAST(coalesce(n, 0) AS bigint) AS n_spans, s AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)
+"""
+
 ORACLE["op5_phrase_decontamination"] = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(

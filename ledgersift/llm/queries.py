@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgersift.llm import exact_dedup, pfair_mix, phrase_index, quality, simhash_trie
+from ledgersift.llm import (
+    exact_dedup, pfair_mix, phrase_index, quality, simhash_trie, suffix_repeats)
 from ledgersift.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_suffix_dedup(spark, d):
+    rows = suffix_repeats.remove_repeats(read_table(spark, d, "documents"))
+    size = F.length("text").cast("bigint")
+    return rows.select(
+        F.col("id").alias("doc_id"), size.alias("n_bytes"),
+        (size - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op3_ordinal_quality(spark, d):
     docs = read_table(spark, d, "documents")
