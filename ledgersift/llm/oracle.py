@@ -29,6 +29,47 @@ SELECT doc_id, CAST(octet_length(b) AS bigint) AS n_bytes, CAST(coalesce(cut, 0)
 FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)
 """
 
+_HOST = r"""lower(regexp_replace(regexp_replace(regexp_extract(coalesce(url, ''),
+  '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''))"""
+_PATH = r"regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+
+ORACLE["op4_url_lists"] = f"""
+WITH seen AS (SELECT DISTINCT {_HOST} AS host, string_split({_PATH}, '/')[2] AS folder FROM pages
+              WHERE {_HOST} <> ''),
+named AS (
+  SELECT DISTINCT scope, value FROM (
+    SELECT 'domain' AS scope, regexp_extract(host, '[^.]+[.][^.]+$') AS value FROM seen
+    UNION ALL SELECT 'host', host FROM seen
+    UNION ALL SELECT 'prefix', host || '/' || folder FROM seen WHERE folder <> '') WHERE value <> ''),
+v AS (SELECT *, substr(md5(value), 1, 1) AS digit,
+             CAST('0x' || substr(md5(value), 2, 2) AS bigint) AS day FROM named),
+rule(scope, digits, list, action, base, per, added) AS (VALUES
+  ('domain', '012345', 'domains', 'block', 20, 0, true), ('domain', '012', 'domains', 'block', 140, 0, false),
+  ('domain', '0', 'domains', 'block', 260, 0, true), ('host', '0123', 'hosts', 'block', 0, 1, true),
+  ('host', '01', 'hosts', 'block', 60, 1, false), ('host', 'ef', 'trusted', 'allow', 30, 0, true),
+  ('prefix', '01', 'paths', 'block', 50, 0, true), ('prefix', '0', 'paths', 'block', 50, 1, false)),
+events AS (SELECT list, v.scope, value, action, added, 1704067200 + 86400 * (base + per * day) AS "at"
+           FROM v JOIN rule ON v.scope = rule.scope AND contains(digits, digit)),
+valid AS (
+  SELECT *, "at" AS since, lead("at") OVER (PARTITION BY list, scope, value ORDER BY "at", added DESC, action)
+         AS until FROM events),
+captures AS (SELECT page_id, url, 1704067200 + (page_id * 104729) % 31536000 AS fetched_at,
+                    {_HOST} AS host, {_PATH} AS path FROM pages),
+judged AS (
+  SELECT c.page_id, c.url, c.fetched_at, e.action, e.scope, e.value, e.list,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY
+           CASE e.scope WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 WHEN 'domain' THEN 1 END DESC NULLS LAST,
+           length(e.value) DESC, since DESC, e.list DESC, e.action DESC, e.value DESC) AS r
+  FROM captures c LEFT JOIN valid e
+    ON e.added AND since <= fetched_at AND (until IS NULL OR fetched_at < until) AND host <> ''
+   AND ((e.scope = 'host' AND e.value = host)
+     OR (e.scope = 'domain' AND (e.value = host OR ends_with(host, '.' || e.value)))
+     OR (e.scope = 'prefix' AND starts_with(host || path || '/', e.value || '/'))))
+SELECT page_id, url, CAST(fetched_at AS bigint) AS fetched_at, action, scope, value AS entry,
+       list AS list_name, coalesce(action, '') <> 'block' AS kept
+FROM judged WHERE r = 1
+"""
+
 ORACLE["op5_phrase_decontamination"] = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgersift.llm import (
-    exact_dedup, pfair_mix, phrase_index, quality, simhash_trie, suffix_repeats)
+    exact_dedup, licence_rules, line_chunks, passage_chains, pfair_mix, phrase_index, quality,
+    simhash_trie, suffix_repeats, url_lists)
 from ledgersift.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,14 @@ def op1_suffix_dedup(spark, d):
         F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
 
 
+@query
+def op2_passage_chains(spark, d):
+    rows = passage_chains.repeated_passages(read_table(spark, d, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), F.col("o_id").alias("partner_id"), "start_word", "end_word",
+        "partner_start", "partner_end", "equal_words")
+
+
 @query
 def op3_ordinal_quality(spark, d):
     docs = read_table(spark, d, "documents")
@@ -38,6 +47,55 @@ def op3_ordinal_quality(spark, d):
     return quality.score_quality(docs, model)
 
 
+YEAR_START, DAY = 1_704_067_200, 86_400
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time within one year, derived from their id."""
+    at = F.lit(YEAR_START) + F.expr("(page_id * 104729) % 31536000")
+    return pages.select("page_id", "url", at.alias("fetched_at"))
+
+
+def page_lists(pages: DataFrame) -> DataFrame:
+    """Dated list events on the domains, hosts and first folders of the pages, dealt by MD5."""
+    host = url_lists.url_host(F.col("url"))
+    folder = F.element_at(F.split(url_lists.url_path(F.col("url")), "/"), 2)
+    seen = pages.select(host.alias("host"), folder.alias("folder")).filter("host <> ''").distinct()
+    domain = F.regexp_extract("host", r"[^.]+\.[^.]+$", 0)
+    values = (seen.select(F.lit("domain").alias("scope"), domain.alias("value"))
+              .union(seen.select(F.lit("host"), F.col("host")))
+              .union(seen.filter("folder <> ''").select(
+                  F.lit("prefix"), F.concat_ws("/", "host", "folder"))).filter("value <> ''").distinct()
+              .withColumns({"digit": F.substring(F.md5("value"), 1, 1),
+                            "day": F.conv(F.substring(F.md5("value"), 2, 2), 16, 10).cast("bigint")}))
+
+    def event(scope: str, digits: str, name: str, action: str, day: str, added: bool) -> DataFrame:
+        return values.filter((F.col("scope") == scope) & F.col("digit").isin(list(digits))).select(
+            F.lit(name).alias("list"), "scope", "value", F.lit(action).alias("action"),
+            F.expr(f"{YEAR_START} + {DAY} * ({day})").alias("at"), F.lit(added).alias("added"))
+
+    events = [event("domain", "012345", "domains", "block", "20", True),
+              event("domain", "012", "domains", "block", "140", False),
+              event("domain", "0", "domains", "block", "260", True),
+              event("host", "0123", "hosts", "block", "day", True),
+              event("host", "01", "hosts", "block", "day + 60", False),
+              event("host", "ef", "trusted", "allow", "30", True),
+              event("prefix", "01", "paths", "block", "50", True),
+              event("prefix", "0", "paths", "block", "50 + day", False)]
+    out = events[0]
+    for e in events[1:]:
+        out = out.unionByName(e)
+    return out
+
+
+@query
+def op4_url_lists(spark, d):
+    pages = read_table(spark, d, "pages")
+    rows = url_lists.judge_urls(page_captures(pages), page_lists(pages))
+    return rows.select(F.col("id").alias("page_id"), "url", "fetched_at", "action", "scope",
+                       F.col("value").alias("entry"), F.col("list").alias("list_name"), "kept")
+
+
 @query
 def op5_phrase_decontamination(spark, d):
     rows = phrase_index.contamination(read_table(spark, d, "documents"),
@@ -49,11 +107,26 @@ def op5_phrase_decontamination(spark, d):
         (F.size("hit") > 0).alias("contaminated"))
 
 
+@query
+def op6_line_chunks(spark, d):
+    rows = line_chunks.remove_repeated_chunks(read_table(spark, d, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_lines", "n_removed",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_exact_dedup(spark, d):
     return exact_dedup.exact_dedup(read_table(spark, d, "documents"))
 
 
+@query
+def op8_licence_rules(spark, d):
+    rows = licence_rules.scan_licences(read_table(spark, d, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), F.array_join("licences", ",").alias("licences"),
+                       F.array_join("sentences", ",").alias("sentence_ids"),
+                       F.array_join("unused", ",").alias("unused"))
+
+
 @query
 def op9_pfair_mixing(spark, d):
     mixed = pfair_mix.mix_sources(read_table(spark, d, "documents").select("doc_id", "source"))
