@@ -175,10 +175,11 @@ def _hits(shard: pd.DataFrame, windows: list, slop: int | None) -> pd.DataFrame:
         for doc in np.unique(np.searchsorted(starts, begin, side="right") - 1).tolist():
             of_doc.setdefault(doc, set()).update(items)
     docs = sorted(of_doc)
-    return pd.DataFrame({
+    columns = {
         "id": [directory["ids"][d] for d in docs], "row": [directory["rows"][d] for d in docs],
-        "hit": [np.flatnonzero(hit[starts[d]:starts[d] + lengths[d]]).astype("i4") for d in docs],
-        "items": [sorted(of_doc[d]) for d in docs]}, columns=["id", "row", "hit", "items"])
+        "hit": [np.flatnonzero(hit[starts[d]:starts[d] + lengths[d]]).tolist() for d in docs],
+        "items": [sorted(of_doc[d]) for d in docs]}
+    return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in columns.items()})
 
 
 def _hit_finder(windows: list, slop: int | None):
