@@ -14,7 +14,7 @@ from ledgersift.llm.common import read_table, stage
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that more likely than not are good; the model is fitted on the rated ones."""
-    model = quality.fit_quality(quality.rated_documents(docs, read_table(spark, sf_dir, "labels")))
+    model = quality.fit_quality(docs, quality.grades(read_table(spark, sf_dir, "labels")))
     return quality.keep_good(docs, model)
 
 

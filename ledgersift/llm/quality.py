@@ -121,27 +121,28 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, grade_count: int,
     return OrdinalModel(weights, theta[d] + np.concatenate([[0.0], np.cumsum(np.exp(theta[d + 1:]))]))
 
 
-def fit_quality(rated: DataFrame, text_col: str = "text", grade_col: str = "grade",
-                key_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS,
+def fit_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id",
+                text_col: str = "text", grade_col: str = "grade", sample_rows: int = SAMPLE_ROWS,
                 buckets: int = BUCKETS) -> OrdinalModel:
-    """Fit on up to `sample_rows` rated rows, those with the least hash of their key.
+    """Fit on the texts of up to `sample_rows` ratings, those with the least hash of their id.
 
-    Grades are whole numbers 0.. where more is better; rows with a null grade are left out. The fit
-    runs in one task on hashed features, whose number the sample bounds. Without rated rows every text
-    gets the same score and even odds.
+    `ratings` has (`id_col`, `grade_col`): whole numbers 0.. where more is better; null grades are left
+    out. The sample is small enough to be sent to all tasks, so the texts are not shuffled; the fit runs
+    in one task on hashed features, whose number the sample bounds. Without rated texts every text gets
+    the same score and even odds.
     """
-    sample = (rated.filter(F.col(grade_col).isNotNull())
-              .select(F.col(grade_col).cast("int").alias("grade"),
-                      utf8(F.col(text_col)).alias("text"),
-                      F.xxhash64(F.col(key_col)).alias("order"), F.lit(0).alias("all"))
-              .orderBy("order", "text").limit(sample_rows))
+    key = F.col(id_col)
+    sample = (ratings.filter(F.col(grade_col).isNotNull() & key.isNotNull())
+              .select(key.alias("_rated"), F.col(grade_col).cast("int").alias("grade"))
+              .orderBy(F.xxhash64("_rated"), "_rated", "grade").limit(sample_rows))
+    rated = docs.join(F.broadcast(sample), docs[id_col] == sample["_rated"]).select(
+        "grade", utf8(F.col(text_col)).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([bucket_ids(t.as_py(), buckets) for t in batch.column(1)],
-                                           pa.list_(pa.int64())), batch.column(2)],
-                ["grade", "ids", "all"])
+                                           pa.list_(pa.int64()))], ["grade", "ids"])
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         grades = group["grade"].to_numpy(dtype=np.int64)
@@ -150,9 +151,9 @@ def fit_quality(rated: DataFrame, text_col: str = "text", grade_col: str = "grad
         return pd.DataFrame({"bucket": [kept], "weight": [model.weights[kept].astype(float)],
                              "threshold": [model.thresholds]})
 
-    rows = sample.repartition(8, "order").select("grade", "text", "all").mapInArrow(
-        hashed, "grade int, ids array<bigint>, all int")
-    found = rows.groupBy("all").applyInPandas(
+    # the limit matters where ids repeat; it takes hashed rows, not texts
+    rows = rated.mapInArrow(hashed, "grade int, ids array<bigint>").limit(sample_rows)
+    found = rows.groupBy().applyInPandas(
         fit, "bucket array<bigint>, weight array<double>, threshold array<double>").collect()
     weights = np.zeros(buckets, dtype=np.float32)
     if not found:
@@ -212,9 +213,8 @@ def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", keep
     return docs.filter(tails[min(keep_grade, len(model.thresholds)) - 1] >= least)
 
 
-def rated_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, grade): 0 toxic, 1 poor, 2 good; rows of unknown quality have no grade."""
+def grades(labels: DataFrame) -> DataFrame:
+    """(doc_id, grade): 0 toxic, 1 poor, 2 good; null where the quality is unknown."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(
         F.col("quality") == 1, 2)
-    rated = labels.select(F.col("doc_id").alias("_rated"), grade.alias("grade"))
-    return docs.select("doc_id", "text").join(rated, F.col("doc_id") == F.col("_rated")).drop("_rated")
+    return labels.select("doc_id", grade.alias("grade"))

@@ -43,7 +43,7 @@ def op2_passage_chains(spark, d):
 @query
 def op3_ordinal_quality(spark, d):
     docs = read_table(spark, d, "documents")
-    model = quality.fit_quality(quality.rated_documents(docs, read_table(spark, d, "labels")))
+    model = quality.fit_quality(docs, quality.grades(read_table(spark, d, "labels")))
     return quality.score_quality(docs, model)
 
 
