@@ -83,7 +83,7 @@ def cycle_schedule(weights: DataFrame) -> DataFrame:
 
 def numbered(docs: DataFrame, id_col: str, source_col: str,
              bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """`docs` with `_key` and `_rank`, the row's place 0.. within its source.
+    """(_doc, _key, _rank): rows as structs, source key, and place 0.. within the source.
 
     The order is that of the id's MD5, so it is well mixed and stays the same however the rows are
     dealt out. Rows are numbered within (source, hash range); the ranges' counts give the offsets, so
@@ -94,17 +94,18 @@ def numbered(docs: DataFrame, id_col: str, source_col: str,
     digest = F.md5(text_id)
     # 32 bits of the digest cut into `buckets` equal ranges
     bucket = F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") * buckets, 32)
-    keyed = docs.select("*", source_key(F.col(source_col)).alias("_key"),
+    keyed = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_id"),
+                        source_key(F.col(source_col)).alias("_key"),
                         digest.alias("_digest"), bucket.alias("_bucket"))
     sizes = keyed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     earlier = (Window.partitionBy("_key").orderBy("_bucket")
                .rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("_key", "_bucket", F.coalesce(
         F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_key", "_bucket").orderBy("_digest", id_col))
+    place = F.row_number().over(Window.partitionBy("_key", "_bucket").orderBy("_digest", "_id"))
     return (keyed.withColumn("_place", place - 1).join(starts, ["_key", "_bucket"])
             .withColumn("_rank", F.col("_start") + F.col("_place"))
-            .drop("_digest", "_bucket", "_place", "_start"))
+            .select("_doc", "_key", "_rank"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
@@ -149,4 +150,4 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
         "mix_position": F.expr(f"""_rank % {block_rows} + aggregate(
             sequence(0, size(_shares) - 1), 0L, (a, i) -> a + least(
                 _sizes[i], {block_rows}L * (_round * _shares[i] + _before[i])))"""),
-    }).select(*docs.columns, "mix_block", "mix_slot", "mix_position")
+    }).select("_doc.*", "mix_block", "mix_slot", "mix_position")
