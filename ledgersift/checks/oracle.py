@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgersift import schema as S
-from ledgersift.checks.queries import LAMBDAS, PROFILE_GRID
+from ledgersift.checks.queries import LAMBDAS, PROFILE_GRID, RAW_AND_BOXCOX
 from ledgersift.functions.calendar import PUBLIC_HOLIDAYS
 
 TXN = """
@@ -114,6 +114,16 @@ def _histogram(source: str) -> str:
       round(bin_high, 6) AS bin_high, CAST(n AS bigint) AS n FROM ({_union(parts)})"""
 
 
+SHAPED = TXN + ", shaped AS (SELECT *, " + ", ".join(
+    f"{_boxcox(c, 0)} AS {c}_boxcox" for c in S.BOXCOX_COLUMNS) + " FROM txn)"
+
+SEPARABLE = TXN + f""",
+parted AS (SELECT * REPLACE (CAST(looped > 0 AS int) AS label) FROM txn),
+test AS (SELECT {', '.join(['address', 'year', 'day', 'income', 'label'])}, label AS prediction FROM parted
+         WHERE {_draw(['label', *S.KEY_COLUMNS])} >= 0.8),
+scored AS (SELECT address, year, day, income, label, label AS prediction FROM parted)"""
+
+
 def _histogram_auto() -> str:
     parts = [f"""
   SELECT '{c}' AS "column", bin, lo + bin * width AS bin_low, lo + (bin + 1) * width AS bin_high,
@@ -128,8 +138,8 @@ def _histogram_auto() -> str:
                      CAST(max({c}) AS double) AS hi,
                      quantile_cont(CAST({c} AS double), 0.25) AS q1,
                      quantile_cont(CAST({c} AS double), 0.75) AS q3 FROM shaped))))
-  GROUP BY bin, lo, width""" for c in ["length", "income", "income_boxcox"]]
-    return f"""WITH {TXN}, shaped AS (SELECT *, ln(CAST(income AS double) + 1) AS income_boxcox FROM txn)
+  GROUP BY bin, lo, width""" for c in RAW_AND_BOXCOX]
+    return f"""WITH {SHAPED}
 SELECT "column", bin, round(bin_low, 6) AS bin_low, round(bin_high, 6) AS bin_high, n
 FROM ({_union(parts)})"""
 
@@ -289,7 +299,10 @@ WHERE abs((x - m) / sd) > 3"""
     return f"WITH {TXN}\n" + _union([one("income"), one("income_count_interaction")])
 
 
-FEATURES = TXN + _kept("txn") + f""",
+BINARY = """,
+kept AS (SELECT * REPLACE (CASE WHEN label <> 'white' THEN 'black' ELSE 'white' END AS label) FROM txn)"""
+
+FEATURES = TXN + BINARY + f""",
 features AS (
   SELECT *, count(address) OVER (PARTITION BY address) AS num_addresses,
          {WEEKDAY} AS day_of_week, CASE WHEN {WEEKDAY} IN (1, 7) THEN 1 ELSE 0 END AS is_holiday,
@@ -311,7 +324,7 @@ _STATS = [(c, n, f) for c in S.STATS_COLUMNS for n, f in (
 ORACLE: dict[str, str] = {
     "scan_parquet": f"WITH {TXN} SELECT * FROM txn",
     "scan_csv": f"WITH {TXN} SELECT * FROM txn",
-    "sink_parquet": f"WITH {DIRTY}{CLEAN}{_kept('clean')} SELECT * FROM kept",
+    "sink_parquet": f"WITH {DIRTY}{CLEAN} SELECT * FROM clean",
     "sink_csv": f"WITH {TXN} SELECT year, label, count(*) AS n FROM txn GROUP BY 1, 2",
     "schema_report": f"WITH {DIRTY}\n" + _union([
         f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type, "
@@ -369,11 +382,47 @@ SELECT coalesce(label <> 'white', true) AS fraud, count(*) AS n FROM dirty GROUP
     "global_moments": f"""WITH {TXN}
 SELECT round(avg(income), 4) AS mean, round(stddev_samp(income), 4) AS std FROM txn""",
     "correlation_matrix": _correlation(),
+    "correlation_pairwise": f"WITH {DIRTY}\n" + _union([
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS double), CAST({b} AS double)), 6) "
+        "AS r FROM dirty" for a in S.NUMERIC for b in S.NUMERIC]),
+    "median_approx": f"""WITH {FLAGGED} SELECT DISTINCT fraud, c AS "column", true AS occurs,
+true AS in_bounds FROM flagged, (VALUES ('income'), ('weight'), ('length')) AS t(c)""",
+    **{key: f"WITH {SEPARABLE} SELECT * FROM test" for key in (
+        "fit_logistic", "fit_decision_tree", "fit_random_forest", "fit_naive_bayes", "fit_gbt",
+        "fit_linear_svc", "test_predictions")},
+    **{key: f"WITH {SEPARABLE} SELECT * FROM scored" for key in (
+        "model_roundtrip", "batch_scoring", "stream_scoring")},
+    "vector_element": f"WITH {TXN} SELECT address, " + ", ".join(
+        f"CAST({c} AS double) AS v_{c}" for c in S.NUMERIC) + " FROM txn",
+    "model_leaderboard": f"""WITH {SEPARABLE}
+SELECT algorithm, auc, auc AS precision, auc AS recall, auc AS f1, auc AS accuracy
+FROM (SELECT CAST(avg(CAST(label = prediction AS int)) AS double) AS auc FROM test),
+  (VALUES ('LogisticRegression'), ('DecisionTreeClassifier'), ('RandomForestClassifier'), ('NaiveBayes'),
+          ('GBTClassifier'), ('LinearSVC')) AS t(algorithm)""",
+    "feature_importance": f"""WITH {TXN}
+SELECT feature, abs(r) > 0.5 AS informative FROM (
+  SELECT 'signal_a' AS feature, corr(CAST(looped > 0 AS int), CAST(looped > 0 AS int) * 100 + count) AS r
+  FROM txn UNION ALL
+  SELECT 'signal_b', corr(CAST(looped > 0 AS int), CAST(looped <= 0 AS int) * 100 + count) FROM txn
+  UNION ALL SELECT 'count', corr(CAST(looped > 0 AS int), count) FROM txn)""",
+    "rank_importance": f"WITH {TXN}, means AS (" + _union([
+        f"SELECT '{c}' AS feature, round(avg({c}), 6) AS importance FROM txn" for c in S.NUMERIC])
+        + """)
+SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS int) AS place, feature, importance
+FROM means""",
+    "run_stages": f"""WITH {SEPARABLE}
+SELECT algorithm, CASE WHEN tree THEN auc END AS tree_auc
+FROM (SELECT CAST(avg(CAST(label = prediction AS int)) AS double) AS auc FROM test),
+  (VALUES ('LogisticRegression', false), ('DecisionTreeClassifier', true), ('RandomForestClassifier', false),
+          ('NaiveBayes', false), ('GBTClassifier', true), ('LinearSVC', false)) AS t(algorithm, tree)""",
     "histogram_fixed": f"WITH {TXN} {_histogram('txn')}",
     "histogram_fraud": f"WITH {FRAUD} {_histogram('bad')}",
     "histogram_auto": _histogram_auto(),
-    "kde_curve": f"""WITH {TXN} SELECT point, round(x, 4) AS x, round(density, 14) AS density
-FROM ({_kde('income', 'txn', 0.0, None)})""",
+    "kde_curve": f"""WITH {SHAPED}
+SELECT "column", point, round(x, 4) AS x,
+       round(density, CASE WHEN "column" = 'income' THEN 14 ELSE 9 END) AS density FROM (""" + _union([
+        f"SELECT *, '{c}' AS \"column\" FROM ({_kde(c, 'shaped', 0.0, None)})"
+        for c in RAW_AND_BOXCOX]) + ")",
     "kde_by_class": f"""WITH {FLAGGED}
 SELECT fraud, point, round(x, 4) AS x, round(density, 12) AS density, "column" FROM (""" + _union([
         f"SELECT *, '{c}' AS \"column\" FROM ({_kde(c, 'flagged', 3.0, 'fraud')})"
@@ -390,7 +439,7 @@ FROM ({_boxplot('all', 'flagged')} UNION ALL {_boxplot('suspicious', 'trimmed')}
         f"SELECT '{a}' AS x_name, '{b}' AS y_name, CAST({a} AS double) AS x, "
         f"CAST({b} AS double) AS y, label FROM kept"
         for a in ["length", "income", "weight"] for b in ["count", "neighbors"]]),
-    "pair_density": f"WITH {TXN}{_kept('txn')}, r AS (SELECT " + ", ".join(
+    "pair_density": f"WITH {TXN}{BINARY}, r AS (SELECT " + ", ".join(
         f"CAST(min({c}) AS double) AS lo_{c}, "
         f"(CAST(max({c}) AS double) - CAST(min({c}) AS double)) / 30 AS w_{c}" for c in S.NUMERIC)
         + " FROM kept), b AS (SELECT label, " + ", ".join(

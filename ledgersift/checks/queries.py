@@ -15,12 +15,14 @@ from ledgersift.functions.features import (
 from ledgersift.operators import (
     activity, boxcox, cleaning, curves, distribution, models, outliers, oversample, profile,
     quantiles, sampling)
+from ledgersift.operators.sizing import long_values
 from ledgersift.plans.features import build_features
 from ledgersift.plans.staged_run import staged_run
 from ledgersift.session import work_folder
 from ledgersift.sources import (
     read_requests, read_txn, read_txn_csv, write_report, write_stage)
-from ledgersift.sources.lineitem_view import dirty_view, score_view, txn_view
+from ledgersift.sources.lineitem_view import (
+    SEPARABLE_FEATURES, dirty_view, score_view, separable_view, txn_view)
 from ledgersift.streaming.scoring import read_request_stream, score, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 # Lambdas used where a query needs Box-Cox columns but is not about fitting them.
 LAMBDAS = {"length": 0.5, "income": 0.25, "weight": -0.5, "count": 0.0, "neighbors": 0.75}
 PROFILE_GRID = [-1.0, -0.5, 0.0, 0.5, 1.0, 1.5]
+RAW_AND_BOXCOX = S.BOXCOX_COLUMNS + [f"{c}_boxcox" for c in S.BOXCOX_COLUMNS]
 REQUEST_ID = ["address", "year", "day", "income"]
 
 
@@ -65,8 +68,7 @@ def scan_csv(spark, d):
 
 @query
 def sink_parquet(spark, d):
-    kept = sampling.downsample_majority(cleaning.drop_nulls(dirty_view(spark, d)))
-    return write_stage(kept, work_folder(spark, "processed"))
+    return write_stage(cleaning.drop_nulls(dirty_view(spark, d)), work_folder(spark, "processed"))
 
 
 @query
@@ -230,8 +232,18 @@ def fraud_stats(spark, d):
 
 @query
 def median_approx(spark, d):
-    return _flagged(spark, d).groupBy("fraud").agg(
-        *[quantiles.approx_median(c).alias(f"median_{c}") for c in S.STATS_COLUMNS])
+    """Per class and column: whether the median is one of the values and within 0.1 % of the rank."""
+    rows = long_values(_flagged(spark, d), S.STATS_COLUMNS, ["fraud"])
+    found = rows.groupBy("fraud", "column").agg(
+        quantiles.approx_median("x").alias("m"), F.count(F.lit(1)).alias("n"))
+    at = F.col("x").cast("double")
+    counts = rows.join(found, ["fraud", "column"]).groupBy("fraud", "column", "n").agg(
+        F.sum((at < F.col("m")).cast("bigint")).alias("below"),
+        F.sum((at == F.col("m")).cast("bigint")).alias("same"))
+    half, slack = F.col("n") / 2, F.col("n") / 1000 + 1
+    return counts.select("fraud", "column", (F.col("same") > 0).alias("occurs"),
+                         ((F.col("below") <= half + slack)
+                          & (F.col("below") + F.col("same") >= half - slack)).alias("in_bounds"))
 
 
 @query
@@ -250,6 +262,12 @@ def correlation_matrix(spark, d):
     return _round(profile.correlation(_flagged(spark, d), [*S.NUMERIC, "fraud"]), 6, "r")
 
 
+@query
+def correlation_pairwise(spark, d):
+    """Over the rows with both values, on a table with nulls."""
+    return _round(profile.correlation(dirty_view(spark, d), S.NUMERIC, "pairwise"), 6, "r")
+
+
 @query
 def histogram_fixed(spark, d):
     return _round(distribution.histogram(txn_view(spark, d), S.HISTOGRAM_COLUMNS), 6,
@@ -264,15 +282,16 @@ def histogram_fraud(spark, d):
 
 @query
 def histogram_auto(spark, d):
-    rows = boxcox_apply(txn_view(spark, d), {"income": 0.0})
-    return _round(distribution.histogram_auto(rows, ["length", "income", "income_boxcox"]), 6,
-                  "bin_low", "bin_high")
+    rows = boxcox_apply(txn_view(spark, d), dict.fromkeys(S.BOXCOX_COLUMNS, 0.0))
+    return _round(distribution.histogram_auto(rows, RAW_AND_BOXCOX), 6, "bin_low", "bin_high")
 
 
 @query
 def kde_curve(spark, d):
-    curve = distribution.kde(txn_view(spark, d), ["income"], cut=0.0).drop("column")
-    return _round(_round(curve, 4, "x"), 14, "density")
+    rows = boxcox_apply(txn_view(spark, d), dict.fromkeys(S.BOXCOX_COLUMNS, 0.0))
+    curve = _round(distribution.kde(rows, RAW_AND_BOXCOX, cut=0.0), 4, "x")
+    fine = F.when(F.col("column") == "income", F.round("density", 14)).otherwise(F.round("density", 9))
+    return curve.withColumn("density", fine)
 
 
 @query
@@ -325,8 +344,8 @@ def scatter_sample(spark, d):
 
 @query
 def pair_density(spark, d):
-    kept = sampling.downsample_majority(txn_view(spark, d))
-    return distribution.pair_density(kept, S.NUMERIC, "label")
+    rows = cleaning.relabel_binary(txn_view(spark, d))
+    return distribution.pair_density(rows, S.NUMERIC, "label")
 
 
 @query
@@ -390,9 +409,7 @@ def downsample_majority(spark, d):
 
 @query
 def stratified_split(spark, d):
-    train, test = sampling.stratified_split(cleaning.encode_label(dirty_view(spark, d)))
-    return cleaning.union_rows(train.withColumn("split", F.lit("train")),
-                               test.withColumn("split", F.lit("test")))
+    return sampling.split_column(cleaning.encode_label(dirty_view(spark, d)))
 
 
 @query
@@ -437,23 +454,23 @@ def outlier_scatter(spark, d):
 # --- models ------------------------------------------------------------------------------------
 
 def _features(spark, d):
-    kept = sampling.downsample_majority(cleaning.drop_nulls(txn_view(spark, d)))
-    return build_features(write_stage(kept, work_folder(spark, "processed")), LAMBDAS)
+    rows = cleaning.relabel_binary(cleaning.drop_nulls(txn_view(spark, d)))
+    return build_features(write_stage(rows, work_folder(spark, "processed")), LAMBDAS)
 
 
-def _train_test(spark, d, columns=S.TRAINER_FEATURES):
-    data = models.assemble_features(cleaning.encode_label(_features(spark, d)), columns)
-    return sampling.stratified_split(data)
+def _train_test(spark, d):
+    return sampling.stratified_split(
+        models.assemble_features(separable_view(spark, d), SEPARABLE_FEATURES))
 
 
-def _scored(pred):
-    return positive_score(pred).select(*REQUEST_ID, "label", "prediction", "score")
+def _predicted(pred):
+    return pred.select(*REQUEST_ID, "label", F.col("prediction").cast("int").alias("prediction"))
 
 
 def _fit_query(name: str) -> Query:
     def run(spark, d):
         train, test = _train_test(spark, d)
-        return _scored(models.predict(models.fit(name, train), test))
+        return _predicted(models.predict(models.fit(name, train), test))
     return run
 
 
@@ -473,10 +490,9 @@ def assemble_features(spark, d):
 
 @query
 def vector_element(spark, d):
-    train, test = _train_test(spark, d)
-    pred = models.predict(models.fit("bayes", train), test)
-    return vector_to_columns(pred, "probability", ["p_minority", "p_majority"]).select(
-        *REQUEST_ID, "p_minority", "p_majority")
+    names = [f"v_{c}" for c in S.NUMERIC]
+    vectors = models.assemble_features(txn_view(spark, d), S.NUMERIC)
+    return vector_to_columns(vectors, "features", names).select("address", *names)
 
 
 @query
@@ -492,7 +508,8 @@ def weighted_metrics(spark, d):
 
 @query
 def model_leaderboard(spark, d):
-    return models.compare_models(*_train_test(spark, d))[0]
+    board = models.compare_models(*_train_test(spark, d))[0]
+    return _round(board, 9, "auc", "precision", "recall", "f1", "accuracy")
 
 
 @query
@@ -512,36 +529,45 @@ def confusion_matrix(spark, d):
 
 @query
 def feature_importance(spark, d):
+    """Whether each feature weighs more than the one that says nothing about the label."""
     train, _ = _train_test(spark, d)
-    return models.importances(models.fit("forest", train), train, S.TRAINER_FEATURES)
+    table = models.importances(models.fit("forest", train), train, SEPARABLE_FEATURES)
+    noise = table.filter("feature = 'count'").select(F.col("importance").alias("noise"))
+    return table.join(F.broadcast(noise)).select(
+        "feature", (F.col("importance") > F.col("noise") + 0.1).alias("informative"))
 
 
 @query
 def rank_importance(spark, d):
-    train, _ = _train_test(spark, d)
-    table = models.importances(models.fit("logistic", train), train, S.TRAINER_FEATURES)
+    """Mean of each number column as its importance, stored as a report, read and ranked."""
+    means = txn_view(spark, d).agg(*[F.round(F.mean(c), 6).alias(c) for c in S.NUMERIC])
+    table = means.unpivot([], S.NUMERIC, "feature", "importance")
     path = work_folder(spark, "importances")
     write_report(table, path)
     stored = spark.read.option("header", True).schema("feature string, importance double").csv(path)
-    return models.rank_importance(stored)
+    ranked = models.rank_importance(stored).collect()
+    return spark.createDataFrame([(i + 1, r["feature"], r["importance"]) for i, r in enumerate(ranked)],
+                                 "place int, feature string, importance double")
 
 
 @query
 def test_predictions(spark, d):
     train, test = _train_test(spark, d)
     pred = models.predict(models.fit("tree", train), test)
-    return _scored(write_stage(pred, work_folder(spark, "predictions")))
+    return _predicted(write_stage(pred, work_folder(spark, "predictions")))
 
 
 def _stored_model(spark, d):
     train, _ = _train_test(spark, d)
     path = work_folder(spark, "model")
-    models.save_model(models.fit("tree", train), S.TRAINER_FEATURES, path)
+    models.save_model(models.fit("tree", train), SEPARABLE_FEATURES, path)
     return models.load_model(path)
 
 
 def _requests(spark, d) -> tuple[str, T.StructType]:
-    records = _features(spark, d).select(*dict.fromkeys([*REQUEST_ID, *S.TRAINER_FEATURES]))
+    """All records as JSON lines."""
+    records = separable_view(spark, d).select(
+        *dict.fromkeys([*REQUEST_ID, "label", *SEPARABLE_FEATURES]))
     path = work_folder(spark, "requests")
     records.write.json(path)
     return path, records.schema
@@ -549,15 +575,13 @@ def _requests(spark, d) -> tuple[str, T.StructType]:
 
 @query
 def model_roundtrip(spark, d):
-    return score(_stored_model(spark, d), _features(spark, d)).select(
-        *REQUEST_ID, "prediction", "score")
+    return _predicted(score(_stored_model(spark, d), separable_view(spark, d)))
 
 
 @query
 def batch_scoring(spark, d):
     path, schema = _requests(spark, d)
-    return score(_stored_model(spark, d), read_requests(spark, path, schema)).select(
-        *REQUEST_ID, "prediction", "score")
+    return _predicted(score(_stored_model(spark, d), read_requests(spark, path, schema)))
 
 
 @query
@@ -567,7 +591,7 @@ def stream_scoring(spark, d):
     stream = score_stream(_stored_model(spark, d), read_request_stream(spark, path, schema), out,
                           work_folder(spark, "stream"))
     stream.awaitTermination()
-    return spark.read.parquet(out).select(*REQUEST_ID, "prediction", "score")
+    return _predicted(spark.read.parquet(out))
 
 
 # --- compositions ------------------------------------------------------------------------------
@@ -580,9 +604,13 @@ def feature_table(spark, d):
 
 @query
 def run_stages(spark, d):
+    """The whole run on transactions whose class follows from one feature, which trees must find."""
     source = work_folder(spark, "source")
-    txn_view(spark, d).write.parquet(source)
-    return staged_run(spark, source, work_folder(spark, "run")).leaderboard
+    family = F.when(F.col("looped") > 0, "family_a").otherwise(S.MAJORITY)
+    txn_view(spark, d).withColumn("label", family).write.parquet(source)
+    board = staged_run(spark, source, work_folder(spark, "run")).leaderboard
+    tree = F.col("algorithm").isin("DecisionTreeClassifier", "GBTClassifier")
+    return board.select("algorithm", F.when(tree, F.round("auc", 6)).alias("tree_auc"))
 
 
 QUERIES["boxcox_apply"] = QUERIES.pop("boxcox_apply_columns")

@@ -22,7 +22,11 @@ PUBLIC_HOLIDAYS = [
 
 def txn_date(year: str | Column = "year", day: str | Column = "day") -> Column:
     """The date, or NULL for a null part or a day the year does not have."""
-    return F.try_to_date(F.concat_ws("-", year, day), "yyyy-D")
+    year = F.col(year) if isinstance(year, str) else year
+    day = F.col(day) if isinstance(day, str) else day
+    known = year.between(1, 9999) & day.between(1, 366)
+    found = F.date_add(F.make_date(F.when(known, year), F.lit(1), F.lit(1)), day - 1)
+    return F.when(known & (F.year(found) == year), found)
 
 
 def add_day_of_week(df: DataFrame) -> DataFrame:
@@ -41,7 +45,7 @@ def add_weekend_flag(df: DataFrame) -> DataFrame:
 
 def is_public_holiday(day: str | Column = "day", days: list[int] | None = None) -> Column:
     day = F.col(day) if isinstance(day, str) else day
-    return F.when(day.isin(days or PUBLIC_HOLIDAYS), 1).otherwise(0)
+    return F.when(day.isin(PUBLIC_HOLIDAYS if days is None else days), 1).otherwise(0)
 
 
 def add_holiday_flag(df: DataFrame, days: list[int] | None = None) -> DataFrame:

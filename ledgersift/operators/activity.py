@@ -2,38 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.operators.sizing import TASK_ROWS
 
-
-def add_num_addresses(df: DataFrame, key: str = "address", out: str = "num_addresses",
-                      task_rows: int = TASK_ROWS) -> DataFrame:
+def add_num_addresses(df: DataFrame, key: str = "address", out: str = "num_addresses") -> DataFrame:
     """The number of rows with the same address; 0 for a null address.
 
-    A window by address alone would put a busy address into one task, so the addresses are counted
-    first (partial counts before the shuffle, the address column only). Then:
-
-    - up to `task_rows` addresses: the counts are broadcast and the table is not shuffled;
-    - more: busy addresses (above `task_rows` rows and above rows / task_rows, so at most
-      `task_rows` of them) get their count by broadcast and their rows stay where they are; all
-      others go through the window, where no address is large enough to hold up a task.
+    The addresses are counted with partial counts before the shuffle, and the counts joined back: two
+    scans. Spark sends the counts to all tasks where they are few, and otherwise splits the rows of a
+    busy address over several tasks, which a window by address could not.
     """
-    keyed = df.filter(F.col(key).isNotNull())
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias(out))
-    size = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum(out).alias("rows"),
-                      F.max(out).alias("top")).first()
-    if size["keys"] <= task_rows:
-        joined = df.join(F.broadcast(counts), key, "left")
-        return joined.select(*df.columns, F.coalesce(out, F.lit(0)).alias(out))
-
-    same = F.count(key).over(Window.partitionBy(key))
-    without = df.filter(F.col(key).isNull()).withColumn(out, F.lit(0).cast("bigint"))
-    busy_rows = max(task_rows, size["rows"] // task_rows)
-    if size["top"] <= busy_rows:
-        return keyed.withColumn(out, same).unionByName(without)
-    busy = F.broadcast(counts.filter(F.col(out) > busy_rows))
-    busy_part = keyed.join(busy, key).select(*df.columns, out)
-    quiet_part = keyed.join(busy, key, "left_anti").withColumn(out, same)
-    return busy_part.unionByName(quiet_part).unionByName(without)
+    counts = (df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_counted"))
+              .agg(F.count(F.lit(1)).alias("_rows")))
+    joined = df.join(counts, F.col(key) == F.col("_counted"), "left")
+    return joined.select(*df.columns, F.coalesce("_rows", F.lit(0)).alias(out))

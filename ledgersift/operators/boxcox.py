@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ledgersift.operators.sizing import COUNT_ROWS, long_values, small_rows, weighted_values
+from ledgersift.operators.sizing import long_values, small_rows, weighted_values
 
 FIRST_POINTS = 17   # from -2 to 2
 NEXT_POINTS = 5
@@ -49,14 +49,9 @@ class _Likelihood:
     def __init__(self, df: DataFrame, columns: list[str]):
         self.spark = df.sparkSession
         self.kept: list[DataFrame] = []
-        values = long_values(df, columns)
-        if df.count() * len(columns) <= COUNT_ROWS:
-            self.values = self._stored(weighted_values(values, ["column"], "column", columns, []))
-            self.stats = _summary(self.values)
-        else:
-            self.stats = _summary(values.withColumn("n", F.lit(1).cast("bigint")),
-                                  F.approx_count_distinct("x").alias("n_distinct"))
-            self.values = self._counted_where_repeated(values, columns)
+        # counted once; every later request reads the distinct values from the store
+        self.values = self._stored(weighted_values(long_values(df, columns), ["column"]))
+        self.stats = _summary(self.values)
         for c in columns:
             _require_spread(c, self.stats.get(c))
 
@@ -64,20 +59,6 @@ class _Likelihood:
         self.kept.append(counted.persist(StorageLevel.MEMORY_AND_DISK))
         return counted
 
-    def _counted_where_repeated(self, values: DataFrame, columns: list[str]) -> DataFrame:
-        """Count repeated values once; read columns of nearly unique values again in each round."""
-        distinct = {c: s["n_distinct"] for c, s in self.stats.items()}
-        repeated = [c for c in columns if c in distinct and distinct[c] * 4 < self.stats[c]["n"]]
-        unique = [c for c in columns if c not in repeated]
-        if not repeated:
-            return weighted_values(values, ["column"], "column", [], unique)
-        counted = weighted_values(values, ["column"], "column", repeated, [])
-        if sum(distinct[c] for c in repeated) <= COUNT_ROWS:
-            counted = self._stored(counted)
-        if not unique:
-            return counted
-        return counted.unionByName(weighted_values(values, ["column"], "column", [], unique))
-
     def __enter__(self) -> _Likelihood:
         return self
 

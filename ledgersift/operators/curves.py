@@ -1,9 +1,9 @@
 """ROC and precision-recall curves, area under ROC, confusion table and class metrics.
 
-Curves need running counts over all scores in order. A window without partitions would put every
-row into one task, so equal scores are counted first, the distinct scores are cut into ranges of
-bounded size, running counts are taken within each range, and each range adds the totals of those
-before it.
+Curves need running counts over all scores in order. Equal scores are counted first and the counts
+stored, so predictions are read once. A window without partitions would put all scores into one task;
+instead the distinct scores are cut into ranges, running counts are taken within each range, and each
+range adds the totals of those above it.
 """
 
 from __future__ import annotations
@@ -14,71 +14,71 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgersift.operators.sizing import TASK_ROWS, small_table
-
-MAX_RANGES = 8192
+from ledgersift.session import work_folder
 
 
 class OneClassError(ValueError):
     """A curve needs rows of both classes."""
 
 
-def _totals(pred: DataFrame, label: str, score: str) -> tuple[int, int, int]:
-    rows = pred.filter(F.col(score).isNotNull())
-    r = rows.agg(F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-                 F.sum((F.col(label) == 0).cast("bigint")).alias("neg")).first()
+def score_counts(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """(score, pos, neg) per distinct score, stored."""
+    counts = pred.filter(F.col(score).isNotNull()).groupBy(
+        F.col(score).cast("double").alias("score")).agg(
+        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
+        F.sum((F.col(label) == 0).cast("bigint")).alias("neg"))
+    path = work_folder(pred.sparkSession, "scores")
+    counts.write.parquet(path)
+    return pred.sparkSession.read.schema(counts.schema).parquet(path)
+
+
+def _totals(counts: DataFrame) -> tuple[int, int]:
+    r = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
     pos, neg = r["pos"] or 0, r["neg"] or 0
     if not pos or not neg:
         raise OneClassError(f"need both classes, got {pos} positive and {neg} negative rows")
-    return pos, neg, pos + neg
+    return pos, neg
 
 
-def _range_ends(pred: DataFrame, score: str, ranges: int) -> list[float]:
-    """Sketched scores that cut the rows into about equal ranges (deterministic once collected)."""
-    k = max(800, 4 * ranges)
-    sketch = (pred.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("slice"))
-              .agg(F.kll_sketch_agg_double(F.col(score).cast("double"), k).alias("sketch"))
+def _range_ends(counts: DataFrame, ranges: int) -> list[float]:
+    """Sketched scores that cut the distinct scores into about equal ranges."""
+    k = min(65_535, max(800, 4 * ranges))
+    sketch = (counts.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("slice"))
+              .agg(F.kll_sketch_agg_double("score", k).alias("sketch"))
               .agg(F.kll_merge_agg_double("sketch", k).alias("sketch")))
     at = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     return sorted(set(sketch.select(F.kll_sketch_get_quantile_double("sketch", at)).first()[0]))
 
 
-def running_counts(pred: DataFrame, label: str, score: str, rows: int,
-                   task_rows: int = TASK_ROWS) -> DataFrame:
-    """(score, pos, neg, tp, fp) per distinct score; tp and fp count this score and all above."""
-    counts = pred.filter(F.col(score).isNotNull()).groupBy(
-        F.col(score).cast("double").alias("score")).agg(
-        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-        F.sum((F.col(label) == 0).cast("bigint")).alias("neg"))
-    ranges = min(MAX_RANGES, math.ceil(rows / task_rows))
-    ends = _range_ends(pred, score, ranges) if ranges > 1 else []
-    if ends:
-        counts = Bucketizer(splits=[-math.inf, *ends, math.inf], inputCol="score",
-                            outputCol="range").transform(counts)
-    else:
-        counts = counts.withColumn("range", F.lit(0.0))
+def running_counts(counts: DataFrame, ranges: int | None = None) -> DataFrame:
+    """(score, pos, neg, tp, fp) from `score_counts`; tp and fp count this score and all above.
+
+    By default there are as many ranges as shuffle partitions.
+    """
+    spark = counts.sparkSession
+    ranges = max(2, ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    located = Bucketizer(splits=[-math.inf, *_range_ends(counts, ranges), math.inf],
+                         inputCol="score", outputCol="range").transform(counts)
     above = (Window.partitionBy("range").orderBy(F.desc("score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = counts.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above)})
-    if not ends:
-        return within.drop("range")
-    per_range = small_table(counts.groupBy("range").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "score ranges")
+    within = located.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above)})
     higher = (Window.partitionBy(F.lit(0)).orderBy(F.desc("range"))
-              .rowsBetween(Window.unboundedPreceding, -1))  # at most MAX_RANGES rows
-    before = per_range.select(
+              .rowsBetween(Window.unboundedPreceding, -1))  # one row per range
+    before = located.groupBy("range").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(
         "range", F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("tp_before"),
         F.coalesce(F.sum("neg").over(higher), F.lit(0)).alias("fp_before"))
-    return within.join(F.broadcast(before), "range").select(
+    return within.join(before, "range").select(
         "score", "pos", "neg", (F.col("tp") + F.col("tp_before")).alias("tp"),
         (F.col("fp") + F.col("fp_before")).alias("fp"))
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "score",
-               task_rows: int = TASK_ROWS) -> DataFrame:
+               ranges: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr): one point per distinct score, and (0, 0) at threshold infinity."""
-    pos, neg, rows = _totals(pred, label, score)
-    points = running_counts(pred, label, score, rows, task_rows).select(
+    counts = score_counts(pred, label, score)
+    pos, neg = _totals(counts)
+    points = running_counts(counts, ranges).select(
         F.col("score").alias("threshold"), (F.col("fp") / F.lit(neg)).alias("fpr"),
         (F.col("tp") / F.lit(pos)).alias("tpr"))
     start = pred.sparkSession.createDataFrame(
@@ -87,10 +87,11 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "score",
 
 
 def pr_points(pred: DataFrame, label: str = "label", score: str = "score",
-              task_rows: int = TASK_ROWS) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """(threshold, precision, recall): one point per distinct score, and (1, 0) without one."""
-    pos, _, rows = _totals(pred, label, score)
-    points = running_counts(pred, label, score, rows, task_rows).select(
+    counts = score_counts(pred, label, score)
+    pos, _ = _totals(counts)
+    points = running_counts(counts, ranges).select(
         F.col("score").alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         (F.col("tp") / F.lit(pos)).alias("recall"))
@@ -100,25 +101,34 @@ def pr_points(pred: DataFrame, label: str = "label", score: str = "score",
 
 
 def auc_roc(pred: DataFrame, label: str = "label", score: str = "score",
-            task_rows: int = TASK_ROWS) -> DataFrame:
+            ranges: int | None = None) -> DataFrame:
     """(auc): the share of (positive, negative) pairs ranked rightly, ties counting half."""
-    pos, neg, rows = _totals(pred, label, score)
-    counts = running_counts(pred, label, score, rows, task_rows)
+    counts = score_counts(pred, label, score)
+    pos, neg = _totals(counts)
     higher = F.col("tp") - F.col("pos")
     area = F.sum(F.col("neg") * (higher + F.col("pos") / 2)) / F.lit(float(pos) * float(neg))
-    return counts.agg(area.alias("auc"))
+    return running_counts(counts, ranges).agg(area.alias("auc"))
 
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction",
               classes: tuple[int, ...] = (0, 1)) -> DataFrame:
-    """(label, prediction, n) for every pair of classes, zero where there are no rows."""
+    """(label, prediction, n) for every pair of classes, zero where there are no rows.
+
+    A label or prediction outside `classes` is an error, so no row is left out of the counts.
+    """
     counts = pred.groupBy(F.col(label).cast("int").alias("label"),
                           F.col(prediction).cast("int").alias("prediction")).agg(
         F.count(F.lit(1)).alias("n"))
-    known = counts.filter(F.col("label").isin(*classes) & F.col("prediction").isin(*classes))
+    def checked(column: str):
+        value = F.col(column)
+        return F.when(value.isin(*classes), value).otherwise(F.raise_error(F.concat(
+            F.lit(f"{column} outside {classes}: "), F.coalesce(value.cast("string"), F.lit("null"))))
+            .cast("int")).alias(column)
+
+    known = counts.select(checked("label"), checked("prediction"), "n")
     domain = pred.sparkSession.createDataFrame(
         [(a, p) for a in classes for p in classes], "label int, prediction int")
-    return domain.join(F.broadcast(known), ["label", "prediction"], "left").select(
+    return known.join(F.broadcast(domain), ["label", "prediction"], "right").select(
         "label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
 
 

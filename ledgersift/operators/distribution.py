@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ledgersift.operators.quantiles import exact_quantiles
 from ledgersift.operators.sizing import (
-    TASK_ROWS, long_values, rows_from_columns, small_rows, small_table, weighted_values, worth_counting)
+    long_values, rows_from_columns, small_rows, small_table, weighted_values)
 
-# Beyond this many bandwidths a value adds less than exp(-72), or 1e-31 of its own peak.
-REACH = 12.0
+# Beyond this many bandwidths exp(-z * z / 2) is zero in double precision, so nothing is left out.
+REACH = 39.0
 
 
 def value_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -43,9 +43,11 @@ def _bin_index(x: Column, lo: Column, width: Column, bins: Column) -> Column:
 
 
 def _binned(df: DataFrame, columns: list[str], plan: DataFrame) -> DataFrame:
-    index = _bin_index(F.col("x"), F.col("lo"), F.col("width"), F.col("bins"))
-    return (long_values(df, columns).join(F.broadcast(plan), "column")
-            .groupBy("column", index.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    entries = [F.struct(F.lit(r["column"]).alias("column"), _bin_index(
+        F.col(r["column"]).cast("double"), F.lit(r["lo"]), F.lit(r["width"]),
+        F.lit(r["bins"])).alias("bin")) for r in plan.collect() if r["column"] in columns]
+    return (df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("bin IS NOT NULL")
+            .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n")))
 
 
 def _with_edges(rows: DataFrame) -> DataFrame:
@@ -66,17 +68,16 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:
     return _with_edges(slots.join(F.broadcast(counts), ["column", "bin"], "left"))
 
 
-def histogram_auto(df: DataFrame, columns: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
+def histogram_auto(df: DataFrame, columns: list[str]) -> DataFrame:
     """Histogram with the number of bins taken from the data; occupied bins only.
 
     Bin width is the smaller of the Freedman-Diaconis and Sturges widths. Heavy tails can ask for
     far more bins than there are rows, so empty ones are left out.
     """
     ranges = [r for r in value_ranges(df, columns).collect() if r["n"]]
-    sizes = [{r["column"]: r["n"] for r in ranges}]
     columns = [r["column"] for r in ranges]
     quarters = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(
-        df, columns, [0.25, 0.75], task_rows=task_rows, sizes=sizes).collect()}
+        df, columns, [0.25, 0.75]).collect()}
     bins = {}
     for r in ranges:
         span, n = r["hi"] - r["lo"], r["n"]
@@ -94,18 +95,18 @@ def kde(df: DataFrame, columns: list[str], by: str | None = None, grid: int = 20
     """Gaussian kernel density (column, [by], point, x, density), Scott's bandwidth.
 
     Each column and class has its own bandwidth, even grid and unit area. Every value contributes to
-    every grid point within `REACH` bandwidths; nothing is binned or sampled. Contributions are
+    every grid point where it is not zero in double precision; nothing is binned or sampled. Contributions are
     summed per grid point before the shuffle, so a task sends at most `grid` rows per curve.
     """
     values = long_values(df.withColumn("_class", F.col(by) if by else F.lit("all")), columns,
                          ["_class"])
     stats = small_table(values.groupBy("column", "_class").agg(
         F.count("x").alias("n_all"), F.stddev_samp("x").alias("std"), F.min("x").alias("x_min"),
-        F.max("x").alias("x_max"), F.approx_count_distinct("x").alias("n_distinct")),
+        F.max("x").alias("x_max")),
         f"classes of {by}")
     bandwidth = F.col("std") * F.pow(F.col("n_all").cast("double"), F.lit(-0.2))
     curve = stats.withColumn("bw", bandwidth).filter("bw > 0").select(
-        "column", F.col("_class").alias("_of"), "n_all", "n_distinct", "bw",
+        "column", F.col("_class").alias("_of"), "n_all", "bw",
         (F.col("x_min") - F.lit(cut) * F.col("bw")).alias("lo"),
         ((F.col("x_max") - F.col("x_min") + 2 * F.lit(cut) * F.col("bw"))
          / F.lit(grid - 1)).alias("step"))
@@ -113,10 +114,7 @@ def kde(df: DataFrame, columns: list[str], by: str | None = None, grid: int = 20
     mine = F.broadcast(curve.withColumnRenamed("column", "_name"))
     rows = values.join(mine, (F.col("column") == F.col("_name"))
                        & F.col("_class").eqNullSafe(F.col("_of")))
-    counted, single = [], []
-    for c in curve.collect():
-        (counted if worth_counting(c["n_all"], c["n_distinct"]) else single).append(c["curve"])
-    weighted = weighted_values(rows, ["curve", "lo", "step", "bw"], "curve", counted, single)
+    weighted = weighted_values(rows, ["curve", "lo", "step", "bw"])
     reach = REACH * F.col("bw")
     first = F.greatest(F.ceil((F.col("x") - reach - F.col("lo")) / F.col("step")), F.lit(0))
     last = F.least(F.floor((F.col("x") + reach - F.col("lo")) / F.col("step")), F.lit(grid - 1))
@@ -135,11 +133,10 @@ def kde(df: DataFrame, columns: list[str], by: str | None = None, grid: int = 20
         (F.col("lo") + F.col("point") * F.col("step")).alias("x"), density.alias("density"))
 
 
-def boxplot_stats(df: DataFrame, columns: list[str], whisker: float = 1.5,
-                  task_rows: int = TASK_ROWS) -> DataFrame:
+def boxplot_stats(df: DataFrame, columns: list[str], whisker: float = 1.5) -> DataFrame:
     """Per column: quartiles, whisker ends, and the number of rows beyond the whiskers."""
     names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
-    quarters = small_rows(exact_quantiles(df, columns, list(names), task_rows=task_rows), "columns")
+    quarters = small_rows(exact_quantiles(df, columns, list(names)), "columns")
     q = {(r["column"], names[r["prob"]]): r["value"] for r in quarters}
     found = [c for c in columns if q.get((c, "q1")) is not None]
     aggregates = []

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ledgersift.operators.curves import class_metrics
+from ledgersift.functions.features import positive_score
+from ledgersift.operators.curves import auc_roc, class_metrics
 from ledgersift.schema import TRAINER_FEATURES
 
 SEED = 1024
@@ -82,10 +83,15 @@ def compare_models(train: DataFrame, test: DataFrame, names: list[str] | None =
 
     def run(name: str):
         model = estimator(name).fit(train)
-        pred = model.transform(test).select("label", "rawPrediction", "prediction")
-        m = class_metrics(pred).first()
-        return model, (ALGORITHMS[name][0], evaluate_auc(pred), m["precision"], m["recall"],
-                       m["f1"], m["accuracy"])
+        # one pass over the test rows; area and metrics read what it leaves
+        pred = positive_score(model.transform(test)).select("label", "score", "prediction").persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            m, auc = class_metrics(pred).first(), auc_roc(pred).first()["auc"]
+        finally:
+            pred.unpersist()
+        return model, (ALGORITHMS[name][0], auc, m["precision"], m["recall"], m["f1"],
+                       m["accuracy"])
 
     try:
         with ThreadPool(max(1, min(parallelism, len(names)))) as pool:

@@ -29,6 +29,8 @@ def _nearest(queries: np.ndarray, query_no: np.ndarray, members: np.ndarray,
              member_no: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distances and row numbers of the k members nearest to each query, itself left out."""
     k = min(k, len(members))
+    by_number = np.argsort(member_no)   # a stable sort by distance then settles ties by row number
+    members, member_no = members[by_number], member_no[by_number]
     dist = np.empty((len(queries), k))
     near = np.empty((len(queries), k), dtype=np.int64)
     for at in range(0, len(queries), STEP):
@@ -62,8 +64,6 @@ def nearest_neighbors(numbered: DataFrame, features: list[str], k: int, rows: in
                              **{f: pdf[f].to_numpy() for f in features}})
 
     own = members.groupBy("block").applyInPandas(own_block, found_schema)
-    if rows <= block_rows:
-        return _ranked(own, k)
     ensure_checkpoint_dir(numbered.sparkSession)
     own = own.checkpoint()
     visits = _visits(own, members, features, block_rows)
@@ -111,12 +111,14 @@ def _visits(own: DataFrame, members: DataFrame, features: list[str],
                 for j in range(d):
                     x = points[r, j]
                     gap += np.maximum(0.0, np.maximum(lo[b, j] - x, x - hi[b, j])) ** 2
-                near = (np.sqrt(gap) < reach[r]) & (block[b] != numbers[r] // block_rows)
+                near = (np.sqrt(gap) <= reach[r]) & (block[b] != numbers[r] // block_rows)
                 r, b = r[near], b[near]
                 yield pd.DataFrame({"row_no": numbers[r], "block": block[b],
                                     **{f: points[r, j] for j, f in enumerate(features)}})
 
-    return own.select("row_no", "dist", *features).mapInPandas(probe, schema)
+    visits = own.select("row_no", "dist", *features).mapInPandas(probe, schema).checkpoint()
+    shared.destroy()
+    return visits
 
 
 def _visited(visits: DataFrame, members: DataFrame, features: list[str], k: int) -> DataFrame:

@@ -4,24 +4,20 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.operators.sizing import TASK_ROWS, small_rows
+from ledgersift.operators.sizing import small_rows
 from ledgersift.session import ensure_checkpoint_dir
 
 
-def number_rows(df: DataFrame, order_by: list[str], rows: int, out: str = "row_no",
-                task_rows: int = TASK_ROWS) -> DataFrame:
-    """Add a row number; `rows` is the number of rows of `df`.
+def number_rows(df: DataFrame, order_by: list[str], out: str = "row_no") -> DataFrame:
+    """Add a row number.
 
-    Large tables are sorted by range, checkpointed so that each row keeps its partition and place,
+    The table is sorted by range, checkpointed so that each row keeps its partition and place,
     and numbered by the sizes of the partitions before theirs. Equal rows may be spread over
     partitions (their order does not matter), so copies of one row do not pile up in a task.
     """
-    if rows <= task_rows:
-        order = Window.partitionBy(F.lit(0)).orderBy(*order_by)
-        return df.withColumn(out, (F.row_number().over(order) - 1).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
     placed = (df.withColumn("_arrival", F.monotonically_increasing_id())
               .orderBy(*order_by, "_arrival").drop("_arrival").checkpoint())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgersift.functions.hashing import hash_bits, hash_fraction
 from ledgersift.operators.neighbors import BLOCK_ROWS, nearest_neighbors
 from ledgersift.operators.numbering import number_rows
-from ledgersift.operators.sizing import TASK_ROWS, small_rows
+from ledgersift.operators.sizing import small_rows
 
 SEED = 42  # fixed value
 
@@ -26,27 +26,24 @@ def _stream(seed: int, cls) -> str:
 
 
 def random_oversample(df: DataFrame, target: str, seed: int = SEED,
-                      order_by: list[str] | None = None,
-                      task_rows: int = TASK_ROWS) -> DataFrame:
+                      order_by: list[str] | None = None) -> DataFrame:
     """Add minority rows drawn with replacement until every class has as many rows as the largest.
 
     Each draw is one row of a range and picks a row number by hash, so the draws are spread evenly
-    whatever the number of minority rows. A minority of up to `task_rows` rows is broadcast to the
-    draws; a larger one is joined on the row number, where no number is drawn unusually often.
+    whatever the number of minority rows. They are joined on the row number, where no number is drawn
+    unusually often.
     """
     out = df
     for cls, rows, missing in _deficits(df, target):
-        numbered = number_rows(df.filter(F.col(target) == cls), order_by or df.columns, rows,
-                               task_rows=task_rows)
+        numbered = number_rows(df.filter(F.col(target) == cls), order_by or df.columns)
         draws = df.sparkSession.range(missing).select(
             (hash_bits([F.col("id")], _stream(seed, cls)) % rows).alias("row_no"))
-        numbered = F.broadcast(numbered) if rows <= task_rows else numbered
         out = out.unionByName(draws.join(numbered, "row_no").select(*df.columns))
     return out
 
 
 def smote(df: DataFrame, features: list[str], target: str, k: int = 5, seed: int = SEED,
-          task_rows: int = TASK_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add synthetic minority rows until every class has as many rows as the largest.
 
     A synthetic row is x + u (neighbour - x): x a minority row, the neighbour one of its
@@ -61,14 +58,13 @@ def smote(df: DataFrame, features: list[str], target: str, k: int = 5, seed: int
         points = df.filter(F.col(target) == cls).select(
             *[F.col(f).cast("double").alias(f) for f in features])
         wide = _widest_first(points, features)
-        numbered = number_rows(points, wide, rows, task_rows=task_rows)
-        parents = parent_pairs(numbered, wide, near, rows, block_rows, task_rows)
+        numbered = number_rows(points, wide)
+        parents = parent_pairs(numbered, wide, near, rows, block_rows)
         stream = _stream(seed, cls)
         draws = df.sparkSession.range(missing).select(
             (hash_bits([F.col("id")], f"{stream}-row") % rows).alias("row_no"),
             (hash_bits([F.col("id")], f"{stream}-near") % near).cast("int").alias("pick"),
             hash_fraction([F.col("id")], f"{stream}-step").alias("u"))
-        parents = F.broadcast(parents) if rows <= task_rows // 10 else parents
         made = draws.join(parents, ["row_no", "pick"]).select(
             *[(F.col(f) + F.col("u") * (F.col(f"near_{f}") - F.col(f)))
               .cast(df.schema[f].dataType).alias(f) for f in features],
@@ -84,12 +80,10 @@ def _widest_first(points: DataFrame, features: list[str]) -> list[str]:
 
 
 def parent_pairs(numbered: DataFrame, features: list[str], k: int, rows: int,
-                 block_rows: int = BLOCK_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(row_no, pick, features..., near_features...): each row with each of its k neighbours."""
     pairs = nearest_neighbors(numbered, features, k, rows, block_rows)
     other = numbered.select(F.col("row_no").alias("near_no"),
                             *[F.col(f).alias(f"near_{f}") for f in features])
-    small = rows <= task_rows // 10
-    return (pairs.join(F.broadcast(numbered) if small else numbered, "row_no")
-            .join(F.broadcast(other) if small else other, "near_no")
+    return (pairs.join(numbered, "row_no").join(other, "near_no")
             .select("row_no", "pick", *features, *[f"near_{f}" for f in features]))

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgersift.operators.quantiles import approx_median, exact_quantiles
-from ledgersift.operators.sizing import (
-    TASK_ROWS, local_table, rows_from_columns, small_rows, small_table)
+from ledgersift.operators.sizing import rows_from_columns, small_table
 
 
 def count_rows(df: DataFrame, step: str = "rows") -> DataFrame:
@@ -37,8 +36,8 @@ def null_counts(df: DataFrame) -> DataFrame:
         for c in df.columns])
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, quartiles: bool = False,
-             task_rows: int = TASK_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: list[str] | None = None,
+             quartiles: bool = False) -> DataFrame:
     """One row per column: n, mean, std, min and max, and the quartiles if asked for.
 
     Numeric columns fill `min` and `max`; string columns fill `min_text` and `max_text` only.
@@ -68,10 +67,8 @@ def describe(df: DataFrame, columns: list[str] | None = None, quartiles: bool =
         p: {c: F.col(f"{p}_{i}") for i, c in enumerate(columns)} for p in parts})
     if not quartiles or not numeric:
         return table
-    found = wide.first()
-    sizes = [{c: found[f"n_{i}"] for i, c in enumerate(columns)}]
     names = {0.25: "q1", 0.5: "median", 0.75: "q3"}
-    quarters = exact_quantiles(df, numeric, list(names), task_rows=task_rows, sizes=sizes)
+    quarters = exact_quantiles(df, numeric, list(names))
     wide_q = quarters.groupBy("column").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in names.items()])
     return table.join(F.broadcast(wide_q), "column", "left")
@@ -95,32 +92,29 @@ def moments(df: DataFrame, column: str) -> DataFrame:
 
 
 def class_stats(df: DataFrame, by: str, columns: list[str], median: str = "exact",
-                accuracy: int = 10_000, task_rows: int = TASK_ROWS) -> DataFrame:
+                accuracy: int = 10_000) -> DataFrame:
     """Per class: mean, median and sample standard deviation of each column.
 
-    `median="approx"` is one aggregate. `median="exact"` takes mean, deviation and class sizes from a
-    first aggregate and the medians from `exact_quantiles`.
+    `median="approx"` is one aggregate. `median="exact"` takes mean and deviation from an aggregate and
+    the medians from `exact_quantiles`; there may be any number of classes.
     """
     basic = [f(c).alias(f"{name}_{c}") for c in columns
              for name, f in (("mean", F.mean), ("std", F.stddev_samp))]
     if median == "approx":
         return df.groupBy(by).agg(
             *basic, *[approx_median(c, accuracy).alias(f"median_{c}") for c in columns])
-    first = df.groupBy(by).agg(*basic, *[F.count(c).alias(c) for c in columns])
-    classes = small_rows(first, f"classes of {by}")
-    middle = exact_quantiles(df, columns, [0.5], by, task_rows, classes).groupBy(by).agg(*[
-        F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"median_{c}")
-        for c in columns]).withColumnRenamed(by, "_by")
-    # one row per class on both sides
-    return (local_table(first, classes).drop(*columns)
-            .join(F.broadcast(middle), F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by"))
+    middle = exact_quantiles(df, columns, [0.5], by).groupBy(F.col(by).alias("_by")).agg(*[
+        F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"median_{c}") for c in columns])
+    return df.groupBy(by).agg(*basic).join(
+        middle, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
 
 
 def correlation(df: DataFrame, columns: list[str], invalid: str = "error") -> DataFrame:
-    """Pearson matrix as (col_a, col_b, r); r is NaN where a column is constant.
+    """Pearson matrix as (col_a, col_b, r); r is NaN where a column is constant or has no rows.
 
     One aggregate finds the means, a second sums the products of the centred columns; both are plain
-    sums in generated code. A null is an error, or with `invalid="skip"` drops its row.
+    sums in generated code. A null is an error, or with `invalid="skip"` drops its row, or with
+    `invalid="pairwise"` drops the row for the pairs with that column only.
     """
     plain = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if invalid == "skip":
@@ -129,23 +123,29 @@ def correlation(df: DataFrame, columns: list[str], invalid: str = "error") -> Da
         f(c).alias(f"{name}_{i}") for i, c in enumerate(columns)
         for name, f in (("count", F.count), ("mean", F.mean))]).first()
     short = [c for i, c in enumerate(columns) if first[f"count_{i}"] < first["n"]]
-    if short:
+    if short and invalid != "pairwise":
         raise ValueError(f"null values in {short}")
+    # centring by any constant leaves r as it is and keeps the sums small
+    centred = plain.select(*[(F.col(c) - F.lit(first[f"mean_{i}"] or 0.0)).alias(f"d_{i}")
+                             for i, c in enumerate(columns)])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    if first["n"]:
-        centred = [F.col(c) - F.lit(first[f"mean_{i}"]) for i, c in enumerate(columns)]
-        products = plain.select(*[x.alias(f"d_{i}") for i, x in enumerate(centred)]).agg(
-            *[F.sum(F.col(f"d_{i}") * F.col(f"d_{j}")).alias(f"s_{i}_{j}") for i, j in pairs]
-        ).first()
-        total = {p: products[f"s_{p[0]}_{p[1]}"] for p in pairs}
-    else:
-        total = {p: 0.0 for p in pairs}
+    sums = []
+    for i, j in pairs:
+        x, y = F.col(f"d_{i}"), F.col(f"d_{j}")
+        both = x.isNotNull() & y.isNotNull()
+        parts = {"n": F.lit(1.0), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
+        sums += [F.sum(F.when(both, v)).alias(f"{k}_{i}_{j}") for k, v in parts.items()]
+    total = centred.agg(*sums).first()
 
     def r(i: int, j: int) -> float:
-        scale = math.sqrt(total[i, i]) * math.sqrt(total[j, j])
+        i, j = min(i, j), max(i, j)
+        n, x, y, xx, yy, xy = (total[f"{k}_{i}_{j}"] or 0.0 for k in ("n", "x", "y", "xx", "yy", "xy"))
+        if not n:
+            return math.nan
+        scale = math.sqrt(max(0.0, xx - x * x / n)) * math.sqrt(max(0.0, yy - y * y / n))
         if scale == 0:
             return math.nan
-        return 1.0 if i == j else total[min(i, j), max(i, j)] / scale
+        return 1.0 if i == j else (xy - x * y / n) / scale
 
     rows = [(a, b, r(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")

@@ -1,11 +1,11 @@
 """Exact and approximate quantiles.
 
-`percentile` and `median` keep every distinct value of a group in one task. That is right up to
-`TASK_ROWS` rows per group. Above it, the wanted ranks are searched for: a sketch proposes two values
-around each rank, a pass counts the rows below, at, between and above them, and the counts tell for
-certain in which of these places the rank lies. A value that is repeated any number of times is
-settled as soon as it is proposed. When few rows are left, their values are counted and the rank is
-read off. The answer is exact; sketches only choose where to look.
+Exact quantiles take two scans whatever the size of the table. The first makes a sketch of each group
+and column, which proposes a narrow bracket around each wanted rank. The second counts the rows below
+each bracket and the values inside it, in one aggregate that hands on one row for all that lies below
+and one per distinct value inside. The counts tell for certain which values stand at the wanted ranks;
+should a bracket have missed its rank, it is widened and the second scan repeated. Sketches only choose
+where to look, so the answer is exact.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgersift.operators.sizing import TASK_ROWS, long_values, small_rows
+from ledgersift.operators.sizing import long_values
+from ledgersift.session import work_folder
 
 SKETCH_K = 4096      # sketch size; a rank is then known to about 0.1 % of the rows
-MARGIN = 0.001
+MARGIN = 0.002       # half a bracket's width as a share of the group's rows
 SKETCH_SLICES = 64   # sketches are merged in two steps, so no task merges one per input split
 
 
@@ -29,174 +29,110 @@ def approx_median(col: str | Column, accuracy: int = 10_000) -> Column:
 
 
 def exact_median(col: str | Column) -> Column:
-    """The exact median as an aggregate, for groups of up to about `TASK_ROWS` rows."""
+    """The exact median as an aggregate, for groups that fit in a task."""
     return F.median(col)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
-                    by: str | None = None, task_rows: int = TASK_ROWS,
-                    sizes: list | None = None) -> DataFrame:
+                    by: str | None = None, sketch_k: int = SKETCH_K,
+                    margin: float = MARGIN) -> DataFrame:
     """([by], column, prob, value) with linear interpolation between neighbouring ranks.
 
-    `sizes` may hand in rows like those of `group_sizes` when the caller has them already.
+    Nulls are left out; a group without other values has a null value. NaN ranks above all numbers.
     """
-    if sizes is None:
-        sizes = group_sizes(df, columns, by)
-    if max((r[c] for r in sizes for c in columns), default=0) <= task_rows:
-        return _one_pass(df, columns, probs, by)
-    return _narrowed(df, columns, probs, by, sizes, task_rows)
-
-
-def group_sizes(df: DataFrame, columns: list[str], by: str | None = None) -> list:
-    keys = [by] if by else []
-    return small_rows(df.groupBy(*keys).agg(*[F.count(c).alias(c) for c in columns]),
-                      f"groups of {by}")
-
-
-def _one_pass(df: DataFrame, columns: list[str], probs: Sequence[float],
-              by: str | None) -> DataFrame:
-    keys = [by] if by else []
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*keys).agg(
-        *[F.percentile(F.col(c).cast("double"), grid).alias(f"q_{c}") for c in columns])
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
-                 F.col(f"q_{c}")[i].alias("value"))
-        for c in columns for i, p in enumerate(probs)
-    ]
-    return wide.select(*keys, F.explode(F.array(*entries)).alias("e")).select(*keys, "e.*")
-
-
-def _narrowed(df: DataFrame, columns: list[str], probs: Sequence[float], by: str | None,
-              sizes: list, task_rows: int) -> DataFrame:
-    wanted = []
-    for row in sizes:
-        for c in columns:
-            for p in probs:
-                if row[c]:
-                    position = float(p) * (row[c] - 1)
-                    low = int(position)
-                    wanted.append((row[by] if by else 0, c, float(p), position - low, low,
-                                   min(low + 1, row[c] - 1), row[c]))
-    ranks = {(g, c, r): _Rank(g, c, r, n) for g, c, _, _, low, high, n in wanted
-             for r in (low, high)}
-    group_type = df.schema[by].dataType if by else T.IntegerType()
-    values = long_values(df.withColumn("_group", F.col(by) if by else F.lit(0)), columns,
-                         ["_group"])
-    _Search(values, group_type, list(ranks.values()), task_rows).run()
-
-    rows = []
-    for g, c, p, share, low, high, _ in wanted:
-        v0, v1 = ranks[g, c, low].value, ranks[g, c, high].value
-        rows.append((*([g] if by else []), c, p, v0 * (1 - share) + v1 * share))
-    return df.sparkSession.createDataFrame(rows, T.StructType(
-        ([T.StructField(by, group_type)] if by else []) + [
-            T.StructField("column", T.StringType()), T.StructField("prob", T.DoubleType()),
-            T.StructField("value", T.DoubleType())]))
-
-
-class _Rank:
-    """The value at one rank of a group's column, known to lie strictly between lo and hi."""
-
-    def __init__(self, group, column: str, rank: int, rows: int):
-        self.group, self.column, self.rank = group, column, rank
-        self.lo = self.hi = self.value = None
-        self.below, self.inside = 0, rows
-
-    def bracket(self) -> tuple:
-        return self.group, self.column, self.lo, self.hi
-
-    def place(self, a: float, b: float, counts: tuple[int, int, int, int]) -> None:
-        """Take in the number of bracket values below a, at a, between, and at b."""
-        under, at_a, between, at_b = counts
-        start = self.below
-        ends = [start + under, start + under + at_a, start + under + at_a + between,
-                start + under + at_a + between + at_b]
-        if self.rank < ends[0]:
-            self.hi, self.inside = a, under
-        elif self.rank < ends[1]:
-            self.value = a
-        elif self.rank < ends[2]:
-            self.lo, self.hi, self.below, self.inside = a, b, ends[1], between
-        elif self.rank < ends[3]:
-            self.value = b
-        else:
-            self.lo, self.below = b, ends[3]
-            self.inside = start + self.inside - ends[3]
-
-
-class _Search:
-    """Shrinks the brackets of several ranks at once, a few passes that shuffle next to nothing."""
-
-    def __init__(self, values: DataFrame, group_type: T.DataType, ranks: list[_Rank],
-                 task_rows: int):
-        self.values, self.group_type = values, group_type
-        self.ranks, self.task_rows = ranks, task_rows
-
-    def run(self) -> None:
-        while wide := [r for r in self.ranks if r.value is None and r.inside > self.task_rows]:
-            at = {r: ((r.rank - r.below) / r.inside) for r in wide}
-            around = {r: (max(0.0, round(at[r] - MARGIN, 4)), min(1.0, round(at[r] + MARGIN, 4)))
-                      for r in wide}
-            fractions = sorted({f for pair in around.values() for f in pair})
-            sketched = self._sketches(list(dict.fromkeys(r.bracket() for r in wide)), fractions)
-            tries = {r: (*r.bracket(), *(sketched[r.bracket()][f] for f in around[r]))
-                     for r in wide}
-            counts = self._counts(list(dict.fromkeys(tries.values())))
-            for r, tried in tries.items():
-                r.place(tried[4], tried[5], counts[tried])
-        self._read_off([r for r in self.ranks if r.value is None])
-
-    def _inside(self, brackets: list[tuple]) -> DataFrame:
-        """(id, a, b, x) for the values inside each bracket; id is the place in `brackets`."""
-        table = self.values.sparkSession.createDataFrame(
-            [(i, *b, *[None] * (6 - len(b))) for i, b in enumerate(brackets)],
-            T.StructType([
-                T.StructField("id", T.IntegerType()), T.StructField("_g", self.group_type),
-                T.StructField("_c", T.StringType()), T.StructField("lo", T.DoubleType()),
-                T.StructField("hi", T.DoubleType()), T.StructField("a", T.DoubleType()),
-                T.StructField("b", T.DoubleType())]))
-        x = F.col("x")
-        return self.values.join(
-            F.broadcast(table),
-            F.col("_group").eqNullSafe(F.col("_g")) & (F.col("column") == F.col("_c"))
-            & (F.col("lo").isNull() | (x > F.col("lo")))
-            & (F.col("hi").isNull() | (x < F.col("hi")))).select("id", "a", "b", "x")
-
-    def _sketches(self, brackets: list[tuple],
-                  fractions: list[float]) -> dict[tuple, dict[float, float]]:
-        merged = (
-            self._inside(brackets)
-            .groupBy("id", F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES)).alias("slice"))
-            .agg(F.kll_sketch_agg_double("x", SKETCH_K).alias("sketch"))
-            .groupBy("id").agg(F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch")))
-        at = F.array(*[F.lit(f) for f in fractions])
-        found = merged.select("id", F.kll_sketch_get_quantile_double("sketch", at).alias("v"))
-        return {brackets[r["id"]]: dict(zip(fractions, r["v"])) for r in found.collect()}
-
-    def _counts(self, brackets: list[tuple]) -> dict[tuple, tuple[int, int, int, int]]:
-        x, a, b = F.col("x"), F.col("a"), F.col("b")
-
-        def number(test: Column, name: str) -> Column:
-            return F.sum(test.cast("bigint")).alias(name)
-
-        found = self._inside(brackets).groupBy("id").agg(
-            number(x < a, "under"), number(x == a, "at_a"), number((x > a) & (x < b), "between"),
-            number((x == b) & (a < b), "at_b"))
-        return {brackets[r["id"]]: tuple(r)[1:] for r in found.collect()}
-
-    def _read_off(self, ranks: list[_Rank]) -> None:
-        """Count the values of the remaining small brackets and pick those at the ranks."""
-        if not ranks:
-            return
-        ids = {b: i for i, b in enumerate(dict.fromkeys(r.bracket() for r in ranks))}
-        running = (Window.partitionBy("id").orderBy("x")
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        upto = (self._inside(list(ids)).groupBy("id", "x").agg(F.count(F.lit(1)).alias("n"))
-                .withColumn("upto", F.sum("n").over(running)))
-        plan = self.values.sparkSession.createDataFrame(
-            [(ids[r.bracket()], k, r.rank - r.below) for k, r in enumerate(ranks)],
-            "id int, k int, at bigint")
-        hit = (F.col("upto") - F.col("n") <= F.col("at")) & (F.col("at") < F.col("upto"))
-        for row in upto.join(F.broadcast(plan), "id").filter(hit).select("k", "x").collect():
-            ranks[row["k"]].value = row["x"]
+    grouped = df.withColumn("_group", F.col(by) if by else F.lit(0))
+    ranks = _stored(_wanted_ranks(grouped, columns, probs, sketch_k))
+    values = long_values(grouped, columns, ["_group"]).filter(~F.isnan("x"))
+    while True:
+        found = _stored(_values_at(values, ranks, probs, margin))
+        missed = (F.col("rows") > F.col("low")) & F.col("v_low").isNull() | (
+            F.col("rows") > F.col("high")) & F.col("v_high").isNull()
+        if margin > 1 or found.filter(missed).isEmpty():
+            break
+        margin *= 8
+    nan = F.lit(float("nan"))
+    low = F.when(F.col("low") >= F.col("rows"), nan).otherwise(F.col("v_low"))
+    high = F.when(F.col("high") >= F.col("rows"), nan).otherwise(F.col("v_high"))
+    value = F.when(F.col("share") == 0, low).otherwise(
+        low * (1 - F.col("share")) + high * F.col("share"))
+    return found.select(
+        *([F.col("_g").alias(by)] if by else []), F.col("_c").alias("column"), "prob",
+        F.when(F.col("all_rows") > 0, value).alias("value"))
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = work_folder(df.sparkSession, "quantiles")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _wanted_ranks(grouped: DataFrame, columns: list[str], probs: Sequence[float],
+                  k: int) -> DataFrame:
+    """(_g, _c, k, prob, all_rows, rows, low, high, share, sketch): one row per group, column and rank.
+
+    `rows` leaves NaN out, `all_rows` does not.
+    """
+    first, merged = [], []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        number = F.when(~F.isnan(x), x)
+        first += [F.count(x).alias(f"all_{i}"), F.count(number).alias(f"n_{i}"),
+                  F.kll_sketch_agg_double(number, k).alias(f"s_{i}")]
+        merged += [F.sum(f"all_{i}").alias(f"all_{i}"), F.sum(f"n_{i}").alias(f"n_{i}"),
+                   F.kll_merge_agg_double(f"s_{i}", k).alias(f"s_{i}")]
+    slices = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES))
+    wide = (grouped.groupBy("_group", slices.alias("_slice")).agg(*first)
+            .groupBy("_group").agg(*merged))
+    entries = [F.struct(F.lit(c).alias("_c"), F.lit(k_).alias("k"), F.lit(float(p)).alias("prob"),
+                        F.col(f"all_{i}").alias("all_rows"), F.col(f"n_{i}").alias("rows"),
+                        F.col(f"s_{i}").alias("sketch"))
+               for i, c in enumerate(columns) for k_, p in enumerate(probs)]
+    position = F.col("prob") * (F.col("all_rows") - 1)
+    return (wide.select(F.col("_group").alias("_g"), F.explode(F.array(*entries)).alias("e"))
+            .select("_g", "e.*")
+            .withColumn("low", F.floor(F.greatest(position, F.lit(0.0))).cast("bigint"))
+            .withColumns({"high": F.least(F.col("low") + 1, F.col("all_rows") - 1),
+                          "share": F.greatest(position, F.lit(0.0)) - F.col("low")}))
+
+
+def _values_at(values: DataFrame, ranks: DataFrame, probs: Sequence[float],
+               margin: float) -> DataFrame:
+    """`ranks` with the values at `low` and `high`; null where the bracket does not hold the rank.
+
+    A bracket reaches `margin` to either side of its rank, and over the whole group where that would be
+    less than two rows. NaN shifts the ranks of numbers, so then the bracket has no upper end.
+    """
+    def edge(side: float, end: float) -> Column:
+        at = [p + side * margin for p in probs]
+        inside = F.array(*[F.lit(min(1.0, max(0.0, x))) for x in at])
+        beyond = F.array(*[F.lit(not 0.0 < x < 1.0) for x in at])
+        wide = (F.col("rows") * margin < 2) | beyond[F.col("k")]
+        sketch = F.when(F.col("rows") > 0, F.col("sketch"))
+        found = F.kll_sketch_get_quantile_double(sketch, inside)[F.col("k")]
+        return F.when(wide, F.lit(end)).otherwise(found)
+
+    shifted = F.col("rows") < F.col("all_rows")
+    brackets = ranks.withColumns({
+        "lo": edge(-1.0, float("-inf")),
+        "hi": F.when(shifted, F.lit(float("inf"))).otherwise(edge(1.0, float("inf")))})
+    narrow = brackets.select("_g", "_c", "prob", "low", "high", "lo", "hi")
+    same = F.col("_group").eqNullSafe(F.col("_g")) & (F.col("column") == F.col("_c"))
+    counted = (values.join(narrow, same & (F.col("x") <= F.col("hi")))
+               .groupBy("_g", "_c", "prob", "low", "high",
+                        F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("x"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    running = (Window.partitionBy("_g", "_c", "prob").orderBy(F.asc_nulls_first("x"))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    upto = counted.withColumn("upto", F.sum("n").over(running))
+    before = F.col("upto") - F.col("n")
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((before <= F.col(rank)) & (F.col(rank) < F.col("upto")), F.col("x")))
+
+    found = upto.groupBy(F.col("_g").alias("f_g"), F.col("_c").alias("f_c"),
+                         F.col("prob").alias("f_p")).agg(at("low").alias("v_low"),
+                                                         at("high").alias("v_high"))
+    match = (F.col("_g").eqNullSafe(F.col("f_g")) & (F.col("_c") == F.col("f_c"))
+             & (F.col("prob") == F.col("f_p")))
+    return ranks.join(found, match, "left").select(
+        "_g", "_c", "prob", "all_rows", "rows", "low", "high", "share", "v_low", "v_high")

@@ -1,15 +1,11 @@
-"""Size checks that decide between a one-task step and a distributed one."""
+"""Tables of columns, bins and curves that are small by their nature, and values by column."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The most rows one task is asked to sort or hold, and the most rows that are broadcast.
-TASK_ROWS = 1_000_000
-# Up to this many rows a shuffle of one column is cheap.
-COUNT_ROWS = 20_000_000
-# The most rows of aggregate results brought to the driver (classes, columns, partitions).
+# The most rows of aggregate results brought to the driver (columns, bins, curves, partitions).
 SMALL_ROWS = 100_000
 
 
@@ -55,26 +51,6 @@ def long_values(df: DataFrame, columns: list[str], keep: list[str] | None = None
             .select(*keep, "e.column", "e.x").filter(F.col("x").isNotNull()))
 
 
-def worth_counting(rows: int, distinct: int) -> bool:
-    """Whether to count equal values first: they repeat, or there are few enough not to mind."""
-    return distinct * 4 < rows or rows <= COUNT_ROWS
-
-
-def weighted_values(values: DataFrame, keys: list[str], name: str, counted: list,
-                    single: list) -> DataFrame:
-    """(keys..., x, n): equal values are counted first where column `name` is one of `counted`.
-
-    Counting shrinks columns of repeated values to almost nothing, and it spreads a small table over
-    the cores. For a large column of nearly unique values it would only add a shuffle of the whole
-    column; rows named in `single` pass as they are, with n = 1.
-    """
-    parts = []
-    if counted:
-        parts.append(values.filter(F.col(name).isin(counted)).groupBy(*keys, "x")
-                     .agg(F.count(F.lit(1)).alias("n")))
-    if single:
-        parts.append(values.filter(F.col(name).isin(single))
-                     .select(*keys, "x", F.lit(1).cast("bigint").alias("n")))
-    if not parts:
-        return values.limit(0).select(*keys, "x", F.lit(1).cast("bigint").alias("n"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+def weighted_values(values: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., x, n): equal values are counted first, with partial counts before the shuffle."""
+    return values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))

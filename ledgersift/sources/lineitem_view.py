@@ -45,3 +45,18 @@ def score_view(spark: SparkSession, folder: str) -> DataFrame:
                 16, 10).cast("bigint") % 100).cast("double").alias("score"),
     )
     return scored.withColumn("prediction", (F.col("score") >= 50).cast("double"))
+
+
+SEPARABLE_FEATURES = ["signal_a", "signal_b", "count"]
+
+
+def separable_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions with a 0/1 label that two features part by a wide margin.
+
+    Every classifier must predict it, so predictions can be held against the label itself.
+    """
+    positive = (F.col("looped") > 0).cast("int")
+    return txn_view(spark, folder).withColumns({
+        "label": positive,
+        "signal_a": (positive * 100 + F.col("count")).cast("double"),
+        "signal_b": ((1 - positive) * 100 + F.col("count")).cast("double")})

@@ -23,11 +23,11 @@ def test_random_oversample_balances(ten_and_two):
     assert set(map(tuple, out.collect())) == set(map(tuple, ten_and_two.collect()))
 
 
-def test_random_oversample_routes_agree(spark, txn):
+def test_random_oversample_does_not_depend_on_the_partitioning(spark, txn):
     rows = txn.select("income", "day", (F.col("label") != "white").alias("fraud"))
     order = ["income", "day"]
     small = random_oversample(rows, "fraud", order_by=order)
-    large = random_oversample(rows.repartition(5), "fraud", order_by=order, task_rows=30)
+    large = random_oversample(rows.repartition(5), "fraud", order_by=order)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
 
 
@@ -73,7 +73,7 @@ def test_neighbours_equal_brute_force(spark, kind):
         points[:5] *= 1000
     rows = spark.createDataFrame([tuple(map(float, p)) for p in points],
                                  "x double, y double, z double").repartition(4)
-    numbered = number_rows(rows, ["x", "y", "z"], n).cache()
+    numbered = number_rows(rows, ["x", "y", "z"]).cache()
     at = {r["row_no"]: (r["x"], r["y"], r["z"]) for r in numbered.collect()}
     ordered = np.array([at[i] for i in range(n)])
     expected = brute(ordered, k)
@@ -94,7 +94,7 @@ def test_busy_blocks_are_split(spark, monkeypatch):
     rng = np.random.default_rng(6)
     points = rng.normal(0, 1, (400, 2))
     rows = spark.createDataFrame([tuple(map(float, p)) for p in points], "x double, y double")
-    numbered = number_rows(rows, ["x", "y"], 400).cache()
+    numbered = number_rows(rows, ["x", "y"]).cache()
     at = {r["row_no"]: (r["x"], r["y"]) for r in numbered.collect()}
     expected = brute(np.array([at[i] for i in range(400)]), 3)
     for r in nearest_neighbors(numbered, ["x", "y"], 3, 400, 32).collect():
@@ -104,8 +104,17 @@ def test_busy_blocks_are_split(spark, monkeypatch):
 def test_parents_are_minority_rows(spark):
     rows = spark.createDataFrame([(float(i), float(i * i % 17)) for i in range(60)],
                                  "x double, y double")
-    numbered = number_rows(rows, ["x", "y"], 60).cache()
+    numbered = number_rows(rows, ["x", "y"]).cache()
     plain = {(r["x"], r["y"]) for r in numbered.collect()}
-    for task_rows in (1_000_000, 10):
-        for r in parent_pairs(numbered, ["x", "y"], 4, 60, 16, task_rows).collect():
-            assert (r["x"], r["y"]) in plain and (r["near_x"], r["near_y"]) in plain
+    for r in parent_pairs(numbered, ["x", "y"], 4, 60, 16).collect():
+        assert (r["x"], r["y"]) in plain and (r["near_x"], r["near_y"]) in plain
+
+
+def test_tied_neighbours_do_not_depend_on_the_blocks(spark):
+    rng = np.random.default_rng(8)
+    points = rng.integers(0, 4, (400, 2)).astype(float)
+    rows = spark.createDataFrame([tuple(map(float, p)) for p in points], "x double, y double")
+    numbered = number_rows(rows, ["x", "y"]).cache()
+    found = [sorted((r["row_no"], r["pick"], r["near_no"]) for r in nearest_neighbors(
+        numbered, ["x", "y"], 5, 400, block_rows).collect()) for block_rows in (32, 10_000)]
+    assert found[0] == found[1]

@@ -81,10 +81,18 @@ def test_curve_properties(pred):
     assert curves.confusion(pred).agg(F.sum("n")).first()[0] == pred.count()
 
 
-def test_curves_in_ranges_equal_one_range(pred):
+def test_curves_do_not_depend_on_the_ranges(pred):
     for fn in (curves.roc_points, curves.pr_points, curves.auc_roc):
-        one = sorted(map(repr, fn(pred).collect()))
-        assert one == sorted(map(repr, fn(pred, task_rows=200).collect()))
+        one = sorted(map(repr, fn(pred, ranges=2).collect()))
+        assert one == sorted(map(repr, fn(pred, ranges=40).collect()))
+
+
+def test_label_or_prediction_outside_the_classes_is_an_error(spark):
+    for row in ((2, 1.0), (1, 3.0), (None, 1.0)):
+        rows = spark.createDataFrame([(0, 0.0), row], "label int, prediction double")
+        for fn in (curves.confusion, curves.class_metrics):
+            with pytest.raises(Exception, match="outside"):
+                fn(rows).collect()
 
 
 def test_one_class_is_an_error(spark):

@@ -27,19 +27,41 @@ def test_searched_quantiles_are_exact(spark, seed):
         data.append((rng.random() < 0.02, x, None if rng.random() < 0.1 else rng.randint(0, 3)))
     rows = spark.createDataFrame(data, "g boolean, x double, k int").repartition(5)
     probs = [0.0, 0.01, 0.25, 0.5, 0.65, 0.75, 0.999, 1.0]
-    small = quantiles.exact_quantiles(rows, ["x", "k"], probs, "g")
-    searched = quantiles.exact_quantiles(rows, ["x", "k"], probs, "g", task_rows=50)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, searched.collect()))
+    coarse = quantiles.exact_quantiles(rows, ["x", "k"], probs, "g", sketch_k=8, margin=1e-4)
+    searched = quantiles.exact_quantiles(rows, ["x", "k"], probs, "g")
+    assert sorted(map(tuple, coarse.collect())) == sorted(map(tuple, searched.collect()))
     for r in searched.filter("column = 'x'").collect():
         xs = [x for g, x, _ in data if g == r["g"]]
         assert r["value"] == pytest.approx(np.percentile(xs, r["prob"] * 100), rel=1e-12)
 
 
-def test_class_stats_searched_equals_direct(txn):
+def test_quantiles_with_nan_nulls_and_empty_groups(spark):
+    nan = float("nan")
+    data = ([("a", 1.0), ("a", nan), ("a", 3.0), ("a", None), ("b", None), ("c", nan), (None, 4.0),
+             (None, 6.0)] + [("big", float(i % 3000)) for i in range(6000)] + [("big", nan)] * 3000)
+    rows = spark.createDataFrame(data, "g string, x double").repartition(3)
+    found = {(r["g"], r["prob"]): r["value"] for r in quantiles.exact_quantiles(
+        rows, ["x"], [0.0, 0.5, 0.6, 1.0], "g").collect()}
+    assert found["a", 0.5] == 3.0 and math.isnan(found["a", 1.0]) and found["a", 0.0] == 1.0
+    assert found["b", 0.5] is None and math.isnan(found["c", 0.5]) and found[None, 0.5] == 5.0
+    ordered = sorted(i % 3000 for i in range(6000))
+    assert found["big", 0.5] == np.percentile(ordered + [9999] * 3000, 50) and len(found) == 20
+    assert math.isnan(found["big", 1.0])
+
+
+def test_quantiles_of_very_many_groups(spark):
+    rows = spark.range(200_000).select((F.col("id") % 40_000).alias("g"), F.col("id").alias("x"))
+    table = quantiles.exact_quantiles(rows, ["x"], [0.5], "g", sketch_k=8)
+    assert table.count() == 40_000
+    assert table.filter("value <> g + 80000").count() == 0
+
+
+def test_class_stats_equals_direct(txn):
     rows = txn.withColumn("fraud", F.col("label") != "white")
     cols = ["income", "weight", "length"]
-    direct = profile.class_stats(rows, "fraud", cols)
-    searched = profile.class_stats(rows, "fraud", cols, task_rows=100)
+    searched = profile.class_stats(rows, "fraud", cols)
+    direct = rows.groupBy("fraud").agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (
+        ("mean", F.mean), ("std", F.stddev_samp))], *[F.median(c).alias(f"median_{c}") for c in cols])
     assert direct.columns == searched.columns
     for a, b in zip(direct.orderBy("fraud").collect(), searched.orderBy("fraud").collect()):
         assert tuple(a) == pytest.approx(tuple(b), rel=1e-12)
@@ -91,6 +113,16 @@ def test_correlation_refuses_or_skips_nulls(spark):
     assert r["a", "b"] == pytest.approx(np.corrcoef([1, 3, 5], [2, 7, 1])[0, 1])
 
 
+def test_correlation_over_pairwise_complete_rows(spark):
+    rows = [(1.0, 2.0, None), (2.0, None, 1.0), (3.0, 7.0, 2.0), (5.0, 1.0, 9.0), (None, 4.0, 4.0)]
+    table = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation(
+        spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"], "pairwise").collect()}
+    for i, x in enumerate("abc"):
+        for j, y in enumerate("abc"):
+            both = [(r[i], r[j]) for r in rows if None not in (r[i], r[j])]
+            assert table[x, y] == pytest.approx(np.corrcoef(*zip(*both))[0, 1])
+
+
 def test_zscore_sample_and_population(spark):
     rows = spark.createDataFrame([(1.0,)] * 20 + [(100.0,)], "x double")
     values = np.array([1.0] * 20 + [100.0])
@@ -115,24 +147,13 @@ def test_kde_equals_direct_sum(spark):
         assert r["density"] == pytest.approx(direct, rel=1e-9, abs=1e-18)
 
 
-def test_kde_without_counting_first_is_the_same(spark, txn, monkeypatch):
-    counted = sorted(map(tuple, distribution.kde(txn, ["income"], grid=20).collect()))
-    monkeypatch.setattr(distribution, "worth_counting", lambda rows, distinct: False)
-    direct = sorted(map(tuple, distribution.kde(txn, ["income"], grid=20).collect()))
-    for a, b in zip(counted, direct):
-        assert a[:2] == b[:2] and a[3] == pytest.approx(b[3], rel=1e-9)
-
-
 def _llf(x, lam):
     y = np.asarray(x, float) + 1
     t = np.log(y) if lam == 0 else (y**lam - 1) / lam
     return (lam - 1) * np.log(y).sum() - len(y) / 2 * np.log(t.var())
 
 
-@pytest.mark.parametrize("stored", [True, False])
-def test_boxcox_lambda_is_the_best(spark, monkeypatch, stored):
-    if not stored:
-        monkeypatch.setattr(boxcox, "COUNT_ROWS", 0)
+def test_boxcox_lambda_is_the_best(spark):
     rng = np.random.default_rng(3)
     data = {"a": rng.lognormal(1, 0.7, 800), "b": rng.gamma(2, 3, 800),
             "c": (rng.beta(8, 1, 800) * 10) ** 0.25 * 40}

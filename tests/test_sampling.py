@@ -69,21 +69,28 @@ def test_hot_address_counts_the_same_on_every_route(spark):
     expected = {}
     for a, _ in data:
         expected[a] = expected.get(a, 0) + (a is not None)
-    for task_rows in (1_000_000, 150, 100, 20):
-        out = activity.add_num_addresses(rows, task_rows=task_rows)
-        assert out.count() == len(data)
-        assert {r["address"]: r["num_addresses"] for r in out.collect()} == expected
-    quiet = rows.filter("address <> 'hot' OR address IS NULL")
-    expected.pop("hot")
-    out = activity.add_num_addresses(quiet, task_rows=20).collect()
-    assert len(out) == len(data) - 400
-    assert {r["address"]: r["num_addresses"] for r in out} == expected
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (threshold, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            out = activity.add_num_addresses(rows).collect()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert len(out) == len(data)
+        assert {r["address"]: r["num_addresses"] for r in out} == expected
+
+
+def test_address_counts_take_two_scans(spark, txn, tmp_path):
+    path = str(tmp_path / "txn")
+    txn.write.parquet(path)
+    out = activity.add_num_addresses(spark.read.parquet(path))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 2
 
 
 def test_row_numbers_follow_the_order(spark):
     rows = spark.range(1000).select((F.col("id") * 37 % 101).alias("a"), "id").repartition(5)
-    small = rows_of(numbering.number_rows(rows, ["a", "id"], 1000))
-    large = rows_of(numbering.number_rows(rows, ["a", "id"], 1000, task_rows=10))
+    small = rows_of(numbering.number_rows(rows, ["a", "id"]))
+    large = rows_of(numbering.number_rows(rows.repartition(2), ["a", "id"]))
     assert small == large
     assert [r[2] for r in sorted(large)] == list(range(1000))
 
@@ -91,7 +98,7 @@ def test_row_numbers_follow_the_order(spark):
 def test_row_numbers_with_many_copies(spark):
     rows = spark.range(900).select(F.lit(1).alias("a")).unionByName(
         spark.range(100).select(F.lit(0).alias("a"))).repartition(6)
-    out = numbering.number_rows(rows, ["a"], 1000, task_rows=10)
+    out = numbering.number_rows(rows, ["a"])
     numbers = {r["row_no"]: r["a"] for r in out.collect()}
     assert sorted(numbers) == list(range(1000))
     assert all(numbers[i] == 0 for i in range(100))
