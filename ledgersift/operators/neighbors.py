@@ -1,9 +1,11 @@
 """Exact k nearest neighbours within one table, without comparing all pairs.
 
-Rows arrive numbered in feature order and are cut into blocks of consecutive numbers, so a block
-never grows with the number of equal values. Step one finds each row's k nearest in its own block;
-the k-th distance bounds how far the true neighbours can be. Step two visits only those other blocks
-whose bounding box comes closer than that, and keeps the k nearest of everything seen.
+Equal rows are one point with a number of copies: their numbers follow each other, so copies of a point
+cost nothing however many there are. Points are cut into blocks by recursive medians over all features,
+learned from a bounded sample; the cuts do not touch the answer. Step one finds each point's nearest in
+its own block, which bounds how far the true neighbours can be. Step two descends the tree of bounding
+boxes and visits only blocks that may hold a nearer or equally near row. Ties go to the lower row
+number, whatever the blocks.
 """
 
 from __future__ import annotations
@@ -12,27 +14,50 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgersift.operators.sizing import small_rows
 from ledgersift.session import ensure_checkpoint_dir
 
 BLOCK_ROWS = 2048
-MAX_BLOCKS = 500_000   # bounds the table of bounding boxes that every task holds
-VISITS = 16_384        # visiting rows handled in one piece
-PAIRS = 2_000_000      # row-block pairs tested at once
-STEP = 256             # rows compared at once, bounds the distance matrix
-
-
-def _nearest(queries: np.ndarray, query_no: np.ndarray, members: np.ndarray,
-             member_no: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distances and row numbers of the k members nearest to each query, itself left out."""
-    k = min(k, len(members))
+SAMPLE = 65_536        # points from which the cuts are learned
+LEAF_SAMPLE = 16       # sampled points per leaf, at least
+VISITS = 16_384        # visiting points handled in one piece
+STEP = 256             # points compared at once, bounds the distance matrix
+PAIRS = 1_000_000      # point-node pairs tested at once
+
+
+def _cuts(points: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, value) of each inner node of a complete tree, root first; children at 2i+1, 2i+2."""
+    feature = np.zeros((1 << depth) - 1, dtype=np.int64)
+    value = np.zeros((1 << depth) - 1)
+    held = {0: points}
+    for node in range(len(feature)):
+        part = held.pop(node)
+        if len(part):
+            feature[node] = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
+            value[node] = np.median(part[:, feature[node]])
+        left = part[:, feature[node]] <= value[node] if len(part) else np.zeros(0, dtype=bool)
+        held[2 * node + 1], held[2 * node + 2] = part[left], part[~left]
+    return feature, value
+
+
+def _leaf_of(points: np.ndarray, feature: np.ndarray, value: np.ndarray) -> np.ndarray:
+    node = np.zeros(len(points), dtype=np.int64)
+    while len(feature) and len(node) and node[0] < len(feature):
+        at = points[np.arange(len(points)), feature[node]]
+        node = 2 * node + 1 + (at > value[node])
+    return node - len(feature)
+
+
+def _nearest(queries: np.ndarray, query_no: np.ndarray, members: np.ndarray, member_no: np.ndarray,
+             copies: np.ndarray, k: int) -> tuple[list, list]:
+    """Distances and row numbers of the k rows nearest to each query, its own point left out."""
     by_number = np.argsort(member_no)   # a stable sort by distance then settles ties by row number
-    members, member_no = members[by_number], member_no[by_number]
-    dist = np.empty((len(queries), k))
-    near = np.empty((len(queries), k), dtype=np.int64)
+    members, member_no, copies = members[by_number], member_no[by_number], copies[by_number]
+    held = np.minimum(copies, k)
+    dist, near = [], []
     for at in range(0, len(queries), STEP):
         part = queries[at:at + STEP]
         d = np.zeros((len(part), len(members)))
@@ -40,111 +65,160 @@ def _nearest(queries: np.ndarray, query_no: np.ndarray, members: np.ndarray,
             d += (part[:, j, None] - members[None, :, j]) ** 2
         d[query_no[at:at + STEP, None] == member_no[None, :]] = np.inf
         order = np.argsort(d, axis=1, kind="stable")[:, :k]
-        dist[at:at + STEP] = np.sqrt(np.take_along_axis(d, order, axis=1))
-        near[at:at + STEP] = member_no[order]
+        found = np.sqrt(np.take_along_axis(d, order, axis=1))
+        for row, far in zip(order, found):
+            row, far = row[far < np.inf], far[far < np.inf]
+            times = held[row]
+            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            number = np.repeat(member_no[row], times) + within
+            far = np.repeat(far, times)
+            best = np.lexsort((number, far))[:k]
+            dist.append(far[best])
+            near.append(number[best])
     return dist, near
 
 
-def nearest_neighbors(numbered: DataFrame, features: list[str], k: int, rows: int,
+def _lists(numbers: np.ndarray, dist: list, near: list, **more) -> pd.DataFrame:
+    return pd.DataFrame({"first_no": numbers, "dist": pd.Series(dist, dtype=object),
+                         "near": pd.Series(near, dtype=object), **more})
+
+
+def nearest_neighbors(numbered: DataFrame, features: list[str], k: int,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(row_no, pick, near_no, distance): pick 0..k-1 from nearest to farthest.
 
-    `numbered` has `row_no` 0..rows-1 following the order of the features.
+    `numbered` has `row_no` 0.. following the order of the features, so equal rows are neighbours.
     """
-    block_rows = max(block_rows, k + 1, -(-rows // MAX_BLOCKS))
-    members = numbered.select(
-        "row_no", (F.col("row_no") / block_rows).cast("bigint").alias("block"), *features)
-    found_schema = ", ".join(["row_no bigint", "dist array<double>", "near array<bigint>",
-                              *[f"`{f}` double" for f in features]])
+    spark = numbered.sparkSession
+    ensure_checkpoint_dir(spark)
+    points = numbered.groupBy(*features).agg(
+        F.min("row_no").alias("first_no"), F.count(F.lit(1)).alias("copies")).checkpoint()
+    placed = _placed(points, features, block_rows)
+    plain = ", ".join(f"`{f}` double" for f in features)
 
     def own_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        points, numbers = pdf[features].to_numpy(float), pdf["row_no"].to_numpy()
-        dist, near = _nearest(points, numbers, points, numbers, k)
-        return pd.DataFrame({"row_no": numbers, "dist": list(dist), "near": list(near),
-                             **{f: pdf[f].to_numpy() for f in features}})
-
-    own = members.groupBy("block").applyInPandas(own_block, found_schema)
-    ensure_checkpoint_dir(numbered.sparkSession)
-    own = own.checkpoint()
-    visits = _visits(own, members, features, block_rows)
-    return _ranked(own.select("row_no", "dist", "near").unionByName(
-        _visited(visits, members, features, k)), k)
-
-
-def _pieces(run: np.ndarray, limit: int) -> Iterator[np.ndarray]:
-    """Positions with a non-empty run, in pieces of about `limit` entries."""
-    held = np.flatnonzero(run)
-    if len(held):
-        cuts = np.flatnonzero(np.diff(np.cumsum(run[held]) // limit)) + 1
-        yield from np.split(held, cuts)
-
-
-def _visits(own: DataFrame, members: DataFrame, features: list[str],
-            block_rows: int) -> DataFrame:
-    """(row_no, block, features...): blocks that may hold a nearer neighbour than those found."""
-    boxes = sorted(small_rows(members.groupBy("block").agg(
-        *[F.min(f).alias(f"lo_{f}") for f in features],
-        *[F.max(f).alias(f"hi_{f}") for f in features]), "blocks", MAX_BLOCKS + 1),
-        key=lambda r: r["block"])
+        at, numbers = pdf[features].to_numpy(float), pdf["first_no"].to_numpy()
+        dist, near = _nearest(at, numbers, at, numbers, pdf["copies"].to_numpy(), k)
+        return _lists(numbers, dist, near, copies=pdf["copies"].to_numpy(), leaf=pdf["leaf"].to_numpy(),
+                      piece=pdf["piece"].to_numpy(), **{f: pdf[f].to_numpy() for f in features})
+
+    own = placed.groupBy("leaf", "piece").applyInPandas(
+        own_block, "first_no bigint, dist array<double>, near array<bigint>, copies bigint, "
+                   f"leaf bigint, piece int, {plain}").checkpoint()
+    found = own.select("first_no", "dist", "near").unionByName(
+        _visited(_visits(own, placed, features, k), placed, features, k))
+    return _ranked(found, points, k)
+
+
+def _placed(points: DataFrame, features: list[str], block_rows: int) -> DataFrame:
+    """`points` with `leaf` and, where a leaf holds too many for one task, `piece`."""
+    count = points.count()
+    sample = np.array([tuple(r) for r in points.select(*features, "first_no").orderBy(
+        F.xxhash64("first_no")).limit(min(SAMPLE, count)).drop("first_no").collect()], dtype=float)
+    leaves = max(1, min(-(-count // block_rows), len(sample) // LEAF_SAMPLE))
+    feature, value = _cuts(sample.reshape(-1, len(features)), (leaves - 1).bit_length())
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(leaf=_leaf_of(pdf[features].to_numpy(float), feature, value))
+
+    plain = ", ".join(f"`{f}` double" for f in features)
+    located = points.mapInPandas(place, f"{plain}, first_no bigint, copies bigint, leaf bigint")
+    sizes = located.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("pieces"))
+    # at most SAMPLE / LEAF_SAMPLE leaves
+    return located.join(F.broadcast(sizes), "leaf").withColumn(
+        "piece", F.pmod(F.hash("first_no"), F.col("pieces"))).drop("pieces").checkpoint()
+
+
+def _visits(own: DataFrame, placed: DataFrame, features: list[str], k: int) -> DataFrame:
+    """(first_no, leaf, piece, features...): blocks that may hold a nearer row than those found."""
     d = len(features)
-    table = np.array([list(r) for r in boxes], dtype=float)
-    shared = own.sparkSession.sparkContext.broadcast(
-        (table[:, 0].astype(np.int64), table[:, 1:1 + d], table[:, 1 + d:]))
-    schema = ", ".join(["row_no bigint", "block bigint", *[f"`{f}` double" for f in features]])
+    rows = small_rows(placed.groupBy("leaf").agg(
+        *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features],
+        F.max("piece").alias("last")), "leaves")
+    leaves = 1 << (max(r["leaf"] for r in rows)).bit_length() if rows else 1
+    lo, hi = np.full((2 * leaves - 1, d), np.inf), np.full((2 * leaves - 1, d), -np.inf)
+    last = np.full(leaves, -1)
+    for r in rows:
+        lo[leaves - 1 + r["leaf"]], hi[leaves - 1 + r["leaf"]] = r[1:1 + d], r[1 + d:1 + 2 * d]
+        last[r["leaf"]] = r["last"]
+    for node in range(leaves - 2, -1, -1):
+        lo[node] = np.minimum(lo[2 * node + 1], lo[2 * node + 2])
+        hi[node] = np.maximum(hi[2 * node + 1], hi[2 * node + 2])
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, lo, hi = shared.value
         for pdf in batches:
-            points = pdf[features].to_numpy(float)
-            numbers = pdf["row_no"].to_numpy()
-            reach = np.array([(r[-1] if len(r) else np.inf) for r in pdf["dist"]])
-            # blocks follow the first feature, so a row can only reach a run of them
-            first = np.searchsorted(hi[:, 0], points[:, 0] - reach, side="left")
-            last = np.searchsorted(lo[:, 0], points[:, 0] + reach, side="right")
-            run = np.maximum(0, last - first)
-            for rows_at in _pieces(run, PAIRS):
-                r = np.repeat(rows_at, run[rows_at])
-                inner = np.arange(len(r)) - np.repeat(
-                    np.cumsum(run[rows_at]) - run[rows_at], run[rows_at])
-                b = first[r] + inner
-                gap = np.zeros(len(r))
+            at, numbers = pdf[features].to_numpy(float), pdf["first_no"].to_numpy()
+            missing = k - (pdf["copies"].to_numpy() - 1)   # the copies themselves come first
+            reach = np.array([x[m - 1] if len(x) >= m else np.inf
+                              for x, m in zip(pdf["dist"], np.clip(missing, 1, k))])
+            todo = [(np.flatnonzero(missing > 0), np.zeros(int((missing > 0).sum()), dtype=np.int64))]
+            while todo:
+                point, node = todo.pop()
+                if len(point) > PAIRS:
+                    half = len(point) // 2
+                    todo += [(point[:half], node[:half]), (point[half:], node[half:])]
+                    continue
+                gap = np.zeros(len(point))
                 for j in range(d):
-                    x = points[r, j]
-                    gap += np.maximum(0.0, np.maximum(lo[b, j] - x, x - hi[b, j])) ** 2
-                near = (np.sqrt(gap) <= reach[r]) & (block[b] != numbers[r] // block_rows)
-                r, b = r[near], b[near]
-                yield pd.DataFrame({"row_no": numbers[r], "block": block[b],
-                                    **{f: points[r, j] for j, f in enumerate(features)}})
-
-    visits = own.select("row_no", "dist", *features).mapInPandas(probe, schema).checkpoint()
-    shared.destroy()
-    return visits
-
-
-def _visited(visits: DataFrame, members: DataFrame, features: list[str], k: int) -> DataFrame:
-    """Nearest members of each visited block; a block with many visitors is split into pieces."""
-    load = visits.groupBy("block").agg(F.count(F.lit(1)).alias("visitors"))
-    pieces = load.select("block", F.ceil(F.col("visitors") / VISITS).cast("int").alias("pieces"))
-    small = F.broadcast(pieces)  # at most MAX_BLOCKS rows
-    visitors = visits.join(small, "block").withColumn(
-        "piece", F.pmod(F.hash("row_no"), F.col("pieces"))).drop("pieces")
-    hosts = members.join(small, "block").withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
-
-    def search(guests: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        dist, near = _nearest(guests[features].to_numpy(float), guests["row_no"].to_numpy(),
-                              block[features].to_numpy(float), block["row_no"].to_numpy(), k)
-        return pd.DataFrame({"row_no": guests["row_no"], "dist": list(dist), "near": list(near)})
-
-    return (visitors.groupBy("block", "piece").cogroup(hosts.groupBy("block", "piece"))
-            .applyInPandas(search, "row_no bigint, dist array<double>, near array<bigint>"))
-
-
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    """Keep the k nearest per row: at most k entries per visited block come together."""
+                    x = at[point, j]
+                    gap += np.maximum(0.0, np.maximum(lo[node, j] - x, x - hi[node, j])) ** 2
+                near = np.sqrt(gap) <= reach[point]
+                point, node = point[near], node[near]
+                inner = node < leaves - 1
+                if inner.any():
+                    todo.append((np.concatenate([point[inner]] * 2),
+                                 np.concatenate([2 * node[inner] + 1, 2 * node[inner] + 2])))
+                point, leaf = point[~inner], node[~inner] - (leaves - 1)
+                times = last[leaf] + 1
+                piece = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                point, leaf = np.repeat(point, times), np.repeat(leaf, times)
+                other = (leaf != pdf["leaf"].to_numpy()[point]) | (piece != pdf["piece"].to_numpy()[point])
+                point, leaf, piece = point[other], leaf[other], piece[other]
+                if len(point):
+                    yield pd.DataFrame({"first_no": numbers[point], "leaf": leaf, "piece": piece,
+                                        **{f: at[point, j] for j, f in enumerate(features)}})
+
+    plain = ", ".join(f"`{f}` double" for f in features)
+    return own.select("first_no", "dist", "copies", "leaf", "piece", *features).mapInPandas(
+        probe, f"first_no bigint, leaf bigint, piece int, {plain}").checkpoint()
+
+
+def _visited(visits: DataFrame, placed: DataFrame, features: list[str], k: int) -> DataFrame:
+    """Nearest members of each visited block; a block with many visitors is split into shares."""
+    load = visits.groupBy("leaf", "piece").agg(
+        F.ceil(F.count(F.lit(1)) / VISITS).cast("int").alias("shares"))
+    guests = visits.join(load, ["leaf", "piece"]).withColumn(
+        "share", F.pmod(F.hash("first_no"), F.col("shares"))).drop("shares")
+    hosts = placed.join(load, ["leaf", "piece"]).withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+
+    def search(asking: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        numbers = asking["first_no"].to_numpy()
+        dist, near = _nearest(asking[features].to_numpy(float), numbers, block[features].to_numpy(float),
+                              block["first_no"].to_numpy(), block["copies"].to_numpy(), k)
+        return _lists(numbers, dist, near)
+
+    keys = ["leaf", "piece", "share"]
+    return guests.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(
+        search, "first_no bigint, dist array<double>, near array<bigint>")
+
+
+def _ranked(found: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each row: copies of its own point first, then what the blocks gave."""
     entries = F.arrays_zip(F.col("dist").alias("dist"), F.col("near").alias("near"))
-    best = (found.select("row_no", F.explode(entries).alias("e"))
-            .filter(F.col("e.dist") < float("inf"))
-            .groupBy("row_no").agg(F.slice(F.array_sort(F.collect_list("e")), 1, k).alias("best")))
-    return best.select("row_no", F.posexplode("best").alias("pick", "e")).select(
+    order = Window.partitionBy("first_no").orderBy("e.dist", "e.near")
+    best = (found.select("first_no", F.explode(entries).alias("e"))
+            .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+            .groupBy("first_no").agg(F.array_sort(F.collect_list("e")).alias("others")))
+    rows = points.select("first_no", "copies").join(best, "first_no", "left").select(
+        "first_no", "copies", F.coalesce("others", F.array().cast(
+            "array<struct<dist: double, near: bigint>>")).alias("others"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("copy"))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(k), F.col("copies") - 1))
+    own = F.transform(F.filter(numbers, lambda i: i != F.col("copy")), lambda i: F.struct(
+        F.lit(0.0).alias("dist"), (F.col("first_no") + i).alias("near")))
+    nearest = F.slice(F.array_sort(F.concat(own, "others")), 1, k)
+    return rows.select((F.col("first_no") + F.col("copy")).alias("row_no"),
+                       F.posexplode(nearest).alias("pick", "e")).select(
         "row_no", "pick", F.col("e.near").alias("near_no"), F.col("e.dist").alias("distance"))

@@ -59,7 +59,7 @@ def smote(df: DataFrame, features: list[str], target: str, k: int = 5, seed: int
             *[F.col(f).cast("double").alias(f) for f in features])
         wide = _widest_first(points, features)
         numbered = number_rows(points, wide)
-        parents = parent_pairs(numbered, wide, near, rows, block_rows)
+        parents = parent_pairs(numbered, wide, near, block_rows)
         stream = _stream(seed, cls)
         draws = df.sparkSession.range(missing).select(
             (hash_bits([F.col("id")], f"{stream}-row") % rows).alias("row_no"),
@@ -79,10 +79,10 @@ def _widest_first(points: DataFrame, features: list[str]) -> list[str]:
     return sorted(features, key=lambda f: (-(spread[f] or 0.0), f))
 
 
-def parent_pairs(numbered: DataFrame, features: list[str], k: int, rows: int,
+def parent_pairs(numbered: DataFrame, features: list[str], k: int,
                  block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(row_no, pick, features..., near_features...): each row with each of its k neighbours."""
-    pairs = nearest_neighbors(numbered, features, k, rows, block_rows)
+    pairs = nearest_neighbors(numbered, features, k, block_rows)
     other = numbered.select(F.col("row_no").alias("near_no"),
                             *[F.col(f).alias(f"near_{f}") for f in features])
     return (pairs.join(numbered, "row_no").join(other, "near_no")

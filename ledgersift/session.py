@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_ROOTS: set[str] = set()
+
+
 def get_session(app: str = "ledgersift", cores: str = "*", shuffle_partitions: int = 8,
                 driver_memory: str = "8g") -> SparkSession:
     """A local session. On a cluster, pass the session the cluster gives you instead."""
@@ -34,5 +37,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, for one stage table, model or stream."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, for one stage table, model or stream.
+
+    All of an application's work lies in one folder, which goes when the application ends.
+    """
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

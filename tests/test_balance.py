@@ -78,7 +78,7 @@ def test_neighbours_equal_brute_force(spark, kind):
     ordered = np.array([at[i] for i in range(n)])
     expected = brute(ordered, k)
     for block_rows in (64, 10_000):
-        found = nearest_neighbors(numbered, ["x", "y", "z"], k, n, block_rows).collect()
+        found = nearest_neighbors(numbered, ["x", "y", "z"], k, block_rows).collect()
         assert len(found) == n * k
         for r in found:
             assert r["near_no"] != r["row_no"]
@@ -97,16 +97,40 @@ def test_busy_blocks_are_split(spark, monkeypatch):
     numbered = number_rows(rows, ["x", "y"]).cache()
     at = {r["row_no"]: (r["x"], r["y"]) for r in numbered.collect()}
     expected = brute(np.array([at[i] for i in range(400)]), 3)
-    for r in nearest_neighbors(numbered, ["x", "y"], 3, 400, 32).collect():
+    for r in nearest_neighbors(numbered, ["x", "y"], 3, 32).collect():
         assert r["distance"] == pytest.approx(expected[r["row_no"], r["pick"]], abs=1e-9)
 
 
+def test_visited_blocks_grow_slower_than_blocks(spark, monkeypatch):
+    """Eight features of equal spread: four times the rows, four times the blocks, far fewer visits."""
+    from ledgersift.operators import neighbors
+    seen = {}
+
+    def counted(own, placed, features, k):
+        found = visits(own, placed, features, k)
+        rows, blocks = own.count(), placed.select("leaf", "piece").distinct().count()
+        seen[rows] = (found.count() / rows, blocks)
+        return found
+
+    visits = neighbors._visits
+    monkeypatch.setattr(neighbors, "_visits", counted)
+    rng = np.random.default_rng(9)
+    features = [f"f{i}" for i in range(8)]
+    for n in (3000, 12_000):
+        centres = rng.normal(0, 1, (60, 8))
+        points = centres[rng.integers(0, 60, n)] + rng.normal(0, 0.05, (n, 8))
+        rows = spark.createDataFrame([tuple(map(float, p)) for p in points], features)
+        assert nearest_neighbors(number_rows(rows, features), features, 5, 64).count() == 5 * n
+    (few, small), (more, large) = seen[3000], seen[12_000]
+    assert large >= 3 * small and more < 2.5 * few and more < 0.05 * large
+
+
 def test_parents_are_minority_rows(spark):
     rows = spark.createDataFrame([(float(i), float(i * i % 17)) for i in range(60)],
                                  "x double, y double")
     numbered = number_rows(rows, ["x", "y"]).cache()
     plain = {(r["x"], r["y"]) for r in numbered.collect()}
-    for r in parent_pairs(numbered, ["x", "y"], 4, 60, 16).collect():
+    for r in parent_pairs(numbered, ["x", "y"], 4, 16).collect():
         assert (r["x"], r["y"]) in plain and (r["near_x"], r["near_y"]) in plain
 
 
@@ -116,5 +140,5 @@ def test_tied_neighbours_do_not_depend_on_the_blocks(spark):
     rows = spark.createDataFrame([tuple(map(float, p)) for p in points], "x double, y double")
     numbered = number_rows(rows, ["x", "y"]).cache()
     found = [sorted((r["row_no"], r["pick"], r["near_no"]) for r in nearest_neighbors(
-        numbered, ["x", "y"], 5, 400, block_rows).collect()) for block_rows in (32, 10_000)]
+        numbered, ["x", "y"], 5, block_rows).collect()) for block_rows in (32, 10_000)]
     assert found[0] == found[1]
