@@ -22,6 +22,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_keys(df: DataFrame, name: str) -> DataFrame:
+    """A stored table of keys to join with.
+
+    Joined as it comes from an aggregate, it would tie both sides to one partition per key; read from
+    the store, Spark sends it to all tasks if it is small and otherwise may split a hot key's rows.
+    """
+    return stage(df, name)
+
+
 def utf8(text: Column) -> Column:
     """The text's UTF-8 bytes, empty for null."""
     return F.coalesce(text, F.lit("")).cast("binary")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import row_hash, without_rows
+from ledgersift.llm.common import row_hash, stage_keys, without_rows
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 PREFIX_CHARS = 256
@@ -30,11 +30,11 @@ def repeated_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     length = F.length("_norm")
     signed = norm.select(length.alias("_len"), F.xxhash64(
         length, F.substring("_norm", 1, prefix_chars)).alias("_pre"))
-    lengths = (signed.groupBy("_len").agg(F.count(F.lit(1)).alias("_rows"))
-               .filter("_rows > 1").select("_len"))
-    prefixes = (signed.join(lengths, "_len", "left_semi")
-                .groupBy("_pre").agg(F.count(F.lit(1)).alias("_rows"))
-                .filter("_rows > 1").select("_pre"))
+    lengths = stage_keys(signed.groupBy("_len").agg(F.count(F.lit(1)).alias("_rows"))
+                         .filter("_rows > 1").select("_len"), "lengths")
+    prefixes = stage_keys(signed.join(lengths, "_len", "left_semi")
+                          .groupBy("_pre").agg(F.count(F.lit(1)).alias("_rows"))
+                          .filter("_rows > 1").select("_pre"), "prefixes")
     likely = norm.withColumn("_pre", F.xxhash64(
         length, F.substring("_norm", 1, prefix_chars))).join(prefixes, "_pre", "left_semi")
     return (likely.groupBy(F.sha2("_norm", 256).alias("text_sha256"), "_norm")
