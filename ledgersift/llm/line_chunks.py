@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import pieces, row_hash, stage, utf8
+from ledgersift.llm.common import pieces, row_hash, stage, stage_keys, utf8
 
 WINDOW = 2         # line hashes in the rolling hash
 SPARSITY = 3       # one line in so many ends a chunk
@@ -109,7 +109,8 @@ def repeated_chunks(rows: DataFrame, window: int = WINDOW, sparsity: int = SPARS
     chunks = stage(rows.mapInArrow(
         _hashed(window, sparsity, max_lines, min_lines),
         f"id {kind}, row bigint, first int, lines int, hash bigint"), "line-chunks")
-    again = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
+    again = stage_keys(chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+                       .filter("n > 1").select("hash"), "chunk-keys")
     wanted = chunks.join(again, "hash", "left_semi").groupBy(
         F.col("id").alias("c_id"), F.col("row").alias("c_row")).agg(
         F.collect_set(F.struct("first", "lines", "hash")).alias("chunks"))
@@ -119,8 +120,10 @@ def repeated_chunks(rows: DataFrame, window: int = WINDOW, sparsity: int = SPARS
             _chunk_texts, f"id {kind}, row bigint, first int, lines int, hash bigint, chunk binary"),
         "line-chunk-texts")
     # grouped by the bytes themselves: equal hashes of unequal chunks do no harm
-    first = texts.groupBy(F.col("hash").alias("f_hash"), F.col("chunk").alias("f_chunk")).agg(
-        F.min(F.struct("id", "row", "first")).alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = stage_keys(
+        texts.groupBy(F.col("hash").alias("f_hash"), F.col("chunk").alias("f_chunk")).agg(
+            F.min(F.struct("id", "row", "first")).alias("keep"),
+            F.count(F.lit(1)).alias("n")).filter("n > 1"), "chunk-firsts")
     same = (texts["hash"] == first["f_hash"]) & (texts["chunk"] == first["f_chunk"])
     return texts.join(first, same).filter(
         ~(F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("row") == F.col("keep.row"))
