@@ -116,11 +116,20 @@ def _values_at(values: DataFrame, ranks: DataFrame, probs: Sequence[float],
         "lo": edge(-1.0, float("-inf")),
         "hi": F.when(shifted, F.lit(float("inf"))).otherwise(edge(1.0, float("inf")))})
     narrow = brackets.select("_g", "_c", "prob", "low", "high", "lo", "hi")
+    edges = narrow.groupBy("_g", "_c").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
     same = F.col("_group").eqNullSafe(F.col("_g")) & (F.col("column") == F.col("_c"))
-    counted = (values.join(narrow, same & (F.col("x") <= F.col("hi")))
-               .groupBy("_g", "_c", "prob", "low", "high",
-                        F.when(F.col("x") >= F.col("lo"), F.col("x")).alias("x"))
-               .agg(F.count(F.lit(1)).alias("n")))
+    x = F.col("x")
+    # a value inside a bracket is a cell of its own, all between two brackets are one
+    inside = F.exists("cuts", lambda b: (x >= b["lo"]) & (x <= b["hi"]))
+    region = F.size(F.filter("cuts", lambda b: b["hi"] < x))
+    cells = (values.join(edges, same)
+             .groupBy(F.col("_g").alias("g"), F.col("_c").alias("c"), F.when(inside, x).alias("at"),
+                      F.when(~inside, region).alias("region"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x")))
+    mine = F.col("g").eqNullSafe(F.col("_g")) & (F.col("c") == F.col("_c"))
+    counted = (cells.join(narrow, mine & (x <= F.col("hi")))
+               .groupBy("_g", "_c", "prob", "low", "high", F.when(x >= F.col("lo"), x).alias("x"))
+               .agg(F.sum("n").alias("n")))
     running = (Window.partitionBy("_g", "_c", "prob").orderBy(F.asc_nulls_first("x"))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     upto = counted.withColumn("upto", F.sum("n").over(running))
