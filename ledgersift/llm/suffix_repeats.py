@@ -24,13 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersift.llm.common import pieces, row_hash, stage, utf8
+from ledgersift.llm.common import pieces, row_hash, stage, stage_keys, utf8
 
 LENGTH = 400
 SEED_BYTES = 128
 BATCH_BYTES = 4 << 20
 CHUNK_BYTES = 2 << 20      # text that one transform holds
-CROWD_BYTES = 8 << 20      # class text of one seed that a task takes at once
+CROWD_BYTES = 4 << 20      # class text of one seed that a task takes at once
 
 BASE = 0x9E3779B97F4A7C15
 PLACE_BITS = np.uint64(28)
@@ -300,7 +300,8 @@ def _cut(length: int):
                 row: list = []
                 for c in sorted(classes, key=lambda c: c["start"]):
                     follows = row and row[-1]["start"] + row[-1]["windows"] == c["start"]
-                    if row and not (follows and c["alone"] and row[-1]["alone"]):
+                    if row and not (follows and c["alone"] and row[-1]["alone"]
+                                    and c["start"] - row[0]["start"] < CHUNK_BYTES):
                         texts.append(_text(value, row, length))
                         names.append(row)
                         row = []
@@ -331,13 +332,15 @@ def _single(length: int):
             for text, classes in zip(batch.column(0), batch.column(1).to_pylist()):
                 value = text.as_py()
                 for c in classes:
-                    n, a = c["windows"], c["start"]
-                    window = [xxhash.xxh3_128_digest(value[a + i:a + i + length]) for i in range(n)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(window, pa.binary()), pa.array(np.full(n, c["seed"])),
-                         pa.array(np.full(n, c["digest"])), pa.array(np.arange(n, dtype=np.int32)),
-                         pa.array(np.full(n, c["n"]))],
-                        ["window", "seed", "digest", "offset", "n"])
+                    for at in range(0, c["windows"], 8192):
+                        n, a = min(8192, c["windows"] - at), c["start"] + at
+                        window = [xxhash.xxh3_128_digest(value[i:i + length]) for i in range(a, a + n)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(window, pa.binary()), pa.array(np.full(n, c["seed"])),
+                             pa.array(np.full(n, c["digest"])),
+                             pa.array(np.arange(at, at + n, dtype=np.int32)),
+                             pa.array(np.full(n, c["n"]))],
+                            ["window", "seed", "digest", "offset", "n"])
 
     return run
 
@@ -350,7 +353,8 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, width: int = SEED_BYTES,
     """
     width = min(width, length)
     found = stage(occurrences(docs, length, width), "segments")
-    again = found.groupBy("seed").agg(F.sum("seeds").alias("all")).filter("all > 1").select("seed")
+    again = stage_keys(found.groupBy("seed").agg(F.sum("seeds").alias("all"))
+                       .filter("all > 1").select("seed"), "segment-keys")
     likely = stage(found.join(again, "seed", "left_semi"), "segments-again")
     classes = likely.groupBy("seed", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "start")).alias("at"),
