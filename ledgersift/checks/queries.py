@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from ledgersift import schema as S
 from ledgersift.functions import calendar
-from ledgersift.functions.features import (
-    add_interactions, boxcox_apply, positive_score, vector_to_columns)
+from ledgersift.functions.features import add_interactions, boxcox_apply, vector_to_columns
 from ledgersift.operators import (
     activity, boxcox, cleaning, curves, distribution, models, outliers, oversample, profile,
     quantiles, sampling)
