@@ -33,8 +33,8 @@ def root_weights(counts: DataFrame, cycle: int = CYCLE) -> DataFrame:
     root = counts.withColumn("_root", F.floor(F.sqrt("rows")).cast("bigint"))
     spread = root.withColumns({"_all": F.sum("_root").over(every),
                                "_spare": F.lit(cycle) - F.count(F.lit(1)).over(every)})
-    spare = F.when(F.col("_spare") < 0, F.raise_error(F.lit("more sources than slots in a cycle"))
-                   .cast("bigint")).otherwise(F.col("_spare"))
+    refused = F.raise_error(F.lit("more sources than slots in a cycle")).cast("bigint")
+    spare = F.when(F.col("_spare") < 0, refused).otherwise(F.col("_spare"))
     whole = spread.withColumn("_spare", spare).withColumns({
         "_base": F.expr("1 + _root * _spare div _all"),
         "_rest": F.expr("(_root * _spare) % _all")})
