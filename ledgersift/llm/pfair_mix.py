@@ -10,10 +10,19 @@ no row waits for another.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgersift.llm.common import stage
+from ledgersift.operators.numbering import number_rows
+
 CYCLE = 1000          # slots per cycle; weights are multiples of 1/CYCLE
+SOURCE_SLOTS = 4      # slots per source in a cycle, where there are more than CYCLE sources
+RUN = 4096            # blocks listed, or added up, in one piece
 BLOCK_ROWS = 16
 BUCKET_ROWS = 2048    # rows numbered in one piece
 
@@ -81,6 +90,55 @@ def cycle_schedule(weights: DataFrame) -> DataFrame:
         "key", "shares[k] AS share", "before[k] AS nth", "slot", "before", "shares", "sizes")
 
 
+def slot_order(weights: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(source, nth, slot) of a cycle: the order of `cycle_schedule`, with heaps for many sources."""
+    h, slot = sum(weights), 0
+    waiting, ready = [(0, k, 0) for k in range(len(weights))], []
+    heapify(waiting)
+    while waiting or ready:
+        while waiting and waiting[0][0] <= slot:
+            _, k, nth = heappop(waiting)
+            heappush(ready, (-(-(nth + 1) * h // weights[k]), k, nth))
+        _, k, nth = heappop(ready)
+        yield k, nth, slot
+        if nth + 1 < weights[k]:
+            heappush(waiting, ((nth + 1) * h // weights[k], k, nth + 1))
+        slot += 1
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(list(batches), pa.schema([("key", pa.string()), ("weight", pa.int64())]))
+    keys, order = table.column("key").combine_chunks(), slot_order(table.column("weight").to_pylist())
+    while piece := [x for x, _ in zip(order, range(65_536))]:
+        k, nth, slot = (pa.array(c, pa.int64()) for c in zip(*piece))
+        yield pa.RecordBatch.from_arrays([keys.take(k), nth, slot], ["s_key", "nth", "slot"])
+
+
+def block_places(shares: DataFrame, block_rows: int) -> DataFrame:
+    """(b_key, b_block, b_slot, b_start): slot of every block and the rows before it, for many sources.
+
+    One task makes the cycle, a heap step per slot; blocks are numbered in order of slots over ranges.
+    """
+    shares = stage(shares, "mix-shares")
+    h = shares.agg(F.sum("weight")).first()[0]
+    slots = stage(shares.select("key", "weight").repartition(1).sortWithinPartitions("key").mapInArrow(
+        _slots, "s_key string, nth bigint, slot bigint"), "mix-slots")
+    blocks = (shares.selectExpr("*", f"explode(sequence(0L, (rows - 1) div {block_rows * RUN})) AS run")
+              .selectExpr("*", f"""explode(sequence(run * {RUN}, least((run + 1) * {RUN},
+                  (rows + {block_rows - 1}) div {block_rows}) - 1)) AS b_block""")
+              .selectExpr("key AS b_key", "b_block", "b_block % weight AS turn", "b_block div weight AS round",
+                          f"least({block_rows}L, rows - b_block * {block_rows}) AS size"))
+    placed = blocks.join(slots, (F.col("b_key") == F.col("s_key")) & (F.col("turn") == F.col("nth"))).select(
+        "b_key", "b_block", "size", (F.col("round") * h + F.col("slot")).alias("b_slot"))
+    lined = stage(number_rows(placed, ["b_slot"]).withColumn("run", F.expr(f"row_no div {RUN}")), "mix-blocks")
+    before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lined.groupBy(F.col("run").alias("r_run")).agg(F.sum("size").alias("rows")).withColumnRenamed(
+        "r_run", "run").select("run", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("run").orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
+    return (lined.withColumn("here", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, "run")
+            .select("b_key", "b_block", "b_slot", (F.col("start") + F.col("here")).alias("b_start")))
+
+
 def numbered(docs: DataFrame, id_col: str, source_col: str,
              bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(_doc, _key, _rank): rows as structs, source key, and place 0.. within the source.
@@ -113,7 +171,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                 cycle: int = CYCLE) -> DataFrame:
     """`docs` with `mix_block`, `mix_slot` and `mix_position`, the row's place 0.. in the mix.
 
-    `weights` (source, weight) are whole numbers; by default `root_weights` makes them. Up to the slot
+    `weights` (source, weight) are whole numbers; by default `root_weights` makes them, over `cycle` slots,
+    or over `SOURCE_SLOTS` slots per source where there are more sources than slots. Up to the slot
     at which the first source runs out, each source is within one block of its share after every slot;
     later, slots of finished sources stay empty. No row is dropped or repeated: a source missing from
     `weights` or with no positive weight is an error. A null source is a source of its own. Rows that
@@ -123,8 +182,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     docs = docs.drop("mix_block", "mix_slot", "mix_position")
     counts = docs.groupBy(source_key(F.col(source_col)).alias("key")).agg(
         F.count(F.lit(1)).alias("rows"))
+    counts = stage(counts, "mix-counts")
+    sources = counts.count()
     if weights is None:
-        shares = root_weights(counts, cycle)
+        shares = root_weights(counts, cycle if sources <= cycle else SOURCE_SLOTS * sources)
     else:
         wanted = weights.select(source_key(F.col("source")).alias("_k"),
                                 F.col("weight").cast("bigint").alias("_w"))
@@ -132,6 +193,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
         shares = counts.join(wanted, F.col("key") == F.col("_k"), "left").select(
             "key", "rows", F.when(F.col("_w") > 0, F.col("_w")).otherwise(
                 missing.cast("bigint")).alias("weight"))
+    if sources > min(cycle, CYCLE):
+        placed = stage(block_places(shares, block_rows), "mix-places")
+        return numbered(docs, id_col, source_col).withColumn(
+            "mix_block", F.expr(f"_rank div {block_rows}")).join(
+            placed, (F.col("_key") == F.col("b_key")) & (F.col("mix_block") == F.col("b_block"))).select(
+            "_doc.*", "mix_block", F.col("b_slot").alias("mix_slot"),
+            (F.col("b_start") + F.expr(f"_rank % {block_rows}")).alias("mix_position"))
     schedule = cycle_schedule(shares).select(
         F.col("key").alias("_s_key"), F.col("share").alias("_s_share"), F.col("nth").alias("_nth"),
         F.col("slot").alias("_slot"), F.col("before").alias("_before"),

@@ -60,3 +60,30 @@ def test_buckets_do_not_change_the_order(spark, make_docs, monkeypatch):
     whole = {r.doc_id: r.mix_position for r in mix_sources(make_docs(data)).collect()}
     monkeypatch.setattr(pfair_mix.numbered, "__defaults__", (7,))
     assert {r.doc_id: r.mix_position for r in mix_sources(make_docs(data)).collect()} == whole
+
+
+def test_more_sources_than_slots(make_docs):
+    rng = random.Random(5)
+    data = rows({f"h{k}": rng.randint(1, 3) for k in range(1300)} | {"big": 900, None: 40})
+    got = mix_sources(make_docs(data)).select("doc_id", "source", "mix_slot", "mix_position").collect()
+    assert sorted(r.doc_id for r in got) == [i for i, _, _ in data]
+    assert sorted(r.mix_position for r in got) == list(range(len(data)))
+    in_place = [r.mix_slot for r in sorted(got, key=lambda r: r.mix_position)]
+    assert in_place == sorted(in_place)
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_many_sources_against_simulation(spark, make_docs, weighted):
+    rng = random.Random(7)
+    data = rows({f"s{k:02}": rng.randint(1, 60) for k in range(30)})
+    docs, sizes = make_docs(data), Counter(s for _, _, s in data)
+    if weighted:
+        weights = {s: rng.randint(1, 9) for s in sizes}
+        shares = spark.createDataFrame(list(weights.items()), "source string, weight int")
+        got = mix_sources(docs, weights=shares, block_rows=3, cycle=7)
+    else:
+        counts = spark.createDataFrame([("s" + s, n) for s, n in sizes.items()], "key string, rows bigint")
+        weights = {r.key[1:]: r.weight for r in root_weights(counts, 4 * len(sizes)).collect()}
+        got = mix_sources(docs, block_rows=3, cycle=7)
+    want = mix([(i, s) for i, _, s in data], weights, 3)
+    assert {r.doc_id: (r.mix_slot, r.mix_position) for r in got.collect()} == want
