@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from ledgersift.llm.language_ranks import TOP
 from ledgersift.llm.pfair_mix import BLOCK_ROWS, CYCLE
 
 ORACLE: dict[str, str] = {}
@@ -140,5 +141,47 @@ SELECT doc_id, source, block AS mix_block,
 FROM blocks JOIN slots ON blocks.key = slots.key AND blocks.block % slots.a = slots.nth, src
 """
 
+# the CRC of the id's digits, bit by bit: each digit is added, then shifted out in eight steps
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS bigint), flatten(list_transform(
+    string_split(coalesce(CAST(doc_id AS varchar), ''), ''),
+    lambda x: CASE WHEN x = '' THEN [] ELSE [CAST(unicode(x) AS bigint), -1, -1, -1, -1, -1, -1, -1, -1] END))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"""
+
+ORACLE["op11_language_ranks"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_CRC} % 5 = 0 AS held_out, string_split(
+    ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) || ' ', '') AS c
+  FROM documents),
+spots AS (SELECT r, c[i] AS x, c[i + 1] AS y, c[i + 2] AS z
+          FROM d, unnest(range(1, len(c) + 1)) AS t(i) WHERE len(c) > 2),
+grams AS (
+  SELECT r, CAST(unicode(x) AS bigint) * 4398046511104 AS gram FROM spots WHERE x <> ' '
+  UNION ALL
+  SELECT r, CAST(unicode(x) AS bigint) * 4398046511104 + unicode(y) * 2097152 FROM spots
+  WHERE y IS NOT NULL
+  UNION ALL
+  SELECT r, CAST(unicode(x) AS bigint) * 4398046511104 + unicode(y) * 2097152 + unicode(z) FROM spots
+  WHERE z IS NOT NULL AND y <> ' '),
+counts AS (SELECT r, gram, count(*) AS n FROM grams GROUP BY r, gram),
+known AS (
+  SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, gram) - 1 AS place
+  FROM counts JOIN d USING (r) WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, gram
+  QUALIFY place < {TOP}),
+ranks AS (
+  SELECT r, gram, row_number() OVER (PARTITION BY r ORDER BY n DESC, gram) - 1 AS place FROM counts
+  QUALIFY place < {TOP}),
+sizes AS (SELECT r, count(*) AS g FROM ranks GROUP BY r),
+near AS (SELECT r, lang, sum({TOP} - least(abs(ranks.place - known.place), {TOP})) AS s
+         FROM ranks JOIN known USING (gram) GROUP BY r, lang),
+judged AS (
+  SELECT r, g, l.lang, g * {TOP} - coalesce(s, 0) AS far
+  FROM sizes CROSS JOIN (SELECT DISTINCT lang FROM known) AS l LEFT JOIN near USING (r, lang)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY far, l.lang) = 1)
+SELECT doc_id, held_out, coalesce(judged.lang, 'und') AS lang_pred,
+       coalesce(1.0::double - far::double / (g * {TOP})::double, 0.0::double) AS score
+FROM d LEFT JOIN judged USING (r)
+"""
+
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

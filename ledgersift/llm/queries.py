@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgersift.llm import (
-    exact_dedup, licence_rules, line_chunks, passage_chains, pfair_mix, phrase_index, quality,
-    simhash_trie, suffix_repeats, url_lists)
+    exact_dedup, language_ranks, licence_rules, line_chunks, passage_chains, pfair_mix, phrase_index,
+    quality, simhash_trie, suffix_repeats, url_lists)
 from ledgersift.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,21 @@ def hex_print(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+def held_out() -> Column:
+    """Every fifth document by the CRC of its id; a null id counts as the empty text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.crc32(key.cast("binary")) % 5 == 0
+
+
+@query
+def op11_language_ranks(spark, d):
+    docs = read_table(spark, d, "documents")
+    profiles = language_ranks.learn_profiles(docs.filter(~held_out()))
+    rows = language_ranks.identify(docs, profiles)
+    return rows.withColumnRenamed("id", "doc_id").select("doc_id", held_out().alias("held_out"),
+                                                         "lang_pred", "score")
+
+
 @query
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
