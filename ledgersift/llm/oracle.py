@@ -183,5 +183,35 @@ SELECT doc_id, held_out, coalesce(judged.lang, 'und') AS lang_pred,
 FROM d LEFT JOIN judged USING (r)
 """
 
+ORACLE["op13_phrase_automata"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM w, unnest([1, 2, 3]) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS bigint) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS x FROM f WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.size, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS hugeint) * c.f * c.f // (CAST(l.f AS hugeint) * r.f) AS bigint) AS score
+  FROM c, unnest(range(1, c.size)) AS t(k)
+  JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(x[1:k], ' ')
+  JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(x[k + 1:], ' ')),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(x[i:i + 1], ' ') AS phrase, max(f) AS longer
+  FROM c, unnest([1, 2]) AS t(i) WHERE size = 3 GROUP BY ALL),
+alone AS (
+  SELECT weakest.* FROM weakest LEFT JOIN inner_ USING (lang, phrase)
+  WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM alone JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgersift.llm import (
-    exact_dedup, language_ranks, licence_rules, line_chunks, passage_chains, pfair_mix, phrase_index,
-    quality, simhash_trie, suffix_repeats, url_lists)
+    collocations, exact_dedup, language_ranks, licence_rules, line_chunks, passage_chains, pfair_mix,
+    phrase_index, quality, simhash_trie, suffix_repeats, url_lists, whitening)
 from ledgersift.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,6 +159,27 @@ def op11_language_ranks(spark, d):
                                                          "lang_pred", "score")
 
 
+@query
+def op12_jacobi_whitening(spark, d):
+    """One row per vector and component; a deviation that does not fit 64 bits is null."""
+    vectors = read_table(spark, d, "embeddings")
+    model, fit_list = whitening.fit_whitening(vectors)
+    error = whitening.identity_error(model, fit_list)
+    share = F.array(*[F.lit(float(v) / model.trace) for v in model.values[:whitening.COMPONENTS]])
+    rows = whitening.whiten(vectors, model).select(
+        F.col("id").alias("vec_id"), F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        F.posexplode("whitened").alias("place", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"),
+        "deviation", "whitened", F.get(share, F.col("place")).cast("double").alias("explained"),
+        F.lit(error).alias("identity_error"))
+
+
+@query
+def op13_phrase_automata(spark, d):
+    return collocations.collocations(read_table(spark, d, "documents"))
+
+
 @query
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)

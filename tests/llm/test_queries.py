@@ -13,7 +13,7 @@ from ledgersift.llm.common import read_table
 from ledgersift.llm.oracle import ORACLE
 from ledgersift.llm.queries import QUERIES
 
-BRUTE_FORCE = {"op2_passage_chains", "op3_ordinal_quality", "op6_line_chunks", "op8_licence_rules",
+BRUTE_FORCE = {"op2_passage_chains", "op3_ordinal_quality", "op6_line_chunks", "op8_licence_rules", "op12_jacobi_whitening",
                "op10_simhash_trie", "pipeline"}
 
 
