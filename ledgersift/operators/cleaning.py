@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgersift.operators.duplicates import distinct_rows
 from ledgersift.schema import MAJORITY, MINORITY
 
 
@@ -13,7 +14,8 @@ def drop_nulls(df: DataFrame, how: str = "any") -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """Each row once; only rows that have a copy are moved."""
+    return distinct_rows(df)
 
 
 def split_by_label(df: DataFrame, majority: str = MAJORITY) -> tuple[DataFrame, DataFrame]:

@@ -14,22 +14,35 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgersift.session import work_folder
+from ledgersift.operators.stored import stored
 
 
 class OneClassError(ValueError):
     """A curve needs rows of both classes."""
 
 
-def score_counts(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """(score, pos, neg) per distinct score, stored."""
-    counts = pred.filter(F.col(score).isNotNull()).groupBy(
-        F.col(score).cast("double").alias("score")).agg(
+class UnknownRowError(ValueError):
+    """Rows that have no score or belong to neither class."""
+
+
+def score_counts(pred: DataFrame, label: str = "label", score: str = "score",
+                 invalid: str = "error") -> DataFrame:
+    """(score, pos, neg) per distinct score, stored. NaN is one score, above all others.
+
+    A row with a null score, or a label that is neither 0 nor 1, is an error; with `invalid="skip"` such
+    rows are left out.
+    """
+    known = F.col(score).isNotNull() & F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    counts = stored(pred.groupBy(F.when(known, F.col(score).cast("double")).alias("score")).agg(
         F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-        F.sum((F.col(label) == 0).cast("bigint")).alias("neg"))
-    path = work_folder(pred.sparkSession, "scores")
-    counts.write.parquet(path)
-    return pred.sparkSession.read.schema(counts.schema).parquet(path)
+        F.sum((F.col(label) == 0).cast("bigint")).alias("neg"),
+        F.count(F.lit(1)).alias("n")), "scores")
+    if invalid != "skip":
+        row = counts.filter(F.col("score").isNull()).first()
+        if row:
+            raise UnknownRowError(
+                f"{row['n']} rows without a {score} or with another {label} than 0 and 1")
+    return counts.filter(F.col("score").isNotNull()).select("score", "pos", "neg")
 
 
 def _totals(counts: DataFrame) -> tuple[int, int]:
@@ -44,10 +57,12 @@ def _range_ends(counts: DataFrame, ranges: int) -> list[float]:
     """Sketched scores that cut the distinct scores into about equal ranges."""
     k = min(65_535, max(800, 4 * ranges))
     sketch = (counts.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("slice"))
-              .agg(F.kll_sketch_agg_double("score", k).alias("sketch"))
+              .agg(F.kll_sketch_agg_double(F.when(~F.isnan("score"), F.col("score")), k).alias("sketch"))
               .agg(F.kll_merge_agg_double("sketch", k).alias("sketch")))
     at = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    return sorted(set(sketch.select(F.kll_sketch_get_quantile_double("sketch", at)).first()[0]))
+    ends = sketch.select(F.kll_sketch_get_quantile_double("sketch", at)).first()[0] if counts.filter(
+        ~F.isnan("score")).limit(1).count() else []
+    return sorted({e for e in ends if math.isfinite(e)})
 
 
 def running_counts(counts: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -57,8 +72,9 @@ def running_counts(counts: DataFrame, ranges: int | None = None) -> DataFrame:
     """
     spark = counts.sparkSession
     ranges = max(2, ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    located = Bucketizer(splits=[-math.inf, *_range_ends(counts, ranges), math.inf],
-                         inputCol="score", outputCol="range").transform(counts)
+    # NaN gets a range of its own behind the last one, which is the highest
+    located = Bucketizer(splits=[-math.inf, *(_range_ends(counts, ranges) or [0.0]), math.inf],
+                         inputCol="score", outputCol="range", handleInvalid="keep").transform(counts)
     above = (Window.partitionBy("range").orderBy(F.desc("score"))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = located.withColumns({"tp": F.sum("pos").over(above), "fp": F.sum("neg").over(above)})
@@ -74,9 +90,9 @@ def running_counts(counts: DataFrame, ranges: int | None = None) -> DataFrame:
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "score",
-               ranges: int | None = None) -> DataFrame:
+               ranges: int | None = None, invalid: str = "error") -> DataFrame:
     """(threshold, fpr, tpr): one point per distinct score, and (0, 0) at threshold infinity."""
-    counts = score_counts(pred, label, score)
+    counts = score_counts(pred, label, score, invalid)
     pos, neg = _totals(counts)
     points = running_counts(counts, ranges).select(
         F.col("score").alias("threshold"), (F.col("fp") / F.lit(neg)).alias("fpr"),
@@ -87,9 +103,9 @@ def roc_points(pred: DataFrame, label: str = "label", score: str = "score",
 
 
 def pr_points(pred: DataFrame, label: str = "label", score: str = "score",
-              ranges: int | None = None) -> DataFrame:
+              ranges: int | None = None, invalid: str = "error") -> DataFrame:
     """(threshold, precision, recall): one point per distinct score, and (1, 0) without one."""
-    counts = score_counts(pred, label, score)
+    counts = score_counts(pred, label, score, invalid)
     pos, _ = _totals(counts)
     points = running_counts(counts, ranges).select(
         F.col("score").alias("threshold"),
@@ -101,9 +117,9 @@ def pr_points(pred: DataFrame, label: str = "label", score: str = "score",
 
 
 def auc_roc(pred: DataFrame, label: str = "label", score: str = "score",
-            ranges: int | None = None) -> DataFrame:
+            ranges: int | None = None, invalid: str = "error") -> DataFrame:
     """(auc): the share of (positive, negative) pairs ranked rightly, ties counting half."""
-    counts = score_counts(pred, label, score)
+    counts = score_counts(pred, label, score, invalid)
     pos, neg = _totals(counts)
     higher = F.col("tp") - F.col("pos")
     area = F.sum(F.col("neg") * (higher + F.col("pos") / 2)) / F.lit(float(pos) * float(neg))

@@ -1,11 +1,13 @@
 """Exact k nearest neighbours within one table, without comparing all pairs.
 
 Equal rows are one point with a number of copies: their numbers follow each other, so copies of a point
-cost nothing however many there are. Points are cut into blocks by recursive medians over all features,
-learned from a bounded sample; the cuts do not touch the answer. Step one finds each point's nearest in
-its own block, which bounds how far the true neighbours can be. Step two descends the tree of bounding
-boxes and visits only blocks that may hold a nearer or equally near row. Ties go to the lower row
-number, whatever the blocks.
+cost nothing however many there are. Points are cut into leaves by recursive medians over all features,
+learned from a bounded sample, and each leaf into blocks by medians that a task of its own learns from a
+sample of the leaf, so blocks stay small however many points there are; the cuts do not touch the answer.
+Step one finds each point's nearest in its own block, which bounds how far the true neighbours can be.
+Step two descends the tree of the leaves' bounding boxes, then the boxes of the blocks of those leaves,
+and visits only blocks that may hold a nearer or equally near row. Ties go to the lower row number,
+whatever the blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from ledgersift.session import ensure_checkpoint_dir
 
 BLOCK_ROWS = 2048
 SAMPLE = 65_536        # points from which the cuts are learned
-LEAF_SAMPLE = 16       # sampled points per leaf, at least
+LEAF_SAMPLE = 16       # sampled points per leaf or block, at least
+PLACED = 200_000       # points of a leaf that are put into its blocks in one piece
 VISITS = 16_384        # visiting points handled in one piece
 STEP = 256             # points compared at once, bounds the distance matrix
 PAIRS = 1_000_000      # point-node pairs tested at once
@@ -37,7 +40,10 @@ def _cuts(points: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         part = held.pop(node)
         if len(part):
             feature[node] = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
-            value[node] = np.median(part[:, feature[node]])
+            at = part[:, feature[node]]
+            value[node] = np.median(at)
+            if value[node] == at.max() > at.min():      # more than half at the top: cut below it
+                value[node] = at[at < at.max()].max()
         left = part[:, feature[node]] <= value[node] if len(part) else np.zeros(0, dtype=bool)
         held[2 * node + 1], held[2 * node + 2] = part[left], part[~left]
     return feature, value
@@ -104,14 +110,14 @@ def nearest_neighbors(numbered: DataFrame, features: list[str], k: int,
 
     own = placed.groupBy("leaf", "piece").applyInPandas(
         own_block, "first_no bigint, dist array<double>, near array<bigint>, copies bigint, "
-                   f"leaf bigint, piece int, {plain}").checkpoint()
+                   f"leaf bigint, piece bigint, {plain}").checkpoint()
     found = own.select("first_no", "dist", "near").unionByName(
         _visited(_visits(own, placed, features, k), placed, features, k))
     return _ranked(found, points, k)
 
 
 def _placed(points: DataFrame, features: list[str], block_rows: int) -> DataFrame:
-    """`points` with `leaf` and, where a leaf holds too many for one task, `piece`."""
+    """`points` with `leaf` and, within it, `piece`: together the block of a point."""
     count = points.count()
     sample = np.array([tuple(r) for r in points.select(*features, "first_no").orderBy(
         F.xxhash64("first_no")).limit(min(SAMPLE, count)).drop("first_no").collect()], dtype=float)
@@ -123,19 +129,47 @@ def _placed(points: DataFrame, features: list[str], block_rows: int) -> DataFram
             yield pdf.assign(leaf=_leaf_of(pdf[features].to_numpy(float), feature, value))
 
     plain = ", ".join(f"`{f}` double" for f in features)
-    located = points.mapInPandas(place, f"{plain}, first_no bigint, copies bigint, leaf bigint")
-    sizes = located.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("pieces"))
+    located = points.mapInPandas(place, f"{plain}, first_no bigint, copies bigint, leaf bigint").checkpoint()
+    return _blocked(located, features, block_rows).checkpoint()
+
+
+def _blocked(located: DataFrame, features: list[str], block_rows: int) -> DataFrame:
+    """The second level of cuts: every leaf learns its own from a sample and deals its points to them."""
+    plain = ", ".join(f"`{f}` double" for f in features)
     # at most SAMPLE / LEAF_SAMPLE leaves
-    return located.join(F.broadcast(sizes), "leaf").withColumn(
-        "piece", F.pmod(F.hash("first_no"), F.col("pieces"))).drop("pieces").checkpoint()
+    sizes = F.broadcast(located.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")))
+    sized = located.join(sizes, "leaf")
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = pdf[features].to_numpy(float)
+        blocks = max(1, min(-(-int(pdf["size"].iloc[0]) // block_rows), len(at) // LEAF_SAMPLE))
+        feature, value = _cuts(at, (blocks - 1).bit_length())
+        return pd.DataFrame({"leaf": pdf["leaf"].iloc[:1], "feature": [feature], "value": [value]})
+
+    chosen = F.pmod(F.xxhash64("first_no"), F.col("size")) < SAMPLE
+    cuts = sized.filter(chosen).groupBy("leaf").applyInPandas(
+        learn, "leaf bigint, feature array<bigint>, value array<double>")
+    shares = F.ceil(F.col("size") / PLACED).cast("int")
+    rows = sized.withColumn("share", F.pmod(F.hash("first_no"), shares)).drop("size")
+    plans = cuts.join(sizes, "leaf").select(
+        "leaf", "feature", "value", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+
+    def place(pdf: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
+        # a leaf without a sampled point has no plan and is one block
+        feature, value = (np.asarray(plan[c].iloc[0]) if len(plan) else np.zeros(0) for c in ("feature", "value"))
+        found = _leaf_of(pdf[features].to_numpy(float), feature.astype(np.int64), value)
+        return pdf.drop(columns="share").assign(piece=found)
+
+    return rows.groupBy("leaf", "share").cogroup(plans.groupBy("leaf", "share")).applyInPandas(
+        place, f"leaf bigint, {plain}, first_no bigint, copies bigint, piece bigint")
 
 
 def _visits(own: DataFrame, placed: DataFrame, features: list[str], k: int) -> DataFrame:
     """(first_no, leaf, piece, features...): blocks that may hold a nearer row than those found."""
     d = len(features)
-    rows = small_rows(placed.groupBy("leaf").agg(
-        *[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features],
-        F.max("piece").alias("last")), "leaves")
+    box = [*[F.min(f).alias(f"lo_{f}") for f in features], *[F.max(f).alias(f"hi_{f}") for f in features]]
+    blocks = placed.groupBy("leaf", "piece").agg(*box).checkpoint()
+    rows = small_rows(placed.groupBy("leaf").agg(*box, F.max("piece").alias("last")), "leaves")
     leaves = 1 << (max(r["leaf"] for r in rows)).bit_length() if rows else 1
     lo, hi = np.full((2 * leaves - 1, d), np.inf), np.full((2 * leaves - 1, d), -np.inf)
     last = np.full(leaves, -1)
@@ -146,12 +180,20 @@ def _visits(own: DataFrame, placed: DataFrame, features: list[str], k: int) -> D
         lo[node] = np.minimum(lo[2 * node + 1], lo[2 * node + 2])
         hi[node] = np.maximum(hi[2 * node + 1], hi[2 * node + 2])
 
+    def gaps(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Distance of each point to its box, summed feature by feature as distances of points are."""
+        gap = np.zeros(len(at))
+        for j in range(d):
+            gap += np.maximum(0.0, np.maximum(low[:, j] - at[:, j], at[:, j] - high[:, j])) ** 2
+        return np.sqrt(gap)
+
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             at, numbers = pdf[features].to_numpy(float), pdf["first_no"].to_numpy()
             missing = k - (pdf["copies"].to_numpy() - 1)   # the copies themselves come first
             reach = np.array([x[m - 1] if len(x) >= m else np.inf
                               for x, m in zip(pdf["dist"], np.clip(missing, 1, k))])
+            own_leaf, own_piece = pdf["leaf"].to_numpy(), pdf["piece"].to_numpy()
             todo = [(np.flatnonzero(missing > 0), np.zeros(int((missing > 0).sum()), dtype=np.int64))]
             while todo:
                 point, node = todo.pop()
@@ -159,29 +201,44 @@ def _visits(own: DataFrame, placed: DataFrame, features: list[str], k: int) -> D
                     half = len(point) // 2
                     todo += [(point[:half], node[:half]), (point[half:], node[half:])]
                     continue
-                gap = np.zeros(len(point))
-                for j in range(d):
-                    x = at[point, j]
-                    gap += np.maximum(0.0, np.maximum(lo[node, j] - x, x - hi[node, j])) ** 2
-                near = np.sqrt(gap) <= reach[point]
+                near = gaps(at[point], lo[node], hi[node]) <= reach[point]
                 point, node = point[near], node[near]
                 inner = node < leaves - 1
                 if inner.any():
                     todo.append((np.concatenate([point[inner]] * 2),
                                  np.concatenate([2 * node[inner] + 1, 2 * node[inner] + 2])))
                 point, leaf = point[~inner], node[~inner] - (leaves - 1)
-                times = last[leaf] + 1
-                piece = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                point, leaf = np.repeat(point, times), np.repeat(leaf, times)
-                other = (leaf != pdf["leaf"].to_numpy()[point]) | (piece != pdf["piece"].to_numpy()[point])
-                point, leaf, piece = point[other], leaf[other], piece[other]
+                other = (leaf != own_leaf[point]) | (last[leaf] > 0)
+                point, leaf = point[other], leaf[other]
                 if len(point):
-                    yield pd.DataFrame({"first_no": numbers[point], "leaf": leaf, "piece": piece,
-                                        **{f: at[point, j] for j, f in enumerate(features)}})
+                    mine = np.where(leaf == own_leaf[point], own_piece[point], -1)
+                    yield pd.DataFrame({"first_no": numbers[point], "leaf": leaf, "mine": mine,
+                                        "reach": reach[point], **{f: at[point, j] for j, f in enumerate(features)}})
 
     plain = ", ".join(f"`{f}` double" for f in features)
-    return own.select("first_no", "dist", "copies", "leaf", "piece", *features).mapInPandas(
-        probe, f"first_no bigint, leaf bigint, piece int, {plain}").checkpoint()
+    calls = own.select("first_no", "dist", "copies", "leaf", "piece", *features).mapInPandas(
+        probe, f"first_no bigint, leaf bigint, mine bigint, reach double, {plain}").checkpoint()
+    load = calls.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / VISITS).cast("int").alias("shares"))
+    load = F.broadcast(load)    # at most as many rows as there are leaves
+    guests = calls.join(load, "leaf").withColumn("share", F.pmod(F.hash("first_no"), F.col("shares"))).drop("shares")
+    hosts = blocks.join(load, "leaf").withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+
+    def choose(asking: pd.DataFrame, boxes: pd.DataFrame) -> pd.DataFrame:
+        at, reach, mine = asking[features].to_numpy(float), asking["reach"].to_numpy(), asking["mine"].to_numpy()
+        low = boxes[[f"lo_{f}" for f in features]].to_numpy(float)
+        high = boxes[[f"hi_{f}" for f in features]].to_numpy(float)
+        found = []
+        for b, piece in enumerate(boxes["piece"].to_numpy()):
+            near = gaps(at, low[b:b + 1], high[b:b + 1]) <= reach
+            point = np.flatnonzero(near & (mine != piece))
+            if len(point):
+                found.append(asking.iloc[point][["first_no", "leaf", *features]].assign(piece=piece))
+        names = ["first_no", "leaf", "piece", *features]
+        return (pd.concat(found) if found else asking.iloc[:0].assign(piece=0))[names]
+
+    return guests.groupBy("leaf", "share").cogroup(hosts.groupBy("leaf", "share")).applyInPandas(
+        choose, f"first_no bigint, leaf bigint, piece bigint, {plain}").checkpoint()
 
 
 def _visited(visits: DataFrame, placed: DataFrame, features: list[str], k: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgersift.functions.hashing import hash_bits, hash_fraction
 from ledgersift.operators.neighbors import BLOCK_ROWS, nearest_neighbors
-from ledgersift.operators.numbering import number_rows
+from ledgersift.operators.numbering import number_rows, number_rows_dealt
 from ledgersift.operators.sizing import small_rows
 
 SEED = 42  # fixed value
@@ -31,11 +31,12 @@ def random_oversample(df: DataFrame, target: str, seed: int = SEED,
 
     Each draw is one row of a range and picks a row number by hash, so the draws are spread evenly
     whatever the number of minority rows. They are joined on the row number, where no number is drawn
-    unusually often.
+    unusually often. Numbers are dealt by hash in buckets, so the class is neither sorted as a whole nor
+    stored, and a bucket gets draws in proportion to its rows. Draws depend on the rows' values alone.
     """
     out = df
     for cls, rows, missing in _deficits(df, target):
-        numbered = number_rows(df.filter(F.col(target) == cls), order_by or df.columns)
+        numbered = number_rows_dealt(df.filter(F.col(target) == cls), rows, order_by)
         draws = df.sparkSession.range(missing).select(
             (hash_bits([F.col("id")], _stream(seed, cls)) % rows).alias("row_no"))
         out = out.unionByName(draws.join(numbered, "row_no").select(*df.columns))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgersift.operators.quantiles import approx_median, exact_quantiles
 from ledgersift.operators.sizing import rows_from_columns, small_table
 
+SUMS_AT_ONCE = 80   # aggregates with more fields than about a hundred are not compiled
+
 
 def count_rows(df: DataFrame, step: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(step).alias("step"), "n")
@@ -112,45 +114,70 @@ def class_stats(df: DataFrame, by: str, columns: list[str], median: str = "exact
 def correlation(df: DataFrame, columns: list[str], invalid: str = "error") -> DataFrame:
     """Pearson matrix as (col_a, col_b, r); r is NaN where a column is constant or has no rows.
 
-    One aggregate finds the means, a second sums the products of the centred columns; both are plain
-    sums in generated code. A null is an error, or with `invalid="skip"` drops its row, or with
-    `invalid="pairwise"` drops the row for the pairs with that column only.
+    One aggregate finds counts and means, a second the Gram matrix of the centred columns: their sums
+    and the sums of their products. A null is an error, or with `invalid="skip"` drops its row, or with
+    `invalid="pairwise"` drops the row for the pairs with that column only. Then a column with nulls
+    counts as 0 where it is null, and further sums, each over the rows where it is not, give the other
+    columns' sums and squares for its pairs. Sums are taken in groups that stay in generated code.
     """
-    plain = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    plain = df.select(*[F.col(c).cast("double").alias(f"x_{i}") for i, c in enumerate(columns)])
     if invalid == "skip":
         plain = plain.dropna()
-    first = plain.agg(F.count(F.lit(1)).alias("n"), *[
-        f(c).alias(f"{name}_{i}") for i, c in enumerate(columns)
-        for name, f in (("count", F.count), ("mean", F.mean))]).first()
-    short = [c for i, c in enumerate(columns) if first[f"count_{i}"] < first["n"]]
+    places = range(len(columns))
+    first = _plain_sums(plain, {
+        "n": F.count(F.lit(1)), **{f"n_{i}": F.count(f"x_{i}") for i in places},
+        **{f"mean_{i}": F.mean(f"x_{i}") for i in places}})
+    short = [i for i in places if first[f"n_{i}"] < first["n"]]
     if short and invalid != "pairwise":
-        raise ValueError(f"null values in {short}")
+        raise ValueError(f"null values in {[columns[i] for i in short]}")
+
     # centring by any constant leaves r as it is and keeps the sums small
-    centred = plain.select(*[(F.col(c) - F.lit(first[f"mean_{i}"] or 0.0)).alias(f"d_{i}")
-                             for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    sums = []
-    for i, j in pairs:
-        x, y = F.col(f"d_{i}"), F.col(f"d_{j}")
-        both = x.isNotNull() & y.isNotNull()
-        parts = {"n": F.lit(1.0), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
-        sums += [F.sum(F.when(both, v)).alias(f"{k}_{i}_{j}") for k, v in parts.items()]
-    total = centred.agg(*sums).first()
+    def centred(i: int) -> Column:
+        x = F.col(f"x_{i}") - F.lit(first[f"mean_{i}"] or 0.0)
+        return (F.coalesce(x, F.lit(0.0)) if i in short else x).alias(f"d_{i}")
+
+    present = [F.col(f"x_{i}").isNotNull().cast("double").alias(f"m_{i}") for i in short]
+    table = plain.select(*[centred(i) for i in places], *present)
+    d, m = {i: F.col(f"d_{i}") for i in places}, {i: F.col(f"m_{i}") for i in short}
+    sums = {f"x_{i}": F.sum(d[i]) for i in places}
+    sums |= {f"xy_{i}_{j}": F.sum(d[i] * d[j]) for i in places for j in places if i <= j}
+    sums |= {f"both_{i}_{j}": F.sum(m[i] * m[j]) for i in short for j in short if i < j}
+    for j in short:
+        sums |= {f"x_{i}_in_{j}": F.sum(d[i] * m[j]) for i in places if i != j}
+        sums |= {f"xx_{i}_in_{j}": F.sum(d[i] * d[i] * m[j]) for i in places if i != j}
+    total = _plain_sums(table, sums)
 
     def r(i: int, j: int) -> float:
         i, j = min(i, j), max(i, j)
-        n, x, y, xx, yy, xy = (total[f"{k}_{i}_{j}"] or 0.0 for k in ("n", "x", "y", "xx", "yy", "xy"))
+        if i in short and j in short and i != j:
+            n = total[f"both_{i}_{j}"]
+        else:
+            n = min(first[f"n_{i}"], first[f"n_{j}"])
+        # a column's own zeros add nothing, so only the partner's nulls narrow its sums
+        x, xx = (total[f"x_{i}_in_{j}"], total[f"xx_{i}_in_{j}"]) if j in short and i != j else (
+            total[f"x_{i}"], total[f"xy_{i}_{i}"])
+        y, yy = (total[f"x_{j}_in_{i}"], total[f"xx_{j}_in_{i}"]) if i in short and i != j else (
+            total[f"x_{j}"], total[f"xy_{j}_{j}"])
         if not n:
             return math.nan
         scale = math.sqrt(max(0.0, xx - x * x / n)) * math.sqrt(max(0.0, yy - y * y / n))
         if scale == 0:
             return math.nan
-        return 1.0 if i == j else (xy - x * y / n) / scale
+        return 1.0 if i == j else (total[f"xy_{i}_{j}"] - x * y / n) / scale
 
     rows = [(a, b, r(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
+def _plain_sums(df: DataFrame, sums: dict[str, Column], group: int = SUMS_AT_ONCE) -> dict:
+    """One row of aggregates by name, null as 0; more than generated code takes run one after another."""
+    names, found = list(sums), {}
+    for at in range(0, len(names), group):
+        part = names[at:at + group]
+        found |= df.agg(*[sums[n].alias(n) for n in part]).first().asDict()
+    return {n: v or 0.0 for n, v in found.items()}
+
+
 def describe_categorical(df: DataFrame, column: str) -> DataFrame:
     """Count, number of distinct values, most frequent value and its count (ties: least value)."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))

@@ -1,11 +1,12 @@
 """Exact and approximate quantiles.
 
 Exact quantiles take two scans whatever the size of the table. The first makes a sketch of each group
-and column, which proposes a narrow bracket around each wanted rank. The second counts the rows below
-each bracket and the values inside it, in one aggregate that hands on one row for all that lies below
-and one per distinct value inside. The counts tell for certain which values stand at the wanted ranks;
-should a bracket have missed its rank, it is widened and the second scan repeated. Sketches only choose
-where to look, so the answer is exact.
+and column, which proposes a narrow bracket around each wanted rank. The second is one aggregate over
+whole rows: it counts the values below each bracket, and its key holds a column's value only where that
+lies in a bracket, so all other rows of a group fall together before the shuffle. What it leaves is
+stored and tells for certain which values stand at the wanted ranks; should a bracket have missed its
+rank, it is widened and the second scan repeated. Sketches only choose where to look, so the answer is
+exact.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgersift.operators.sizing import long_values
-from ledgersift.session import work_folder
+from ledgersift.operators.stored import stored
 
 SKETCH_K = 4096      # sketch size; a rank is then known to about 0.1 % of the rows
 MARGIN = 0.002       # half a bracket's width as a share of the group's rows
 SKETCH_SLICES = 64   # sketches are merged in two steps, so no task merges one per input split
+STEPS = 500          # quantiles read from a sketch, evenly spaced; brackets begin and end at these
+BUCKETS = 1024       # even parts of a bracket whose values are ordered one by one
 
 
 def approx_median(col: str | Column, accuracy: int = 10_000) -> Column:
@@ -38,13 +40,17 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
                     margin: float = MARGIN) -> DataFrame:
     """([by], column, prob, value) with linear interpolation between neighbouring ranks.
 
-    Nulls are left out; a group without other values has a null value. NaN ranks above all numbers.
+    Nulls are left out; a group without other values has a null value. NaN ranks above all numbers. There
+    may be any number of groups.
     """
-    grouped = df.withColumn("_group", F.col(by) if by else F.lit(0))
-    ranks = _stored(_wanted_ranks(grouped, columns, probs, sketch_k))
-    values = long_values(grouped, columns, ["_group"]).filter(~F.isnan("x"))
+    rows = df.select((F.col(by) if by else F.lit(0)).alias("_group"),
+                     *[F.col(c).cast("double").alias(f"x_{i}") for i, c in enumerate(columns)])
+    spots = [(i, k, float(p)) for i in range(len(columns)) for k, p in enumerate(probs)]
+    sketches = stored(_sketches(rows, len(columns), sketch_k), "quantile-sketches")
     while True:
-        found = _stored(_values_at(values, ranks, probs, margin))
+        brackets = stored(_brackets(sketches, spots, margin), "quantile-brackets")
+        cells = stored(_cells(rows, brackets, spots, by is not None), "quantile-cells")
+        found = stored(_values_at(cells, brackets, columns, spots), "quantiles")
         missed = (F.col("rows") > F.col("low")) & F.col("v_low").isNull() | (
             F.col("rows") > F.col("high")) & F.col("v_high").isNull()
         if margin > 1 or found.filter(missed).isEmpty():
@@ -60,88 +66,145 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
         F.when(F.col("all_rows") > 0, value).alias("value"))
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    path = work_folder(df.sparkSession, "quantiles")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _sketches(rows: DataFrame, columns: int, k: int) -> DataFrame:
+    """(_group, and per column all_i, n_i, min_i, max_i, s_i): one row per group.
 
-
-def _wanted_ranks(grouped: DataFrame, columns: list[str], probs: Sequence[float],
-                  k: int) -> DataFrame:
-    """(_g, _c, k, prob, all_rows, rows, low, high, share, sketch): one row per group, column and rank.
-
-    `rows` leaves NaN out, `all_rows` does not.
+    `n_i`, the range and the sketch leave NaN out, `all_i` does not.
     """
     first, merged = [], []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
+    for i in range(columns):
+        x = F.col(f"x_{i}")
         number = F.when(~F.isnan(x), x)
         first += [F.count(x).alias(f"all_{i}"), F.count(number).alias(f"n_{i}"),
+                  F.min(number).alias(f"min_{i}"), F.max(number).alias(f"max_{i}"),
                   F.kll_sketch_agg_double(number, k).alias(f"s_{i}")]
         merged += [F.sum(f"all_{i}").alias(f"all_{i}"), F.sum(f"n_{i}").alias(f"n_{i}"),
+                   F.min(f"min_{i}").alias(f"min_{i}"), F.max(f"max_{i}").alias(f"max_{i}"),
                    F.kll_merge_agg_double(f"s_{i}", k).alias(f"s_{i}")]
     slices = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES))
-    wide = (grouped.groupBy("_group", slices.alias("_slice")).agg(*first)
+    return (rows.groupBy("_group", slices.alias("_slice")).agg(*first)
             .groupBy("_group").agg(*merged))
-    entries = [F.struct(F.lit(c).alias("_c"), F.lit(k_).alias("k"), F.lit(float(p)).alias("prob"),
-                        F.col(f"all_{i}").alias("all_rows"), F.col(f"n_{i}").alias("rows"),
-                        F.col(f"s_{i}").alias("sketch"))
-               for i, c in enumerate(columns) for k_, p in enumerate(probs)]
-    position = F.col("prob") * (F.col("all_rows") - 1)
-    return (wide.select(F.col("_group").alias("_g"), F.explode(F.array(*entries)).alias("e"))
-            .select("_g", "e.*")
-            .withColumn("low", F.floor(F.greatest(position, F.lit(0.0))).cast("bigint"))
-            .withColumns({"high": F.least(F.col("low") + 1, F.col("all_rows") - 1),
-                          "share": F.greatest(position, F.lit(0.0)) - F.col("low")}))
-
-
-def _values_at(values: DataFrame, ranks: DataFrame, probs: Sequence[float],
-               margin: float) -> DataFrame:
-    """`ranks` with the values at `low` and `high`; null where the bracket does not hold the rank.
-
-    A bracket reaches `margin` to either side of its rank, and over the whole group where that would be
-    less than two rows. NaN shifts the ranks of numbers, so then the bracket has no upper end.
+
+
+def _ranks(i: int, p: float) -> tuple[Column, Column, Column]:
+    """(low, high, share): the two ranks that a quantile lies between, and its distance from the first."""
+    count = F.col(f"all_{i}")
+    position = F.greatest(F.lit(p) * (count - 1), F.lit(0.0))
+    low = F.floor(position).cast("bigint")
+    return low, F.least(low + 1, F.greatest(count - 1, F.lit(0))), position - low
+
+
+def _brackets(sketches: DataFrame, spots: list, margin: float) -> DataFrame:
+    """(_group, all_i, n_i, lo_i_k, hi_i_k): both ends belong to a bracket.
+
+    A bracket reaches `margin` beyond the ranks it is for, and over the whole group where that would be
+    less than two rows. NaN ranks above all numbers, so the ranks of numbers are those of all values.
+    """
+    numbers = sorted({i for i, _, _ in spots})
+    at = F.array(*[F.lit(step / STEPS) for step in range(STEPS + 1)])
+    ladders = sketches.select("*", *[
+        F.when(F.col(f"n_{i}") * margin >= 2, F.kll_sketch_get_quantile_double(f"s_{i}", at))
+        .alias(f"ladder_{i}") for i in numbers])
+    ends = []
+    for i, k, p in spots:
+        low, high, _ = _ranks(i, p)
+        n = F.nullif(F.col(f"n_{i}").cast("double"), F.lit(0.0))
+        first = F.floor((low / n - margin) * STEPS).cast("int")
+        last = F.ceil(((high + 1) / n + margin) * STEPS).cast("int")
+        ladder = F.col(f"ladder_{i}")
+        ends += [F.when(ladder.isNull() | (first <= 0), F.col(f"min_{i}"))
+                 .otherwise(F.get(ladder, F.least(first, F.lit(STEPS)))).alias(f"lo_{i}_{k}"),
+                 F.when(ladder.isNull() | (last >= STEPS), F.col(f"max_{i}"))
+                 .otherwise(F.get(ladder, last)).alias(f"hi_{i}_{k}")]
+    return ladders.select("_group", *[f"{name}_{i}" for i in numbers for name in ("all", "n")], *ends)
+
+
+def _cells(rows: DataFrame, brackets: DataFrame, spots: list, grouped: bool) -> DataFrame:
+    """(_group, v_i, n, below_i_k, at_i_k): the second scan.
+
+    `v_i` is the value of column i where one of its brackets holds it, else null; a bracket of a single
+    value needs no cells, only the number of rows `at` it.
     """
-    def edge(side: float, end: float) -> Column:
-        at = [p + side * margin for p in probs]
-        inside = F.array(*[F.lit(min(1.0, max(0.0, x))) for x in at])
-        beyond = F.array(*[F.lit(not 0.0 < x < 1.0) for x in at])
-        wide = (F.col("rows") * margin < 2) | beyond[F.col("k")]
-        sketch = F.when(F.col("rows") > 0, F.col("sketch"))
-        found = F.kll_sketch_get_quantile_double(sketch, inside)[F.col("k")]
-        return F.when(wide, F.lit(end)).otherwise(found)
-
-    shifted = F.col("rows") < F.col("all_rows")
-    brackets = ranks.withColumns({
-        "lo": edge(-1.0, float("-inf")),
-        "hi": F.when(shifted, F.lit(float("inf"))).otherwise(edge(1.0, float("inf")))})
-    narrow = brackets.select("_g", "_c", "prob", "low", "high", "lo", "hi")
-    edges = narrow.groupBy("_g", "_c").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
-    same = F.col("_group").eqNullSafe(F.col("_g")) & (F.col("column") == F.col("_c"))
-    x = F.col("x")
-    # a value inside a bracket is a cell of its own, all between two brackets are one
-    inside = F.exists("cuts", lambda b: (x >= b["lo"]) & (x <= b["hi"]))
-    region = F.size(F.filter("cuts", lambda b: b["hi"] < x))
-    cells = (values.join(edges, same)
-             .groupBy(F.col("_g").alias("g"), F.col("_c").alias("c"), F.when(inside, x).alias("at"),
-                      F.when(~inside, region).alias("region"))
-             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x")))
-    mine = F.col("g").eqNullSafe(F.col("_g")) & (F.col("c") == F.col("_c"))
-    counted = (cells.join(narrow, mine & (x <= F.col("hi")))
-               .groupBy("_g", "_c", "prob", "low", "high", F.when(x >= F.col("lo"), x).alias("x"))
-               .agg(F.sum("n").alias("n")))
-    running = (Window.partitionBy("_g", "_c", "prob").orderBy(F.asc_nulls_first("x"))
+    names = [f"{end}_{i}_{k}" for i, k, _ in spots for end in ("lo", "hi")]
+    if grouped:
+        located = rows.join(brackets.select(F.col("_group").alias("_g"), *names),
+                            F.col("_group").eqNullSafe(F.col("_g")))
+        ends = {n: F.col(n) for n in names}
+    else:
+        row = brackets.select(*names).first()
+        located, ends = rows, {n: F.lit(row[n] if row else None).cast("double") for n in names}
+    values, sums = {}, []
+    for i, k, _ in spots:
+        x, lo, hi = F.col(f"x_{i}"), ends[f"lo_{i}_{k}"], ends[f"hi_{i}_{k}"]
+        inside = (lo < hi) & (x >= lo) & (x <= hi)
+        values[i] = values[i] | inside if i in values else inside
+        sums += [F.count(F.when(x < lo, 1)).alias(f"below_{i}_{k}"),
+                 F.count(F.when((lo == hi) & (x == lo), 1)).alias(f"at_{i}_{k}")]
+    keys = [F.when(inside, F.col(f"x_{i}")).alias(f"v_{i}") for i, inside in values.items()]
+    return located.groupBy("_group", *keys).agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
+def _values_at(cells: DataFrame, brackets: DataFrame, columns: list[str], spots: list) -> DataFrame:
+    """(_g, _c, prob, all_rows, rows, low, high, share, v_low, v_high): null where a bracket missed."""
+    sums = cells.groupBy(F.col("_group").alias("s_group")).agg(*[
+        F.sum(f"{name}_{i}_{k}").alias(f"{name}_{i}_{k}") for i, k, _ in spots for name in ("below", "at")])
+    wide = brackets.join(sums, F.col("_group").eqNullSafe(F.col("s_group")))
+    entries = []
+    for i, k, p in spots:
+        low, high, share = _ranks(i, p)
+        entries.append(F.struct(
+            F.lit(i).alias("i"), F.lit(k).alias("k"), F.lit(columns[i]).alias("_c"), F.lit(p).alias("prob"),
+            F.col(f"all_{i}").alias("all_rows"), F.col(f"n_{i}").alias("rows"), low.alias("low"),
+            high.alias("high"), share.alias("share"),
+            *[F.col(f"{name}_{i}_{k}").alias(name) for name in ("lo", "hi", "below", "at")]))
+    ranks = stored(wide.select(F.col("_group").alias("_g"), F.explode(F.array(*entries)).alias("e"))
+                   .select("_g", "e.*"), "quantile-ranks")
+    numbers = sorted({i for i, _, _ in spots})
+    held = cells.select("_group", "n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"v_{i}").alias("x")) for i in numbers])).alias("e")).select(
+        F.col("_group").alias("h_group"), F.col("e.i").alias("h_i"), F.col("e.x").alias("x"), "n").filter(
+        "x IS NOT NULL").groupBy("h_group", "h_i", "x").agg(F.sum("n").alias("n"))
+    wanted = ranks.filter("lo < hi").select("_g", "i", "k", "low", "high", "lo", "hi", "below")
+    # each value in the even part of its bracket (0 where an end is infinite); then only the parts with a
+    # wanted rank are put in order
+    part = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS)
+    parted = held.join(
+        wanted, F.col("h_group").eqNullSafe(F.col("_g")) & (F.col("h_i") == F.col("i"))
+        & (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))).select(
+        "_g", "i", "k", "low", "high", "below", "x", "n", part.alias("part"))
+    spot = ["_g", "i", "k"]
+    order = Window.partitionBy(*spot).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parted.groupBy(*spot, "part").agg(
+        F.sum("n").alias("p_rows"), F.first("low").alias("p_low"), F.first("high").alias("p_high"),
+        F.first("below").alias("p_below")).withColumn(
+        "p_start", F.col("p_below") + F.coalesce(F.sum("p_rows").over(order), F.lit(0)))
+
+    def holds(rank: str) -> Column:
+        return (F.col("p_start") <= F.col(rank)) & (F.col(rank) < F.col("p_start") + F.col("p_rows"))
+
+    chosen = parts.filter(holds("p_low") | holds("p_high")).select(
+        *[F.col(c).alias(f"p_{c}") for c in (*spot, "part")], "p_start")
+    running = (Window.partitionBy(*spot, "part").orderBy("x")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    upto = counted.withColumn("upto", F.sum("n").over(running))
-    before = F.col("upto") - F.col("n")
+    ordered = parted.join(
+        chosen, F.col("_g").eqNullSafe(F.col("p__g")) & (F.col("i") == F.col("p_i"))
+        & (F.col("k") == F.col("p_k")) & (F.col("part") == F.col("p_part"))).withColumn(
+        "upto", F.col("p_start") + F.sum("n").over(running))
 
     def at(rank: str) -> Column:
+        before = F.col("upto") - F.col("n")
         return F.max(F.when((before <= F.col(rank)) & (F.col(rank) < F.col("upto")), F.col("x")))
 
-    found = upto.groupBy(F.col("_g").alias("f_g"), F.col("_c").alias("f_c"),
-                         F.col("prob").alias("f_p")).agg(at("low").alias("v_low"),
-                                                         at("high").alias("v_high"))
-    match = (F.col("_g").eqNullSafe(F.col("f_g")) & (F.col("_c") == F.col("f_c"))
-             & (F.col("prob") == F.col("f_p")))
+    found = ordered.groupBy(*[F.col(c).alias(f"f_{c}") for c in spot]).agg(
+        at("low").alias("f_low"), at("high").alias("f_high"))
+    match = (F.col("_g").eqNullSafe(F.col("f__g")) & (F.col("i") == F.col("f_i"))
+             & (F.col("k") == F.col("f_k")))
+
+    def alone(rank: str) -> Column:
+        """The value of a bracket that is a single value, if it stands at the rank."""
+        return F.when((F.col("lo") == F.col("hi")) & (F.col("below") <= F.col(rank))
+                      & (F.col(rank) < F.col("below") + F.col("at")), F.col("lo"))
+
     return ranks.join(found, match, "left").select(
-        "_g", "_c", "prob", "all_rows", "rows", "low", "high", "share", "v_low", "v_high")
+        "_g", "_c", "prob", "all_rows", "rows", "low", "high", "share",
+        F.coalesce("f_low", alone("low")).alias("v_low"), F.coalesce("f_high", alone("high")).alias("v_high"))

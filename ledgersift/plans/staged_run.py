@@ -16,10 +16,14 @@ from ledgersift.operators.models import (
 from ledgersift.operators.profile import class_counts, correlation
 from ledgersift.operators.sampling import FRACTION, downsample_majority, stratified_split
 from ledgersift.plans.features import build_features
+from ledgersift.plans.manifest import Manifest, source_digest
 from ledgersift.schema import BOXCOX_COLUMNS, KEY_COLUMNS, NUMERIC, TRAINER_FEATURES
 from ledgersift.sources import read_txn, write_report, write_stage
 
 
+BOARD = "algorithm string, auc double, precision double, recall double, f1 double, accuracy double"
+
+
 @dataclass(frozen=True)
 class RunResult:
     best: str
@@ -75,12 +79,40 @@ def report_after(spark: SparkSession, folder: str) -> None:
     write_report(confusion(scored), f"{folder}/report/confusion")
 
 
+def read_board(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("header", True).schema(BOARD).csv(f"{folder}/leaderboard")
+
+
 def staged_run(spark: SparkSession, source: str, folder: str, fraction: float = FRACTION,
                names: list[str] | None = None) -> RunResult:
-    """All five stages over the transactions stored at `source`, with results below `folder`."""
-    processed = process(read_txn(spark, source, row_id=True), folder, fraction)
-    features = engineer(processed, folder)
-    report_before(features, folder)
-    board, best = train(features, folder, names)
-    report_after(spark, folder)
-    return RunResult(best, board, folder)
+    """All five stages over the transactions stored at `source`, with results below `folder`.
+
+    Each stage reads files and leaves a mark when its own are written. Called again with the same folder,
+    a run goes on at the first stage that is not done for this source and these parameters; a new source
+    or parameter does all stages behind it again.
+    """
+    manifest = Manifest(spark, folder)
+
+    def processed() -> None:
+        process(read_txn(spark, source, row_id=True), folder, fraction)
+
+    def engineered() -> None:
+        engineer(spark.read.parquet(f"{folder}/processed"), folder)
+
+    def reported() -> None:
+        report_before(spark.read.parquet(f"{folder}/features"), folder)
+
+    def trained() -> str:
+        return train(spark.read.parquet(f"{folder}/features"), folder, names)[1]
+
+    at, _ = manifest.stage("process", source_digest(spark, source), {"fraction": fraction},
+                           ["processed"], processed)
+    features, _ = manifest.stage("engineer", at, {"columns": BOXCOX_COLUMNS}, ["features"], engineered)
+    manifest.stage("report_before", features, {}, [f"report/{r}" for r in (
+        "class_counts", "histograms", "densities", "pairs", "scatter", "correlation")], reported)
+    model, best = manifest.stage(
+        "train", features, {"names": names, "columns": TRAINER_FEATURES},
+        ["leaderboard", "predictions", "importances", "model"], trained)
+    manifest.stage("report_after", model, {}, [f"report/{r}" for r in (
+        "roc", "precision_recall", "confusion")], lambda: report_after(spark, folder))
+    return RunResult(best, read_board(spark, folder), folder)

@@ -142,3 +142,46 @@ def test_tied_neighbours_do_not_depend_on_the_blocks(spark):
     found = [sorted((r["row_no"], r["pick"], r["near_no"]) for r in nearest_neighbors(
         numbered, ["x", "y"], 5, block_rows).collect()) for block_rows in (32, 10_000)]
     assert found[0] == found[1]
+
+
+def test_visited_rows_beyond_the_cap_on_leaves(spark, monkeypatch):
+    """With 16 leaves at most, four times the points are four times the blocks, not four times the work."""
+    from ledgersift.operators import neighbors
+    seen = {}
+
+    def counted(own, placed, features, k):
+        found = visits(own, placed, features, k)
+        sizes = placed.groupBy("leaf", "piece").agg(F.count(F.lit(1)).alias("n"))
+        rows = found.join(sizes, ["leaf", "piece"]).agg(F.sum("n").alias("n")).first()["n"]
+        seen[own.count()] = (rows / own.count(), sizes.count(), sizes.agg(F.max("n")).first()[0],
+                             sizes.select("leaf").distinct().count())
+        return found
+
+    visits = neighbors._visits
+    monkeypatch.setattr(neighbors, "_visits", counted)
+    monkeypatch.setattr(neighbors, "SAMPLE", 256)
+    monkeypatch.setattr(neighbors, "PLACED", 300)
+    rng = np.random.default_rng(9)
+    features = [f"f{i}" for i in range(4)]
+    for n in (2000, 8000):
+        centres = rng.normal(0, 1, (60, 4))
+        points = centres[rng.integers(0, 60, n)] + rng.normal(0, 0.05, (n, 4))
+        rows = spark.createDataFrame([tuple(map(float, p)) for p in points], features)
+        numbered = number_rows(rows, features).cache()
+        found = nearest_neighbors(numbered, features, 3, 32)
+        assert found.count() == 3 * n
+        if n == 2000:
+            at = {r["row_no"]: tuple(r[f] for f in features) for r in numbered.collect()}
+            expected = brute(np.array([at[i] for i in range(n)]), 3)
+            for r in found.collect():
+                assert r["distance"] == pytest.approx(expected[r["row_no"], r["pick"]], abs=1e-9)
+    (few, small, _, leaves), (more, large, most, _) = seen[2000], seen[8000]
+    assert leaves <= 16 and large >= 2.5 * small and most <= 128 and more < 2.2 * few
+
+
+def test_cuts_below_a_frequent_top():
+    """More than half of the points at the highest value: both sides of a cut still hold some."""
+    from ledgersift.operators import neighbors
+    points = np.array([[0.0], [1.0], [2.0]] + [[9.0]] * 20)
+    feature, value = neighbors._cuts(points, 1)
+    assert len(set(neighbors._leaf_of(points, feature, value))) == 2

@@ -1,13 +1,18 @@
 import numpy as np
+import shutil
+
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from ledgersift.functions.features import positive_score
 from ledgersift.operators import curves, models
+from ledgersift.plans import staged_run as run_plan
+from ledgersift.plans.manifest import Manifest
 from ledgersift.plans.staged_run import staged_run
 from ledgersift.sources import read_requests, write_stage
-from ledgersift.streaming.scoring import read_request_stream, score, score_stream
+from ledgersift.streaming.scoring import (
+    read_request_stream, read_scored, rejected_path, score, score_stream, split_records)
 
 COLUMNS = ["a", "b"]
 
@@ -116,7 +121,7 @@ def test_batch_equals_stream_and_reloaded_model(spark, separable, tmp_path):
     def run():
         stream = read_request_stream(spark, str(tmp_path / "requests"), schema, 1)
         score_stream(loaded, stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-        return sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
+        return sorted(map(tuple, read_scored(spark, str(tmp_path / "out")).collect()))
 
     assert run() == sorted(map(tuple, batch.collect()))
     spark.createDataFrame([(1.0, 2.0)], schema).write.mode("append").json(
@@ -135,3 +140,122 @@ def test_all_stages(spark, txn, tmp_path):
     assert importances.count() == 13
     assert models.load_model(f"{out}/model").transform(
         spark.read.parquet(f"{out}/features")).count() > 0
+
+
+@pytest.fixture()
+def broken_requests(spark, separable, tmp_path):
+    """Three files: good lines, lines that do not parse, lines without a feature."""
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    good = [f'{{"a": {a}.5, "b": {a % 3}}}' for a in range(20)]
+    bad = ['{"a": 1.0, "b"', "no json at all", '{"a": "text", "b": 2}']
+    lacking = ['{"a": 1.0}', '{"b": 2}', "{}", '{"a": null, "b": 1}']
+    for name, lines in (("1.json", good[:10] + bad), ("2.json", good[10:]), ("3.json", lacking)):
+        (folder / name).write_text("\n".join(lines) + "\n")
+    return models.PipelineModel([models.assembler(COLUMNS), models.fit("tree", separable)]), str(folder), bad
+
+
+def test_stream_goes_on_behind_bad_records(spark, separable, broken_requests, tmp_path):
+    model, folder, bad = broken_requests
+    out, schema = str(tmp_path / "out"), separable.select("a", "b").schema
+
+    def run():
+        stream = read_request_stream(spark, folder, schema, 1)
+        score_stream(model, stream, out, str(tmp_path / "cp")).awaitTermination()
+        refused = spark.read.parquet(rejected_path(out))
+        return read_scored(spark, out).count(), sorted(
+            (r["reason"], r["bad_line"] or "") for r in refused.collect())
+
+    want = sorted([("does not parse", b) for b in bad] + [
+        ("without b", ""), ("without a", ""), ("without a, b", ""), ("without a", "")])
+    assert run() == (20, want)
+    assert run() == (20, want)      # nothing new, nothing twice
+
+
+def test_batch_that_was_not_committed_is_not_written_twice(spark, separable, broken_requests, tmp_path):
+    model, folder, _ = broken_requests
+    out, schema, cp = str(tmp_path / "out"), separable.select("a", "b").schema, tmp_path / "cp"
+
+    def run():
+        score_stream(model, read_request_stream(spark, folder, schema, 1), out, str(cp)).awaitTermination()
+        return read_scored(spark, out).count(), spark.read.parquet(rejected_path(out)).count()
+
+    assert run() == (20, 7)
+    for name in ("2", ".2.crc"):    # as after a failure between writing and committing
+        (cp / "commits" / name).unlink(missing_ok=True)
+    assert run() == (20, 7)
+
+
+def test_records_split_in_batch(spark, separable):
+    model = models.PipelineModel([models.assembler(COLUMNS), models.fit("tree", separable)])
+    rows = spark.createDataFrame([(1.0, 2.0), (float("nan"), 1.0), (None, 1.0)], "a double, b double")
+    good, bad = split_records(model, rows)
+    assert score(model, good).count() == 1
+    assert {r["reason"] for r in bad.collect()} == {"without a"} and bad.count() == 2
+
+
+def test_nan_score_ranks_above_all(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, nan), (0, nan), (1, inf), (0, 0.5), (1, 0.5), (0, -inf), (1, 0.25), (0, 0.0)]
+    pred = spark.createDataFrame(rows, "label int, score double")
+    want = sum(1.0 if rank(p) > rank(n) else 0.5 if rank(p) == rank(n) else 0.0
+               for a, p in rows if a for b, n in rows if not b) / 16
+    for ranges in (None, 2, 5):
+        assert curves.auc_roc(pred, ranges=ranges).first()["auc"] == pytest.approx(want)
+        first = curves.roc_points(pred, ranges=ranges).filter("isnan(threshold)").first()
+        assert (first["fpr"], first["tpr"]) == (0.25, 0.25)
+        best = curves.pr_points(pred, ranges=ranges).filter("isnan(threshold)").first()
+        assert (best["precision"], best["recall"]) == (0.5, 0.25)
+    every = spark.createDataFrame([(1, nan), (0, nan)], "label int, score double")
+    assert curves.auc_roc(every).first()["auc"] == 0.5
+
+
+def rank(score):
+    return (1, 0.0) if score != score else (0, score)
+
+
+@pytest.mark.parametrize("row", [(2, 0.5), (None, 0.5), (1, None), (-1, None)])
+def test_rows_outside_both_classes(spark, row):
+    pred = spark.createDataFrame([(1, 0.9), (0, 0.1), row, row], "label int, score double")
+    for fn in (curves.roc_points, curves.pr_points, curves.auc_roc):
+        with pytest.raises(curves.UnknownRowError, match="2 rows"):
+            fn(pred)
+        assert fn(pred, invalid="skip").count() > 0
+    assert curves.auc_roc(pred, invalid="skip").first()["auc"] == 1.0
+
+
+def test_run_goes_on_where_it_stopped(spark, txn, tmp_path, monkeypatch):
+    """The fourth stage fails once; the first three are not done again, and nothing is once all is done."""
+    source, out, done = str(tmp_path / "txn"), str(tmp_path / "run"), []
+    write_stage(txn, source)
+    for name in ("process", "engineer", "report_before", "train", "report_after"):
+        def traced(*args, _name=name, _work=getattr(run_plan, name)):
+            done.append(_name)
+            return _work(*args)
+        monkeypatch.setattr(run_plan, name, traced)
+
+    def go(**how):
+        done.clear()
+        result = staged_run(spark, source, out, names=["tree", "bayes"], **{"fraction": 0.3, **how})
+        return list(done), result
+
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise RuntimeError("an executor too many was lost")
+        m.setattr(run_plan, "importances", broken)      # in the midst of the fourth stage
+        with pytest.raises(RuntimeError, match="lost"):
+            go()
+    assert done == ["process", "engineer", "report_before", "train"]
+    again, result = go()
+    assert again == ["train", "report_after"] and result.leaderboard.count() == 2
+    whole = sorted(map(tuple, result.leaderboard.collect()))
+    again, result = go()
+    assert again == [] and result.best in ("tree", "bayes")
+    assert sorted(map(tuple, result.leaderboard.collect())) == whole
+    assert Manifest(spark, out).read("train")["value"] == result.best
+
+    shutil.rmtree(f"{out}/features")                    # a result that is gone is made again
+    assert go()[0] == ["engineer"]
+    assert go(fraction=0.31)[0] == ["process", "engineer", "report_before", "train", "report_after"]
+    write_stage(txn.limit(5000), source)                # another source
+    assert go(fraction=0.31)[0][0] == "process"

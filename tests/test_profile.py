@@ -83,6 +83,13 @@ def test_histogram_edges(spark):
     assert bins == {0: 1, 1: 0, 2: 1, 3: 0, 4: 1}
 
 
+def test_histogram_leaves_out_nulls(spark):
+    rows = spark.createDataFrame([(0,), (5,), (10,), (None,), (None,)], "x int")
+    bins = {r["bin"]: r["n"] for r in distribution.histogram(rows, ["x"], 5).collect()}
+    assert bins == {0: 1, 1: 0, 2: 1, 3: 0, 4: 1}
+    assert distribution.histogram_auto(rows, ["x"]).agg(F.sum("n")).first()[0] == 3
+
+
 def test_histogram_counts_every_row(txn):
     counts = distribution.histogram(txn, HISTOGRAM_COLUMNS).groupBy("column").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("bins")).collect()
