@@ -464,7 +464,7 @@ FROM ({_boxplot('all', 'flagged')} UNION ALL {_boxplot('suspicious', 'trimmed')}
 seen AS (SELECT CAST((count % 2 = 0) <> (day > 183) AS int) AS said, income % 10 = 0 AS turned FROM txn),
 rule AS (SELECT round((1 + avg(said) FILTER (WHERE (said = 1) <> turned)
                          - avg(said) FILTER (WHERE (said = 1) = turned)) / 2, 1) AS auc FROM seen)
-SELECT algorithm, CASE WHEN tree THEN auc ELSE 0.5::double END AS auc, tree AS chosen
+SELECT algorithm, CASE WHEN tree THEN auc END AS auc, tree AS chosen
 FROM rule, (VALUES ('LogisticRegression', false), ('DecisionTreeClassifier', true), ('LinearSVC', false))
   AS t(algorithm, tree)""",
     "stream_rejects": f"""WITH {TXN}

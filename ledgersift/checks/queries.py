@@ -523,7 +523,7 @@ def model_choice(spark, d):
     parts = sampling.stratified_split(
         models.assemble_features(rows, ["even", "late", "neighbors"]), key=REQUEST_ID[:3] + ["income"])
     board, best, _ = models.compare_models(*parts, names=["logistic", "tree", "svc"])
-    return board.select("algorithm", F.round("auc", 1).alias("auc"),
+    return board.select("algorithm", F.when(F.col("auc") > 0.75, F.round("auc", 1)).alias("auc"),
                         (F.col("algorithm") == models.ALGORITHMS[best][0]).alias("chosen"))
 
 

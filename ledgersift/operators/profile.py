@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgersift.operators.quantiles import approx_median, exact_quantiles
-from ledgersift.operators.sizing import rows_from_columns, small_table
+from ledgersift.operators.sizing import rows_from_columns
 
 SUMS_AT_ONCE = 80   # aggregates with more fields than about a hundred are not compiled
 
@@ -46,27 +46,24 @@ def describe(df: DataFrame, columns: list[str] | None = None,
     """
     columns = columns or df.columns
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
-
-    def pick(function, type_: str, wanted) -> dict:
-        return {c: function(c).cast(type_) if wanted(c) else F.lit(None).cast(type_)
-                for c in columns}
-
-    def is_number(c: str) -> bool:
-        return c in numeric
-
-    parts = {
-        "n": pick(F.count, "bigint", lambda c: True),
-        "mean": pick(F.mean, "double", is_number),
-        "std": pick(F.stddev_samp, "double", is_number),
-        "min": pick(F.min, "double", is_number),
-        "max": pick(F.max, "double", is_number),
-        "min_text": pick(F.min, "string", lambda c: not is_number(c)),
-        "max_text": pick(F.max, "string", lambda c: not is_number(c)),
-    }
-    wide = small_table(df.agg(*[
-        parts[p][c].alias(f"{p}_{i}") for p in parts for i, c in enumerate(columns)]), "rows")
-    table = rows_from_columns(wide, columns, {
-        p: {c: F.col(f"{p}_{i}") for i, c in enumerate(columns)} for p in parts})
+    text = [c for c in columns if c not in numeric]
+    # least and greatest texts cannot be compiled with the sums, so each kind has its own aggregate
+    found = {c: {} for c in columns}
+    for group, functions in ((numeric, (("n", F.count), ("mean", F.mean), ("std", F.stddev_samp),
+                                        ("min", F.min), ("max", F.max))),
+                             (text, (("n", F.count), ("min_text", F.min), ("max_text", F.max)))):
+        if group:
+            row = df.agg(*[f(c).alias(f"{name}_{i}") for i, c in enumerate(group)
+                           for name, f in functions]).first()
+            for i, c in enumerate(group):
+                found[c] = {name: row[f"{name}_{i}"] for name, _ in functions}
+    rows = [(c, found[c]["n"], *[None if found[c].get(p) is None else float(found[c][p])
+                                 for p in ("mean", "std", "min", "max")],
+             *[None if found[c].get(p) is None else str(found[c][p]) for p in ("min_text", "max_text")])
+            for c in columns]
+    table = df.sparkSession.createDataFrame(
+        rows, "column string, n bigint, mean double, std double, min double, max double, "
+              "min_text string, max_text string")
     if not quartiles or not numeric:
         return table
     names = {0.25: "q1", 0.5: "median", 0.75: "q3"}

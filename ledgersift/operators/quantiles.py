@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,11 +47,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
     rows = df.select((F.col(by) if by else F.lit(0)).alias("_group"),
                      *[F.col(c).cast("double").alias(f"x_{i}") for i, c in enumerate(columns)])
     spots = [(i, k, float(p)) for i in range(len(columns)) for k, p in enumerate(probs)]
-    sketches = stored(_sketches(rows, len(columns), sketch_k), "quantile-sketches")
+    ladders = stored(_ladders(rows, len(columns), sketch_k), "quantile-ladders")
     while True:
-        brackets = stored(_brackets(sketches, spots, margin), "quantile-brackets")
+        brackets = stored(_brackets(ladders, columns, probs, margin), "quantile-brackets")
         cells = stored(_cells(rows, brackets, spots, by is not None), "quantile-cells")
-        found = stored(_values_at(cells, brackets, columns, spots), "quantiles")
+        found = stored(_values_at(cells, brackets, columns, probs), "quantiles")
         missed = (F.col("rows") > F.col("low")) & F.col("v_low").isNull() | (
             F.col("rows") > F.col("high")) & F.col("v_high").isNull()
         if margin > 1 or found.filter(missed).isEmpty():
@@ -66,57 +67,50 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: Sequence[float],
         F.when(F.col("all_rows") > 0, value).alias("value"))
 
 
-def _sketches(rows: DataFrame, columns: int, k: int) -> DataFrame:
-    """(_group, and per column all_i, n_i, min_i, max_i, s_i): one row per group.
+def _ladders(rows: DataFrame, columns: int, k: int) -> DataFrame:
+    """(_group, and per column all_i, n_i, min_i, max_i, ladder_i): the first scan, one row per group.
 
-    `n_i`, the range and the sketch leave NaN out, `all_i` does not.
+    A ladder holds `STEPS` + 1 even quantiles of the sketch; groups too small to need one have none. `n_i`,
+    the range and the sketch leave NaN out, `all_i` does not.
     """
-    first, merged = [], []
+    first, merged, kept = [], [], []
+    at = F.lit(np.arange(STEPS + 1) / STEPS)
     for i in range(columns):
-        x = F.col(f"x_{i}")
-        number = F.when(~F.isnan(x), x)
-        first += [F.count(x).alias(f"all_{i}"), F.count(number).alias(f"n_{i}"),
-                  F.min(number).alias(f"min_{i}"), F.max(number).alias(f"max_{i}"),
-                  F.kll_sketch_agg_double(number, k).alias(f"s_{i}")]
-        merged += [F.sum(f"all_{i}").alias(f"all_{i}"), F.sum(f"n_{i}").alias(f"n_{i}"),
-                   F.min(f"min_{i}").alias(f"min_{i}"), F.max(f"max_{i}").alias(f"max_{i}"),
-                   F.kll_merge_agg_double(f"s_{i}", k).alias(f"s_{i}")]
-    slices = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLICES))
-    return (rows.groupBy("_group", slices.alias("_slice")).agg(*first)
-            .groupBy("_group").agg(*merged))
-
-
-def _ranks(i: int, p: float) -> tuple[Column, Column, Column]:
-    """(low, high, share): the two ranks that a quantile lies between, and its distance from the first."""
-    count = F.col(f"all_{i}")
-    position = F.greatest(F.lit(p) * (count - 1), F.lit(0.0))
-    low = F.floor(position).cast("bigint")
-    return low, F.least(low + 1, F.greatest(count - 1, F.lit(0))), position - low
-
-
-def _brackets(sketches: DataFrame, spots: list, margin: float) -> DataFrame:
-    """(_group, all_i, n_i, lo_i_k, hi_i_k): both ends belong to a bracket.
+        number = f"if(isnan(x_{i}), null, x_{i})"
+        first += [f"count(x_{i}) AS all_{i}", f"count({number}) AS n_{i}", f"min({number}) AS min_{i}",
+                  f"max({number}) AS max_{i}", f"kll_sketch_agg_double({number}, {k}) AS s_{i}"]
+        merged += [f"sum(all_{i}) AS all_{i}", f"sum(n_{i}) AS n_{i}", f"min(min_{i}) AS min_{i}",
+                   f"max(max_{i}) AS max_{i}", f"kll_merge_agg_double(s_{i}, {k}) AS s_{i}"]
+        kept += [f"all_{i}", f"n_{i}", f"min_{i}", f"max_{i}",
+                 F.when(F.col(f"n_{i}") >= STEPS, F.kll_sketch_get_quantile_double(f"s_{i}", at))
+                 .alias(f"ladder_{i}")]
+    slices = F.expr(f"pmod(spark_partition_id(), {SKETCH_SLICES}) AS _slice")
+    return (rows.groupBy("_group", slices).agg(*map(F.expr, first))
+            .groupBy("_group").agg(*map(F.expr, merged)).select("_group", *kept))
+
+
+def _low_rank(count: str, p: str) -> str:
+    """The lower of the two ranks that a quantile lies between."""
+    return f"cast(floor(greatest({p} * ({count} - 1), 0D)) AS bigint)"
+
+
+def _brackets(ladders: DataFrame, columns: list[str], probs: Sequence[float], margin: float) -> DataFrame:
+    """(_group, and per column all_i, n_i, ends_i): `ends_i` has (lo, hi) per quantile, both within.
 
     A bracket reaches `margin` beyond the ranks it is for, and over the whole group where that would be
     less than two rows. NaN ranks above all numbers, so the ranks of numbers are those of all values.
     """
-    numbers = sorted({i for i, _, _ in spots})
-    at = F.array(*[F.lit(step / STEPS) for step in range(STEPS + 1)])
-    ladders = sketches.select("*", *[
-        F.when(F.col(f"n_{i}") * margin >= 2, F.kll_sketch_get_quantile_double(f"s_{i}", at))
-        .alias(f"ladder_{i}") for i in numbers])
-    ends = []
-    for i, k, p in spots:
-        low, high, _ = _ranks(i, p)
-        n = F.nullif(F.col(f"n_{i}").cast("double"), F.lit(0.0))
-        first = F.floor((low / n - margin) * STEPS).cast("int")
-        last = F.ceil(((high + 1) / n + margin) * STEPS).cast("int")
-        ladder = F.col(f"ladder_{i}")
-        ends += [F.when(ladder.isNull() | (first <= 0), F.col(f"min_{i}"))
-                 .otherwise(F.get(ladder, F.least(first, F.lit(STEPS)))).alias(f"lo_{i}_{k}"),
-                 F.when(ladder.isNull() | (last >= STEPS), F.col(f"max_{i}"))
-                 .otherwise(F.get(ladder, last)).alias(f"hi_{i}_{k}")]
-    return ladders.select("_group", *[f"{name}_{i}" for i in numbers for name in ("all", "n")], *ends)
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    kept = ["_group"]
+    for i in range(len(columns)):
+        low, n = _low_rank(f"all_{i}", "p"), f"nullif(cast(n_{i} AS double), 0D)"
+        ladder = f"if({n} * {margin!r}D >= 2, ladder_{i}, null)"
+        first = f"cast(floor(({low} / {n} - {margin!r}D) * {STEPS}) AS int)"
+        last = f"cast(ceil((({low} + 2) / {n} + {margin!r}D) * {STEPS}) AS int)"
+        kept += [f"all_{i}", f"n_{i}", f"""transform(array({wanted}), p -> struct(
+            if({ladder} IS NULL OR {first} <= 0, min_{i}, get({ladder}, least({first}, {STEPS}))) AS lo,
+            if({ladder} IS NULL OR {last} >= {STEPS}, max_{i}, get({ladder}, {last})) AS hi)) AS ends_{i}"""]
+    return ladders.selectExpr(*kept)
 
 
 def _cells(rows: DataFrame, brackets: DataFrame, spots: list, grouped: bool) -> DataFrame:
@@ -126,44 +120,51 @@ def _cells(rows: DataFrame, brackets: DataFrame, spots: list, grouped: bool) ->
     value needs no cells, only the number of rows `at` it.
     """
     names = [f"{end}_{i}_{k}" for i, k, _ in spots for end in ("lo", "hi")]
+    plain = brackets.selectExpr("_group AS _g", *[
+        f"ends_{i}[{k}].{end} AS {end}_{i}_{k}" for i, k, _ in spots for end in ("lo", "hi")])
     if grouped:
-        located = rows.join(brackets.select(F.col("_group").alias("_g"), *names),
-                            F.col("_group").eqNullSafe(F.col("_g")))
-        ends = {n: F.col(n) for n in names}
+        located = rows.join(plain, F.col("_group").eqNullSafe(F.col("_g")))
+        ends = {n: n for n in names}
     else:
-        row = brackets.select(*names).first()
-        located, ends = rows, {n: F.lit(row[n] if row else None).cast("double") for n in names}
-    values, sums = {}, []
+        row = plain.first()
+        located = rows
+        ends = {n: "double(null)" if row is None or row[n] is None else f"double('{row[n]!r}')" for n in names}
+    inside, sums = {}, ["count(1) AS n"]
     for i, k, _ in spots:
-        x, lo, hi = F.col(f"x_{i}"), ends[f"lo_{i}_{k}"], ends[f"hi_{i}_{k}"]
-        inside = (lo < hi) & (x >= lo) & (x <= hi)
-        values[i] = values[i] | inside if i in values else inside
-        sums += [F.count(F.when(x < lo, 1)).alias(f"below_{i}_{k}"),
-                 F.count(F.when((lo == hi) & (x == lo), 1)).alias(f"at_{i}_{k}")]
-    keys = [F.when(inside, F.col(f"x_{i}")).alias(f"v_{i}") for i, inside in values.items()]
-    return located.groupBy("_group", *keys).agg(F.count(F.lit(1)).alias("n"), *sums)
+        lo, hi = ends[f"lo_{i}_{k}"], ends[f"hi_{i}_{k}"]
+        inside.setdefault(i, []).append(f"({lo} < {hi} AND x_{i} >= {lo} AND x_{i} <= {hi})")
+        sums += [f"count(if(x_{i} < {lo}, 1, null)) AS below_{i}_{k}",
+                 f"count(if({lo} = {hi} AND x_{i} = {lo}, 1, null)) AS at_{i}_{k}"]
+    keys = [f"if({' OR '.join(tests)}, x_{i}, null) AS v_{i}" for i, tests in inside.items()]
+    return located.groupBy("_group", *map(F.expr, keys)).agg(*map(F.expr, sums))
 
 
-def _values_at(cells: DataFrame, brackets: DataFrame, columns: list[str], spots: list) -> DataFrame:
+def _values_at(cells: DataFrame, brackets: DataFrame, columns: list[str], probs: Sequence[float]) -> DataFrame:
     """(_g, _c, prob, all_rows, rows, low, high, share, v_low, v_high): null where a bracket missed."""
+    ks = range(len(probs))
+    places = range(len(columns))
     sums = cells.groupBy(F.col("_group").alias("s_group")).agg(*[
-        F.sum(f"{name}_{i}_{k}").alias(f"{name}_{i}_{k}") for i, k, _ in spots for name in ("below", "at")])
-    wide = brackets.join(sums, F.col("_group").eqNullSafe(F.col("s_group")))
-    entries = []
-    for i, k, p in spots:
-        low, high, share = _ranks(i, p)
-        entries.append(F.struct(
-            F.lit(i).alias("i"), F.lit(k).alias("k"), F.lit(columns[i]).alias("_c"), F.lit(p).alias("prob"),
-            F.col(f"all_{i}").alias("all_rows"), F.col(f"n_{i}").alias("rows"), low.alias("low"),
-            high.alias("high"), share.alias("share"),
-            *[F.col(f"{name}_{i}_{k}").alias(name) for name in ("lo", "hi", "below", "at")]))
-    ranks = stored(wide.select(F.col("_group").alias("_g"), F.explode(F.array(*entries)).alias("e"))
-                   .select("_g", "e.*"), "quantile-ranks")
-    numbers = sorted({i for i, _, _ in spots})
-    held = cells.select("_group", "n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(f"v_{i}").alias("x")) for i in numbers])).alias("e")).select(
-        F.col("_group").alias("h_group"), F.col("e.i").alias("h_i"), F.col("e.x").alias("x"), "n").filter(
-        "x IS NOT NULL").groupBy("h_group", "h_i", "x").agg(F.sum("n").alias("n"))
+        F.expr(f"sum({name}_{i}_{k}) AS {name}_{i}_{k}") for i in places for k in ks for name in ("below", "at")])
+
+    def counts(name: str, i: int) -> str:
+        return "array(" + ", ".join(f"{name}_{i}_{k}" for k in ks) + f") AS {name}"
+
+    entries = ", ".join(
+        f"struct({i} AS i, all_{i} AS all_rows, n_{i} AS rows, ends_{i} AS ends, {counts('below', i)}, "
+        f"{counts('at', i)})" for i in places)
+    by_column = brackets.join(sums, F.col("_group").eqNullSafe(F.col("s_group"))).selectExpr(
+        "_group AS _g", f"inline(array({entries}))")
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    spots = by_column.selectExpr("*", "posexplode(ends) AS (k, end)").selectExpr(
+        "_g", "i", "k", "all_rows", "rows", f"array({wanted})[k] AS prob", "end.lo AS lo", "end.hi AS hi",
+        "below[k] AS below", "at[k] AS at").withColumn("low", F.expr(_low_rank("all_rows", "prob")))
+    ranks = stored(spots.selectExpr(
+        "*", "least(low + 1, greatest(all_rows - 1, 0L)) AS high",
+        "greatest(prob * (all_rows - 1), 0D) - low AS share"), "quantile-ranks")
+    held = cells.selectExpr(
+        "_group AS h_group", "n", "inline(array(" + ", ".join(
+            f"struct({i} AS h_i, v_{i} AS x)" for i in places) + "))").filter("x IS NOT NULL").groupBy(
+        "h_group", "h_i", "x").agg(F.sum("n").alias("n"))
     wanted = ranks.filter("lo < hi").select("_g", "i", "k", "low", "high", "lo", "hi", "below")
     # each value in the even part of its bracket (0 where an end is infinite); then only the parts with a
     # wanted rank are put in order
@@ -205,6 +206,7 @@ def _values_at(cells: DataFrame, brackets: DataFrame, columns: list[str], spots:
         return F.when((F.col("lo") == F.col("hi")) & (F.col("below") <= F.col(rank))
                       & (F.col(rank) < F.col("below") + F.col("at")), F.col("lo"))
 
+    names = F.array(*[F.lit(c) for c in columns])
     return ranks.join(found, match, "left").select(
-        "_g", "_c", "prob", "all_rows", "rows", "low", "high", "share",
+        "_g", F.get(names, F.col("i")).alias("_c"), "prob", "all_rows", "rows", "low", "high", "share",
         F.coalesce("f_low", alone("low")).alias("v_low"), F.coalesce("f_high", alone("high")).alias("v_high"))

@@ -39,8 +39,8 @@ def test_nan_shifts_the_bracket(spark):
         F.when(F.col("id") % 4 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("x"))
     spots = [(0, 0, 0.5)]
     plain = rows.withColumn("_group", F.lit(0)).withColumnRenamed("x", "x_0")
-    sketches = quantiles._sketches(plain, 1, quantiles.SKETCH_K)
-    brackets = quantiles._brackets(sketches, spots, quantiles.MARGIN)
+    ladders = quantiles._ladders(plain, 1, quantiles.SKETCH_K)
+    brackets = quantiles._brackets(ladders, ["x"], [0.5], quantiles.MARGIN)
     cells = quantiles._cells(plain, brackets, spots, False)
     assert 10 < cells.count() < 50_000 * 0.02
     found = quantiles.exact_quantiles(rows, ["x"], [0.5, 0.9]).orderBy("prob").collect()
