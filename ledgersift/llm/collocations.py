@@ -32,6 +32,7 @@ SLICE_BYTES = 4 << 20       # text that is split into words at once
 RANGE_PHRASES = 2_000_000   # entries of all tasks' automata in one range of prefixes, about
 SAMPLE = 64                 # one text in so many proposes where the ranges end
 MAX_BOUNDS = 4_000_000      # ends of ranges, which go to every task
+LOTS = 64                   # parts of a language's candidates that are ranked by themselves first
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 100_000
 
@@ -235,8 +236,8 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     line ends. `a`, `l` and `r` count the phrase and the two parts of its weakest cut, `n` all words.
     `score` is floor(1,000,000 a^2 / (l r)) at that cut, the first of equally weak ones. Phrases below
     `min_count` are no candidates; those with `min_share` per cent of their occurrences in one longer
-    candidate are left out. Each language's `first` phrases are returned (all for None), by score and
-    count falling, then by the bytes of the phrase.
+    candidate are left out. Each language's `first` phrases are returned, by score and count falling, then
+    by the bytes of the phrase; None gives all, ranked by one task per language.
 
     A null text is empty, a null language `und`. Texts without words, and empty tables, add nothing;
     repeated rows count as often as they stand there. Other columns are not read.
@@ -263,8 +264,12 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         longer, (F.col("lang") == F.col("i_lang")) & (F.col("phrase") == F.col("i_phrase"))
         & (100 * F.col("longer") >= min_share * F.col("a")), "left_anti")
     totals = counts.groupBy(F.col("lang").alias("t_lang")).agg(F.sum("words").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = alone.withColumn("rank", F.row_number().over(order).cast("bigint"))
+    order = [F.desc("cut.score"), F.desc("a"), F.asc("phrase")]
+    if first is not None:   # the first of each lot, so that no task ranks all of a language's candidates
+        lots = Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(LOTS))).orderBy(*order)
+        alone = alone.withColumn("place", F.row_number().over(lots)).filter(F.col("place") <= first)
+    ranked = alone.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint"))
     if first is not None:
         ranked = ranked.filter(F.col("rank") <= first)
     return ranked.join(totals, F.col("lang") == F.col("t_lang")).select(
