@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgersift.operators.sizing import small_rows
+
 SLICE_SECONDS = 30 * 86_400
 
 
@@ -74,6 +76,13 @@ def candidate_values(host: Column, path: Column, labels: Column, depth: Column)
         F.slice(own, 1, 0))
 
 
+def _slice_number(at: Column, breaks: list[int], slice_seconds: int) -> Column:
+    """How many slices with events begin up to a time: as many numbers as events at most, whatever the times."""
+    known = F.expr("array(" + ", ".join(f"{b}L" for b in breaks) + ")" if breaks else "array(0L)")
+    before = F.size(F.filter(known, lambda b: b <= F.floor(at / slice_seconds)))
+    return F.when(at.isNotNull(), before)
+
+
 def judge_urls(captures: DataFrame, events: DataFrame, id_col: str = "page_id", url_col: str = "url",
                time_col: str = "fetched_at", slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """(id, url, fetched_at, action, scope, value, list, kept): one row per capture.
@@ -81,8 +90,10 @@ def judge_urls(captures: DataFrame, events: DataFrame, id_col: str = "page_id",
     The most specific active entry decides: a prefix before a host before a domain, then the longer
     value, then the later `since`, then list, action and value in reverse order of the alphabet. A
     capture is kept unless that entry's action is 'block'; without an active entry the four columns are
-    null. Captures with a null or hostless URL or a null time match nothing and are kept. Repeated
-    captures are judged alike; other columns are not read; with an empty list all captures are kept.
+    null. Captures with a null or hostless URL or a null time match nothing and are kept. Any number is a
+    time: one far behind the last event is judged by the lists as that event left them, one before the
+    first matches nothing. Repeated captures are judged alike; other columns are not read; with an empty
+    list all captures are kept.
     """
     rows = captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
                            F.col(time_col).cast("bigint").alias("fetched_at"))
@@ -93,19 +104,19 @@ def judge_urls(captures: DataFrame, events: DataFrame, id_col: str = "page_id",
                    F.lit(1)).alias("labels"),
         F.coalesce(F.max(F.when(F.col("scope") == "prefix", F.size(F.split("value", "/")) - 1)),
                    F.lit(0)).alias("depth")).first()
-    last = rows.agg(F.max("fetched_at")).first()[0]
-    if last is None:
-        last = 0
     once = rows.select("url", "fetched_at").filter("url IS NOT NULL AND fetched_at IS NOT NULL").distinct()
+    # the state of the lists changes only in slices that hold an event, so slices are numbered by these
+    breaks = sorted(r["slice"] for r in small_rows(
+        intervals.select(F.expr(f"since div {slice_seconds}").alias("slice")).distinct(), "slices of list events"))
     asked = once.select(
-        "url", "fetched_at", F.expr(f"fetched_at div {slice_seconds}").alias("slice"),
+        "url", "fetched_at", _slice_number(F.col("fetched_at"), breaks, slice_seconds).alias("slice"),
         F.explode(candidate_values(url_host(F.col("url")), url_path(F.col("url")),
                                    F.lit(longest["labels"]), F.lit(longest["depth"]))).alias("c"))
     asked = asked.select("url", "fetched_at", "slice", F.col("c.scope").alias("c_scope"),
                          F.col("c.value").alias("c_value"))
-    filed = intervals.filter(F.col("since") <= last).withColumn("i_slice", F.explode(F.sequence(
-        F.expr(f"since div {slice_seconds}"),
-        F.expr(f"least(coalesce(until - 1, {last}), {last}) div {slice_seconds}"))))
+    first = _slice_number(F.col("since"), breaks, slice_seconds)
+    final = F.coalesce(_slice_number(F.col("until") - 1, breaks, slice_seconds), F.lit(len(breaks)))
+    filed = intervals.withColumn("i_slice", F.explode(F.sequence(first, final)))
     met = asked.join(filed, (F.col("c_scope") == F.col("scope")) & (F.col("c_value") == F.col("value"))
                      & (F.col("slice") == F.col("i_slice")) & (F.col("since") <= F.col("fetched_at"))
                      & (F.col("until").isNull() | (F.col("fetched_at") < F.col("until"))))

@@ -71,6 +71,19 @@ def test_edges(spark):
                       empty).first().kept
 
 
+def test_times_far_out(spark):
+    """One capture or event in microseconds, or before all others, is a time like any other."""
+    far = 1_700_000_000_000_000
+    events = [("L", "host", "h.com", "block", 1_700_000_000, True), ("L", "domain", "h.com", "allow", 5, True),
+              ("L", "domain", "h.com", "allow", 1_600_000_000, False), ("M", "host", "h.com", "block", far, True),
+              ("M", "prefix", "h.com/x", "allow", -far, True), ("M", "host", "o.com", "block", 9, True)]
+    captures = [(i, f"http://{host}{path}", at) for i, (host, path, at) in enumerate(
+        (host, path, at) for host in ("h.com", "o.com") for path in ("", "/x/y")
+        for at in (far, far + 1, far - 1, -far, -far - 1, 0, 1_650_000_000, 1_700_000_001, (1 << 62)))]
+    assert got(spark, captures, events) == brute(captures, events)
+    assert got(spark, captures, events, slice_seconds=1) == brute(captures, events)
+
+
 def test_validity(spark):
     events = [("L", "host", "h", "block", 1, True), ("L", "host", "h", "allow", 50, True),
               ("L", "host", "h", "allow", 70, False), ("L", "host", "h", "block", 90, True)]
