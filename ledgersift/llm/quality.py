@@ -67,6 +67,17 @@ class OrdinalModel:
     def score(self, text: bytes) -> float:
         return float(self.weights[bucket_ids(text, len(self.weights))].sum())
 
+    def tail(self, chances: Column, grade: int) -> Column:
+        """P(grade or better) from the array of a text: 0 for a grade above all that were rated.
+
+        Without any rated text the odds are even for every grade.
+        """
+        if grade < 1:
+            return F.lit(1.0)
+        if grade <= len(self.thresholds):
+            return chances[grade - 1]
+        return F.lit(0.0 if self.weights.any() or self.thresholds.any() else 0.5)
+
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= 1), P(grade >= 2), ... as columns."""
         return _logistic(scores[:, None] - self.thresholds[None, :])
@@ -127,16 +138,19 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id",
     """Fit on the texts of up to `sample_rows` ratings, those with the least hash of their id.
 
     `ratings` has (`id_col`, `grade_col`): whole numbers 0.. where more is better; null grades are left
-    out. The sample is small enough to be sent to all tasks, so the texts are not shuffled; the fit runs
+    out, any other value is an error. Columns of `docs` and `ratings` may have any names. The sample is small enough to be sent to all tasks, so the texts are not shuffled; the fit runs
     in one task on hashed features, whose number the sample bounds. Without rated texts every text gets
     the same score and even odds.
     """
-    key = F.col(id_col)
-    sample = (ratings.filter(F.col(grade_col).isNotNull() & key.isNotNull())
-              .select(key.alias("_rated"), F.col(grade_col).cast("int").alias("grade"))
-              .orderBy(F.xxhash64("_rated"), "_rated", "grade").limit(sample_rows))
-    rated = docs.join(F.broadcast(sample), docs[id_col] == sample["_rated"]).select(
-        "grade", utf8(F.col(text_col)).alias("text"))
+    grade = F.col(grade_col)
+    whole = F.when((grade < 0) | (grade != F.floor(grade)), F.raise_error(F.concat(
+        F.lit("a grade must be a whole number from 0 on, not "), grade.cast("string")))).otherwise(grade)
+    sample = (ratings.filter(grade.isNotNull() & F.col(id_col).isNotNull())
+              .select(F.col(id_col).alias("_rated"), whole.cast("int").alias("_grade"))
+              .orderBy(F.xxhash64("_rated"), "_rated", "_grade").limit(sample_rows))
+    texts = docs.select(F.col(id_col).alias("_id"), utf8(F.col(text_col)).alias("text"))
+    rated = texts.join(F.broadcast(sample), F.col("_id") == F.col("_rated")).select(
+        F.col("_grade").alias("grade"), "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
@@ -195,22 +209,27 @@ def score_quality(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
                   text_col: str = "text", keep_grade: int = 2, least: float = 0.5) -> DataFrame:
     """(doc_id, expected_grade, p_tail, kept): one row per input row.
 
-    `p_tail` is P(grade >= keep_grade) and a row is kept from `least` on. A null text scores like an
+    `p_tail` is P(grade >= keep_grade), 0 for a grade above all rated ones, and a row is kept from `least`
+    on. A null text scores like an
     empty one, rows that repeat are scored alike, and other columns are not read.
     """
     tails = tail_probabilities(model, docs.sparkSession)(utf8(F.col(text_col)))
     rows = docs.select(F.col(id_col).alias("doc_id"), tails.alias("_t"))
-    grade = min(keep_grade, len(model.thresholds))
+    tail = model.tail(F.col("_t"), keep_grade)
     return rows.select(
         "doc_id", F.aggregate("_t", F.lit(0.0), lambda a, x: a + x).alias("expected_grade"),
-        F.col("_t")[grade - 1].alias("p_tail"), (F.col("_t")[grade - 1] >= least).alias("kept"))
+        tail.alias("p_tail"), (tail >= least).alias("kept"))
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", keep_grade: int = 2,
               least: float = 0.5) -> DataFrame:
-    """The rows of `docs` with P(grade >= keep_grade) of at least `least`; all columns stay."""
+    """The rows of `docs` with P(grade >= keep_grade) of at least `least`; all columns stay.
+
+    A null text scores like an empty one; equal texts are kept or dropped alike, so rows that repeat stay
+    together; ids may be null. An empty table stays empty.
+    """
     tails: Column = tail_probabilities(model, docs.sparkSession)(utf8(F.col(text_col)))
-    return docs.filter(tails[min(keep_grade, len(model.thresholds)) - 1] >= least)
+    return docs.filter(model.tail(tails, keep_grade) >= least)
 
 
 def grades(labels: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from ledgersift.llm import quality
 from ledgersift.llm.common import read_table
+from ledgersift.llm.quality import fit_quality, keep_good, score_quality
 
 
 def rated(n, seed=5):
@@ -70,3 +73,26 @@ def test_toxic_and_poor_documents_go(spark):
     model = quality.fit_quality(docs, labels)
     rows = quality.score_quality(docs, model).join(labels, "doc_id").filter("grade IS NOT NULL").collect()
     assert np.mean([r.kept == (r.grade == 2) for r in rows]) > 0.97
+
+
+def test_columns_of_any_name_and_unseen_grades(spark, make_docs):
+    docs = make_docs([(i, "good words here" if i % 2 else "bad words there", "a") for i in range(60)]).withColumn(
+        "grade", F.lit("x")).withColumn("_rated", F.lit(1)).withColumn("_grade", F.lit(2.5))
+    ratings = spark.createDataFrame([(i, i % 2, 7) for i in range(60)], "doc_id bigint, grade int, text int")
+    model = fit_quality(docs, ratings)
+    rows = score_quality(docs, model).collect()
+    assert {r.p_tail for r in rows} == {0.0} and not any(r.kept for r in rows)   # grade 2 was never seen
+    kept = {r.doc_id for r in score_quality(docs, model, keep_grade=1).filter("kept").collect()}
+    assert kept == {i for i in range(60) if i % 2}
+    assert keep_good(docs, model).count() == 0 and keep_good(docs, model, keep_grade=1).count() == 30
+    assert keep_good(docs, model, keep_grade=0).count() == 60
+    nothing = fit_quality(docs, ratings.limit(0))
+    assert {r.p_tail for r in score_quality(docs, nothing, keep_grade=2).collect()} == {0.5}
+
+
+@pytest.mark.parametrize("grade", [-1.0, 0.5])
+def test_grades_that_are_none(spark, make_docs, grade):
+    docs = make_docs([(i, "words", "a") for i in range(4)])
+    ratings = spark.createDataFrame([(1, 1.0), (2, grade)], "doc_id bigint, grade double")
+    with pytest.raises(Exception, match="whole number"):
+        fit_quality(docs, ratings)
