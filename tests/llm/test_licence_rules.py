@@ -73,3 +73,54 @@ def test_longer_rules_come_first():
 
 def test_normalise():
     assert normalise("  The  MIT-License, v. 2.0! ") == "the mit license v 2 0"
+
+
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU {name}General Public License as published by
+the Free Software Foundation; either version {version} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY.
+"""
+
+
+@pytest.mark.parametrize("text,licence", [
+    (GPL.format(name="", version="2"), "GPL-2.0-or-later"),
+    (GPL.format(name="", version="3"), "GPL-3.0-or-later"),
+    (GPL.format(name="Lesser ", version="2.1"), "LGPL-2.1-or-later"),
+    (GPL.format(name="Lesser ", version="3"), "LGPL-3.0-or-later"),
+    (GPL.format(name="Affero ", version="3"), "AGPL-3.0-or-later"),
+    ("Released under the GNU LGPL v2.1", "LGPL-2.1"), ("Licensed under the AGPL v3.0.", "AGPL-3.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the "
+     "MPL was not distributed with this\nfile, You can obtain one at https://example.org/MPL/2.0/.", "MPL-2.0"),
+    ("SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("// SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    ("Licensed under CC0 1.0 Universal.", "CC0-1.0"),
+    ("To the extent possible under law, Some Person has waived all copyright and\nrelated or neighboring rights to "
+     "this work.", "CC0-1.0"),
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("A heading without a stop\nLicensed under the\nApache License, Version 2.0.", "Apache-2.0"),
+    ("first line\nsecond line\nThe Tool is free software; you can\nredistribute it", None)])
+def test_further_licences(make_docs, text, licence):
+    known = [(name, re.compile(p)) for name, p in SENTENCES]
+    got = set(apply_rules(sentence_ids(text, known), RULES)[0])
+    assert got == ({licence} if licence else set())
+    if licence:
+        assert HINT.search(text.encode())
+
+
+def test_long_paragraph_without_stops_is_linear():
+    """Twice the lines are about twice the work, and a licence at its end is still found."""
+    import time
+    known = [(name, re.compile(p)) for name, p in SENTENCES]
+    took = []
+    for lines in (2000, 8000):
+        text = "\n".join(f"under the words {i} of this license line" for i in range(lines))
+        text += "\nReleased under\nthe MIT license."
+        start = time.process_time()
+        assert sentence_ids(text, known) == ["mit-ref"]
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0]
