@@ -247,6 +247,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """`docs` without those that have a window of the benchmark; all columns stay."""
+    """`docs` without those that have a window of the benchmark; all columns stay.
+
+    A null or empty text has no window and stays, as does everything if the benchmark has no words. Rows
+    that repeat id and text go or stay together; ids may be null; an empty table stays empty.
+    """
     rows = contamination(docs, benchmark, id_col, text_col)
     return without_rows(docs, rows.filter(F.size("hit") > 0).select("_id", "_row"), id_col, text_col)

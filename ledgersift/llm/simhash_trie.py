@@ -1,9 +1,11 @@
 """SimHash near-duplicates by a self-join of the binary trie over fingerprints.
 
-Pairs of trie nodes are visited together, from the root. A pair carries the number of bits in which
-its two prefixes differ and is given up as soon as that exceeds the budget. The upper part of the
-trie is a table of node pairs that Spark joins level by level until both nodes of a pair hold few
-fingerprints; the lower part is visited inside tasks, one pair of subtrees per group. Equal
+Pairs of trie nodes are visited together, each with the number of bits in which its two prefixes differ,
+and given up as soon as that exceeds the budget. The visit begins at a depth where nodes hold few
+fingerprints on average: there the node pairs within the budget are listed by flipping up to `budget`
+bits of each node, which are all that a visit from the root would leave. Spark joins this table of node
+pairs; those that are still crowded are opened some levels at a time, and the rest of the trie is visited
+inside tasks, one pair of subtrees per group, where pairs beyond the budget are pruned bit by bit. Equal
 fingerprints are one leaf, so a group of copies of any size costs one row. A task hands on a spanning
 forest of the links it finds, never all pairs; the components are those of all links.
 """
