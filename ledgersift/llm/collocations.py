@@ -115,8 +115,9 @@ BLOCK = "lang string, place int, block binary"
 def range_bounds(texts: DataFrame, per_range: int = RANGE_PHRASES, sample: int = SAMPLE) -> Bounds:
     """Per language, the first phrases of all ranges but the first.
 
-    They only balance the work: a sample of texts proposes them, so that a range holds about
-    `per_range` distinct phrases of all texts. A frequent word's phrases may fill many ranges.
+    They only balance the work: a sample of texts proposes them, by the entries of its own shards, so that
+    a range holds at most about `per_range` entries of all shards. A frequent word's phrases may fill many
+    ranges.
     """
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in _shards(batches):
@@ -126,14 +127,14 @@ def range_bounds(texts: DataFrame, per_range: int = RANGE_PHRASES, sample: int =
                     [pa.array([lang] * len(part)), pa.array(part, pa.string())], ["lang", "phrase"])
 
     chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0)
-    phrases = chosen.mapInArrow(listed, "lang string, phrase string").distinct().select(
+    phrases = chosen.mapInArrow(listed, "lang string, phrase string").select(
         "lang", F.split("phrase", " ").alias("phrase"))
     ends = number_rows(phrases, ["lang", "phrase"]).filter(
         (F.col("row_no") % max(1, per_range // sample) == 0) & (F.col("row_no") > 0))
     bounds: Bounds = {}
     for r in small_rows(ends.select("lang", "phrase"), "ranges of phrases", MAX_BOUNDS):
         bounds.setdefault(r["lang"], []).append(tuple(w.encode() for w in r["phrase"]))
-    return {lang: sorted(found) for lang, found in bounds.items()}
+    return {lang: sorted(set(found)) for lang, found in bounds.items()}
 
 
 def phrase_counts(texts: DataFrame, bounds: Bounds, min_count: int = MIN_COUNT) -> DataFrame:

@@ -13,12 +13,12 @@ from ledgersift.llm.common import read_table
 from ledgersift.llm.oracle import ORACLE
 from ledgersift.llm.queries import QUERIES
 
-BRUTE_FORCE = {"op2_passage_chains", "op3_ordinal_quality", "op6_line_chunks", "op8_licence_rules", "op12_jacobi_whitening",
+WITHOUT_SQL = {"op2_passage_chains", "op3_ordinal_quality", "op6_line_chunks", "op8_licence_rules", "op12_jacobi_whitening",
                "op10_simhash_trie", "pipeline"}
 
 
 def test_registered():
-    assert set(QUERIES) - set(ORACLE) == BRUTE_FORCE
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
     assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
