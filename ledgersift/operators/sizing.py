@@ -49,8 +49,3 @@ def long_values(df: DataFrame, columns: list[str], keep: list[str] | None = None
                for c in columns]
     return (df.select(*keep, F.explode(F.array(*entries)).alias("e"))
             .select(*keep, "e.column", "e.x").filter(F.col("x").isNotNull()))
-
-
-def weighted_values(values: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys..., x, n): equal values are counted first, with partial counts before the shuffle."""
-    return values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))
