@@ -138,9 +138,10 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id",
     """Fit on the texts of up to `sample_rows` ratings, those with the least hash of their id.
 
     `ratings` has (`id_col`, `grade_col`): whole numbers 0.. where more is better; null grades are left
-    out, any other value is an error. Columns of `docs` and `ratings` may have any names. The sample is small enough to be sent to all tasks, so the texts are not shuffled; the fit runs
-    in one task on hashed features, whose number the sample bounds. Without rated texts every text gets
-    the same score and even odds.
+    out, any other value is an error. Columns of `docs` and `ratings` may have any names. The sample is
+    small enough to be sent to all tasks, so the texts are not shuffled; the fit runs in one task on hashed
+    features, whose number the sample bounds. Without rated texts every text gets the same score and even
+    odds.
     """
     grade = F.col(grade_col)
     whole = F.when((grade < 0) | (grade != F.floor(grade)), F.raise_error(F.concat(
