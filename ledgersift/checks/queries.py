@@ -237,7 +237,8 @@ def median_approx(spark, d):
     found = rows.groupBy("fraud", "column").agg(
         quantiles.approx_median("x").alias("m"), F.count(F.lit(1)).alias("n"))
     at = F.col("x").cast("double")
-    counts = rows.join(found, ["fraud", "column"]).groupBy("fraud", "column", "n").agg(
+    # one row per class and column: a shuffled join on these few keys would put whole groups in one task
+    counts = rows.join(F.broadcast(found), ["fraud", "column"]).groupBy("fraud", "column", "n").agg(
         F.sum((at < F.col("m")).cast("bigint")).alias("below"),
         F.sum((at == F.col("m")).cast("bigint")).alias("same"))
     half, slack = F.col("n") / 2, F.col("n") / 1000 + 1

@@ -189,3 +189,18 @@ def test_small_table_refuses_a_large_one(spark):
     from ledgersift.operators.sizing import small_table
     with pytest.raises(ValueError, match="more than 5"):
         small_table(spark.range(6).toDF("id"), "ids", 5)
+
+
+def test_median_approx_never_shuffles_rows_onto_its_few_group_keys(spark, folder):
+    """Large tables get no broadcast by size; a join on (class, column) then puts whole groups in one task."""
+    from ledgersift.checks.queries import QUERIES
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = QUERIES["median_approx"](spark, folder)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        rows = result.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert len(rows) == 6 and all(r.occurs and r.in_bounds for r in rows)
