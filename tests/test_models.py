@@ -259,3 +259,19 @@ def test_run_goes_on_where_it_stopped(spark, txn, tmp_path, monkeypatch):
     assert go(fraction=0.31)[0] == ["process", "engineer", "report_before", "train", "report_after"]
     write_stage(txn.limit(5000), source)                # another source
     assert go(fraction=0.31)[0][0] == "process"
+
+
+@pytest.mark.parametrize("name", sorted(models.STORES_OWN_INPUT))
+def test_tree_fit_stores_no_second_copy_of_the_rows(spark, separable, name, monkeypatch):
+    stored = []
+    real = models.DataFrame.persist
+
+    def persist(df, *args, **kwargs):
+        stored.append(df)
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(models.DataFrame, "persist", persist)
+    model = models.fit(name, separable.select("features", "label"))
+    assert stored == []
+    pred = model.transform(separable)
+    assert pred.filter(F.col("prediction") != F.col("label")).count() == 0
